@@ -38,6 +38,21 @@ def escape(value: Column) -> Column:
     return text
 
 
+def _escaped(text: str) -> str:
+    """``escape`` for fixed wording, done once when the expression is built."""
+    for raw, safe in HTML_ESCAPES:
+        text = text.replace(raw, safe)
+    return text
+
+
+def _wording(issue: Column, part: int) -> Column:
+    """Escaped message (part 0) or action (part 1) of an issue type."""
+    text = F.lit(_escaped(K.ISSUE_TEXT_DEFAULT[part]))
+    for name, row in K.ISSUE_TEXT.items():
+        text = F.when(issue == name, _escaped(row[part])).otherwise(text)
+    return text
+
+
 def _html(*parts: Column | str) -> Column:
     """Concatenation that reads a null part as empty."""
     return F.concat(*[F.lit(p) if isinstance(p, str) else F.coalesce(p, F.lit("")) for p in parts])
@@ -77,7 +92,7 @@ def alert_html(
         "<p>Dear ",
         escape(user_name),
         ",</p><p>",
-        escape(text["message"]),
+        _wording(issue, 0),
         "</p><table>",
         _detail("WWCC Number:", number),
         _detail("Expiry Date:", expiry),
@@ -85,7 +100,7 @@ def alert_html(
         "<tr><th>Status:</th><td>",
         _badge(issue, text["background"], text["foreground"]),
         "</td></tr></table><h4>What You Need To Do</h4><p>",
-        escape(text["action"]),
+        _wording(issue, 1),
         "</p><footer>Sent: ",
         escape(sent_at),
         "</footer></body></html>",

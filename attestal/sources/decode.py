@@ -51,7 +51,9 @@ def decode(df: DataFrame, value: str, schema: T.StructType, optional: Collection
     """
     wide = T.StructType([*schema.fields, T.StructField(_BAD, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}
-    parsed = df.withColumn("__parsed", F.from_json(F.col(value), wide, options))
+    # Exploding one element keeps the parser out of filters and projections,
+    # which would otherwise each run it again.
+    parsed = df.select("*", F.explode(F.array(F.from_json(F.col(value), wide, options))).alias("__parsed"))
     record = F.when(
         F.col("__parsed").isNotNull(), F.struct(*[F.col("__parsed")[f.name].alias(f.name) for f in schema.fields])
     )
