@@ -98,7 +98,7 @@ def directory_scan(spark: SparkSession, sf: str) -> DataFrame:
 def config_lookup(spark: SparkSession, sf: str) -> DataFrame:
     """Events counted by the settings that apply to their issue type."""
     kinds = issue_types_table(spark, M.settings())
-    counted = M.status_events(spark, sf).groupBy(F.col("compliance_status").alias("issueType")).agg(F.count(F.lit(1)).alias("records"))
+    counted = M.person_events(spark, sf).groupBy(F.col("compliance_status").alias("issueType")).agg(F.count(F.lit(1)).alias("records"))
     return counted.join(kinds, "issueType", "left").select(
         "issueType",
         F.coalesce("priority", F.lit(K.PRIORITY_MEDIUM)).alias("priority"),
@@ -118,7 +118,7 @@ def keyed_json_sink(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def delivery_events(spark: SparkSession, sf: str) -> DataFrame:
-    commands = notify.alert_commands(M.status_events(spark, sf), M.settings())
+    commands = notify.alert_commands(M.person_events(spark, sf), M.settings())
     return notify.delivery_events(commands, _failures(commands), F.col("createdAt"))
 
 
@@ -137,7 +137,7 @@ def filter_doc_type(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def filter_notify_status(spark: SparkSession, sf: str) -> DataFrame:
-    return M.status_events(spark, sf).filter(P.should_notify(F.col("compliance_status"))).select("event_id", "userId", "compliance_status")
+    return M.person_events(spark, sf).filter(P.should_notify(F.col("compliance_status"))).select("event_id", "userId", "compliance_status")
 
 
 @query
@@ -154,7 +154,7 @@ def frequency_condition(spark: SparkSession, sf: str) -> DataFrame:
         "other_field": "days_since_start > 5",
     }
     columns = [P.condition_holds(text, days).alias(name) for name, text in tests.items()]
-    return M.status_events(spark, sf).select("event_id", days, *columns)
+    return M.person_events(spark, sf).select("event_id", days, *columns)
 
 
 def _due_checks(spark: SparkSession, sf: str) -> DataFrame:
@@ -255,21 +255,21 @@ def _flat_commands(commands: DataFrame) -> DataFrame:
 
 @query
 def notification_commands(spark: SparkSession, sf: str) -> DataFrame:
-    wanted = M.status_events(spark, sf).filter(P.should_notify(F.col("compliance_status")))
+    wanted = M.person_events(spark, sf).filter(P.should_notify(F.col("compliance_status")))
     return _flat_commands(notify.alert_commands(wanted, M.settings()))
 
 
 @query
 def priority_lookup(spark: SparkSession, sf: str) -> DataFrame:
     kind, plan = F.col("compliance_status"), M.settings()
-    return M.status_events(spark, sf).select(
+    return M.person_events(spark, sf).select(
         "event_id", notify.priority_of(kind, plan).alias("priority"), notify.template_of(kind, plan).alias("template")
     )
 
 
 @query
 def recipients(spark: SparkSession, sf: str) -> DataFrame:
-    return M.status_events(spark, sf).select(
+    return M.person_events(spark, sf).select(
         "event_id",
         _joined(notify.recipients(F.col("email"), None)).alias("to"),
         _joined(notify.recipients(F.col("email"), "test@example.org")).alias("to_override"),
@@ -279,7 +279,7 @@ def recipients(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _command_columns(spark: SparkSession, sf: str) -> DataFrame:
-    return M.status_events(spark, sf).select(
+    return M.person_events(spark, sf).select(
         "event_id",
         S.full_name(F.col("firstName"), F.col("lastName")).alias("userName"),
         F.col("compliance_status").alias("issueType"),
@@ -332,12 +332,12 @@ def schedule_parse(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def notify_interval(spark: SparkSession, sf: str) -> DataFrame:
     seconds = rules.interval_seconds(M.settings().frequency_rules, F.col("daysUntilExpiry"))
-    return M.status_events(spark, sf).select("event_id", seconds.alias("interval_s"))
+    return M.person_events(spark, sf).select("event_id", seconds.alias("interval_s"))
 
 
 @query
 def dedup_keys(spark: SparkSession, sf: str) -> DataFrame:
-    return M.status_events(spark, sf).select(
+    return M.person_events(spark, sf).select(
         "event_id",
         S.last_notification_key(F.col("userId"), F.col("compliance_status")).alias("cooldown_key"),
         S.sent_key(F.col("event_id")).alias("sent_key"),
@@ -359,7 +359,7 @@ def name_match(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def first_rule(spark: SparkSession, sf: str) -> DataFrame:
     rule = rules.first_rule(M.settings().frequency_rules, F.col("daysUntilExpiry"))
-    return M.status_events(spark, sf).withColumn("r", rule).select("event_id", "r.ord", "r.name", "r.interval_hours")
+    return M.person_events(spark, sf).withColumn("r", rule).select("event_id", "r.ord", "r.name", "r.interval_hours")
 
 
 @query
@@ -460,7 +460,7 @@ def once_per_id(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def latest_status(spark: SparkSession, sf: str) -> DataFrame:
-    rows = M.status_events(spark, sf).select("userId", "compliance_status", "daysUntilExpiry", "event_id", "ts_us")
+    rows = M.person_events(spark, sf).select("userId", "compliance_status", "daysUntilExpiry", "event_id", "ts_us")
     return dedup.latest_per_key(rows, ["userId"], _ORDER).select("userId", "compliance_status", "daysUntilExpiry", "event_id")
 
 
@@ -469,8 +469,8 @@ def latest_status(spark: SparkSession, sf: str) -> DataFrame:
 
 def _latest(spark: SparkSession, sf: str) -> DataFrame:
     """Latest event per user first, people joined to what is left."""
-    newest = dedup.latest_per_key(M.events(spark, sf), ["user_id"], _ORDER)
-    return M.status_of(newest, M.table(spark, sf, "customer"))
+    newest = dedup.latest_per_key(M.person_events(spark, sf), ["userId"], _ORDER)
+    return M.with_people(newest, M.table(spark, sf, "customer"))
 
 
 @query
@@ -577,12 +577,12 @@ def compliance_report(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def notification_flow(spark: SparkSession, sf: str) -> DataFrame:
-    return _flat_commands(flows.notifications(M.status_events(spark, sf).drop("ts"), M.settings(), "ts_us", _TIE))
+    return _flat_commands(flows.notifications(M.person_events(spark, sf).drop("ts"), M.settings(), "ts_us", _TIE))
 
 
 @query
 def digest_flow(spark: SparkSession, sf: str) -> DataFrame:
-    return flows.digests(M.status_events(spark, sf), M.settings(), _ORDER, M.SUMMARY_DATE)
+    return flows.digests(_latest(spark, sf), M.settings(), M.SUMMARY_DATE)
 
 
 @query
@@ -600,7 +600,7 @@ def digest_messages(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def delivery_flow(spark: SparkSession, sf: str) -> DataFrame:
     commands = notify.alert_commands(
-        M.status_events(spark, sf).withColumn("createdAt", F.col("processedAt")), M.settings()
+        M.person_events(spark, sf).withColumn("createdAt", F.col("processedAt")), M.settings()
     )
     timed = commands.withColumns(
         {
@@ -613,8 +613,7 @@ def delivery_flow(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def issues_view(spark: SparkSession, sf: str) -> DataFrame:
-    rows = M.status_events(spark, sf).select("userId", "compliance_status", "department", "event_id", "ts_us")
-    return flows.open_notifiable(rows, ["userId"], _ORDER).select("userId", "compliance_status", "department", "event_id")
+    return flows.open_notifiable(_latest(spark, sf)).select("userId", "compliance_status", "department", "event_id")
 
 
 # --- streams ------------------------------------------------------------------

@@ -42,10 +42,9 @@ def notifications(
     return notify.alert_commands(due, settings)
 
 
-def digests(status: DataFrame, settings: Settings, order: Sequence[str], summary_date: str) -> DataFrame:
-    """One digest row per manager over the latest status of everyone."""
-    latest = dedup.latest_per_key(status, ["userId"], order)
-    managers = managers_table(status.sparkSession, settings)
+def digests(latest: DataFrame, settings: Settings, summary_date: str) -> DataFrame:
+    """One digest row per manager over everyone's latest status (``dedup.latest_per_key``)."""
+    managers = managers_table(latest.sparkSession, settings)
     return digest.manager_digest(digest.department_summary(latest), managers, settings.default_manager, summary_date)
 
 
@@ -54,6 +53,6 @@ def deliveries(commands: DataFrame, failures: DataFrame, time_us: str, tie: Sequ
     return notify.delivery_events(dedup.once_per_id(commands, "notificationId", time_us, tie), failures, sent_at)
 
 
-def open_notifiable(status: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Latest row per person where it calls for a notification."""
-    return dedup.latest_per_key(status, keys, order).filter(should_notify(F.col("compliance_status")))
+def open_notifiable(latest: DataFrame) -> DataFrame:
+    """Everyone whose latest status calls for a notification: the open issues."""
+    return latest.filter(should_notify(F.col("compliance_status")))

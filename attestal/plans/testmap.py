@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attestal import constants as K
+from attestal import schemas
 from attestal.functions import scalar as S
 from attestal.operators import cells
 from attestal.sources.config import SAMPLE_SETTINGS, Settings, load_settings
@@ -176,43 +177,67 @@ def iso(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
 
 
-def status_of(ev: DataFrame, customers: DataFrame) -> DataFrame:
-    """Status rows of an events frame, plus ``ts``, ``ts_us`` and ``event_id``."""
+_STATUS_ORDER = [f.name for f in schemas.STATUS.fields]
+
+
+def status_core(ev: DataFrame) -> DataFrame:
+    """Status rows of an events frame without the person's department and position.
+
+    Carries ``event_id``, ``user_id``, ``ts`` and ``ts_us`` along.
+    """
     status = choose(F.col("event_type"), STATUS_OF_EVENT)
     known = F.col("event_type") != "signup"
     days = F.when(known, F.floor("value").cast("long") - 30)
     number = F.when(known & (F.col("user_id") % 5 != 0), F.concat(F.lit("W"), _text("user_id")))
-    people = customers.select(
-        F.col("c_custkey").alias("user_id"), F.col("c_mktsegment").alias("segment"), F.col("c_nationkey").alias("nation")
-    )
     flags = F.when(~known, F.array(*[F.lit(f) for f in K.MISSING_FLAGS])).otherwise(
         S.compliance_flags(status, number.isNotNull())
     )
-    return ev.join(people, "user_id", "left").select(
+    expiry_status = {"error": K.EXPIRY_EXPIRED, "view": K.EXPIRY_EXPIRING, "signup": K.EXPIRY_UNKNOWN}
+    approval = {"click": K.APPROVAL_PENDING, "signup": K.APPROVAL_UNKNOWN}
+    return ev.select(
         _text("user_id").alias("userId"),
         F.lit("User").alias("firstName"),
         F.lpad(_text("user_id"), 4, "0").alias("lastName"),
         F.when(F.col("user_id") % 11 != 0, F.concat(F.lit("u"), _text("user_id"), F.lit("@example.org"))).alias("email"),
-        F.when(F.col("user_id") % 7 != 0, F.col("segment")).alias("department"),
-        F.concat(F.lit("P"), _text("nation")).alias("position"),
         F.lit("2023-06-01").alias("startDate"),
         number.alias("wwccNumber"),
         _text(F.date_add(F.lit(SUMMARY_DATE).cast("date"), days.cast("int"))).alias("expiryDate"),
         days.alias("daysUntilExpiry"),
         F.lit(245).cast("long").alias("daysSinceStart"),
-        choose(F.col("event_type"), {"error": K.EXPIRY_EXPIRED, "view": K.EXPIRY_EXPIRING, "signup": K.EXPIRY_UNKNOWN}, K.EXPIRY_VALID).alias("safetyculture_status"),
-        choose(F.col("event_type"), {"click": K.APPROVAL_PENDING, "signup": K.APPROVAL_UNKNOWN}, K.APPROVAL_APPROVED).alias("approval_status"),
+        choose(F.col("event_type"), expiry_status, K.EXPIRY_VALID).alias("safetyculture_status"),
+        choose(F.col("event_type"), approval, K.APPROVAL_APPROVED).alias("approval_status"),
         status.alias("compliance_status"),
         flags.alias("flags"),
         iso(F.col("ts")).alias("processedAt"),
         "event_id",
+        "user_id",
         "ts",
         "ts_us",
     )
 
 
+def with_people(core: DataFrame, customers: DataFrame) -> DataFrame:
+    """Department (for some) and position of each user, columns in record order."""
+    people = customers.select(
+        F.col("c_custkey").alias("user_id"),
+        F.col("c_mktsegment").alias("segment"),
+        F.concat(F.lit("P"), _text("c_nationkey")).alias("position"),
+    )
+    rest = ["event_id", "ts", "ts_us"]
+    return (
+        core.join(people, "user_id", "left")
+        .withColumn("department", F.when(F.col("user_id") % 7 != 0, F.col("segment")))
+        .select(*_STATUS_ORDER, *rest)
+    )
+
+
 def status_events(spark: SparkSession, sf: str) -> DataFrame:
-    return status_of(events(spark, sf), table(spark, sf, "customer"))
+    return with_people(status_core(events(spark, sf)), table(spark, sf, "customer"))
+
+
+def person_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Status rows for steps that do not read the department: no join."""
+    return status_core(events(spark, sf))
 
 
 def polls(spark: SparkSession, sf: str) -> DataFrame:

@@ -28,7 +28,7 @@ def build_session(master: str | None = None, app: str = "attestal", **extra: str
 
 
 def work_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder below the shared checkpoint folder of the cluster.
+    """A fresh folder below the shared checkpoint folder the session names.
 
     Only where ``spark.checkpoint.dir`` is unset on a local master (tests, one
     machine) does it fall back to a temporary folder of this machine.
@@ -38,5 +38,5 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         base = tempfile.mkdtemp(prefix="attestal-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/attestal/{purpose}-{uuid.uuid4().hex}"
