@@ -55,7 +55,8 @@ def change_filter_ttl(
     """
     marked = mark_changes(df, keys, time_us, tie, fingerprint, "__changed", max_rows)
     wait = ttl_seconds * _SECOND - 1
-    return throttle(marked, keys, time_us, tie, wait, F.col("__changed"), hot_rows).drop("__changed")
+    kept = throttle(marked, keys, time_us, tie, wait, F.col("__changed"), hot_rows, sized_by=df)
+    return kept.drop("__changed")
 
 
 def cooldown(

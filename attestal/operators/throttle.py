@@ -20,15 +20,16 @@ import math
 from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from attestal.session import work_dir
 
 HOT_ROWS = 5_000_000
+ROWS_PER_FILE = 5_000_000
 _MAX_HOT_KEYS = 10_000
-_WAIT, _FORCE = "__wait", "__force"
+_WAIT, _FORCE, _LAST, _SLICE = "__wait", "__force", "__last", "__slice"
 
 
 def throttle(
@@ -39,37 +40,43 @@ def throttle(
     wait_us: Column | int,
     force: Column | None = None,
     hot_rows: int = HOT_ROWS,
+    sized_by: DataFrame | None = None,
 ) -> DataFrame:
-    """Rows of ``df`` that pass; same columns. ``time_us`` is a bigint column."""
+    """Rows of ``df`` that pass; same columns. ``time_us`` is a bigint column.
+
+    ``sized_by`` may name a cheaper frame with the same keys, times and waits,
+    on which key sizes are counted.
+    """
     wait = F.lit(wait_us) if isinstance(wait_us, int) else wait_us
     rows = df.withColumn(_WAIT, wait.cast("long")).withColumn(
         _FORCE, F.lit(False) if force is None else F.coalesce(force, F.lit(False))
     )
-    hot = _hot_keys(df, keys, hot_rows)
-    if hot is None:
+    hot = _hot_keys((df if sized_by is None else sized_by).withColumn(_WAIT, wait.cast("long")), keys, time_us, hot_rows)
+    if not hot:
         return _scan(rows, keys, time_us, tie).select(*df.columns)
-    match = reduce(lambda a, b: a & b, [F.col(f"r.{k}").eqNullSafe(F.col(f"h.{k}")) for k in keys])
-    cold = rows.alias("r").join(F.broadcast(hot.alias("h")), match, "left_anti")
-    warm = rows.alias("r").join(F.broadcast(hot.alias("h")), match, "left_semi")
+    names = df.sparkSession.createDataFrame([h[: len(keys)] for h in hot], T.StructType([df.schema[k] for k in keys]))
+    same = _same_key(keys, "r", "h")
+    cold = rows.alias("r").join(F.broadcast(names.alias("h")), same, "left_anti")
+    warm = rows.alias("r").join(F.broadcast(names.alias("h")), same, "left_semi")
     kept = _scan(cold, keys, time_us, tie).select(*df.columns)
-    return kept.unionByName(_by_slices(warm, keys, time_us, tie).select(*df.columns))
+    return kept.unionByName(_by_slices(warm, hot, keys, time_us, tie).select(*df.columns))
+
 
+def _same_key(keys: Sequence[str], left: str, right: str) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys])
 
-def _hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame | None:
-    """Keys too large for one task, as a local table of at most 10,000 rows.
 
-    The bound holds because the limit grows with the table: more than
-    total / 10,000 rows is needed to be hot.
+def _hot_keys(df: DataFrame, keys: Sequence[str], time_us: str, hot_rows: int) -> list[Row]:
+    """The largest keys above ``hot_rows`` rows, each with its size, span and shortest wait.
+
+    At most 10,000 of them, so the list may be local. A key left out of a full
+    list holds less than a ten-thousandth of the table and can be scanned; both
+    ways give the same rows.
     """
-    total = df.count()
-    limit = max(hot_rows, total // _MAX_HOT_KEYS)
-    if total <= limit:
-        return None
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > limit)
-    found = counted.drop("__n").collect()
-    if not found:
-        return None
-    return df.sparkSession.createDataFrame(found, T.StructType([df.schema[k] for k in keys]))
+    sizes = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("__n"), F.min(time_us).alias("__low"), F.max(time_us).alias("__high"), F.min(_WAIT).alias(_WAIT)
+    )
+    return sizes.filter(F.col("__n") > hot_rows).orderBy(F.desc("__n")).limit(_MAX_HOT_KEYS).collect()
 
 
 def _scan(rows: DataFrame, keys: Sequence[str], time_us: str, tie: Sequence[str]) -> DataFrame:
@@ -102,9 +109,9 @@ def _keep_fn(keys: list[str], time_us: str) -> Callable[[Iterator], Iterator]:
             for name in keys:
                 starts[1:] |= changes(batch.column(name))
             starts[0] = open_key != [batch.column(k)[0].as_py() for k in keys]
-            times = batch.column(time_us).to_pylist()
-            waits = batch.column(wait_name).to_pylist()
-            forced = batch.column(force_name).to_pylist()
+            times, waits, forced = (
+                batch.column(c).to_numpy(zero_copy_only=False).tolist() for c in (time_us, wait_name, force_name)
+            )
             mask = [False] * n
             for i, fresh in enumerate(starts.tolist()):
                 now = times[i]
@@ -116,57 +123,56 @@ def _keep_fn(keys: list[str], time_us: str) -> Callable[[Iterator], Iterator]:
     return keep
 
 
-def _by_slices(rows: DataFrame, keys: Sequence[str], time_us: str, tie: Sequence[str]) -> DataFrame:
-    """The same rule for hot keys, one aggregation per slice of time."""
+def _by_slices(rows: DataFrame, hot: Sequence[Row], keys: Sequence[str], time_us: str, tie: Sequence[str]) -> DataFrame:
+    """The same rule for hot keys, one aggregation per slice of time.
+
+    Rows, and the outcome of each slice, are written to the shared folder: a
+    lost executor costs a re-read, and no plan grows with the number of slices.
+    """
     spark = rows.sparkSession
     folder = work_dir(spark, "throttle")
-    total, low, high, wait = rows.agg(F.count(F.lit(1)), F.min(time_us), F.max(time_us), F.min(_WAIT)).first()
-    width = max(int(wait) + 1, 1)
-    sliced = rows.withColumn("__slice", F.floor((F.col(time_us) - F.lit(low)) / F.lit(width)))
+    width = max(min(h[_WAIT] for h in hot) + 1, 1)
+    first, final = min(h["__low"] for h in hot) // width, max(h["__high"] for h in hot) // width
     # Each slice goes to enough writers to keep files even, and to no more.
-    writers = math.ceil(total / ((high - low) // width + 1) / HOT_ROWS)
+    writers = math.ceil(sum(h["__n"] for h in hot) / (final - first + 1) / ROWS_PER_FILE)
     salt = F.pmod(F.xxhash64(time_us, *tie), F.lit(writers))
-    sliced.repartition(F.col("__slice"), salt).write.partitionBy("__slice").parquet(f"{folder}/rows")
+    sliced = rows.withColumn(_SLICE, F.floor(F.col(time_us) / F.lit(width)))
+    sliced.repartition(F.col(_SLICE), salt).write.partitionBy(_SLICE).parquet(f"{folder}/rows")
     stored = spark.read.schema(sliced.schema).parquet(f"{folder}/rows")
-    slices = [r[0] for r in stored.select("__slice").distinct().orderBy("__slice").collect()]
+    slices = [r[0] for r in stored.select(_SLICE).distinct().orderBy(_SLICE).collect()]
 
-    key_type = T.StructType([rows.schema[k] for k in keys])
     order = [time_us, *tie]
-    rest = [c for c in rows.columns if c not in order]
-    packed = F.struct(*order, *rest)
-    last_type = T.StructType([*key_type.fields, T.StructField("__last", T.LongType())])
-    last: dict[tuple, int] = {}
+    packed = F.struct(*order, *[c for c in rows.columns if c not in order])
+    state_type = T.StructType([*[rows.schema[k] for k in keys], T.StructField(_LAST, T.LongType())])
+    state = spark.createDataFrame([], state_type)
+    steps = []
     for number in slices:
-        # One row per hot key: bounded by _MAX_HOT_KEYS, so it may be local.
-        state = spark.createDataFrame([(*k, v) for k, v in last.items()], last_type)
-        match = reduce(lambda a, b: a & b, [F.col(f"r.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys])
+        # The state has one row per hot key, so it is always small enough to broadcast.
         joined = (
-            stored.filter(F.col("__slice") == number)
+            stored.filter(F.col(_SLICE) == number)
+            .drop(_SLICE)
             .alias("r")
-            .join(F.broadcast(state.alias("s")), match, "left")
-            .select("r.*", "s.__last")
+            .join(F.broadcast(state.alias("s")), _same_key(keys, "r", "s"), "left")
+            .select("r.*", f"s.{_LAST}")
         )
-        ready = ~F.col(_FORCE) & (F.col("__last").isNull() | (F.col(time_us) > F.col("__last") + F.col(_WAIT)))
-        step = joined.groupBy(*keys).agg(
-            F.min(F.when(ready, packed)).alias("__pick"),
-            F.min(F.when(F.col(_FORCE), F.struct(*order))).alias("__first_forced"),
-            F.max(F.when(F.col(_FORCE), F.col(time_us))).alias("__last_forced"),
+        ready = ~F.col(_FORCE) & (F.col(_LAST).isNull() | (F.col(time_us) > F.col(_LAST) + F.col(_WAIT)))
+        step = (
+            joined.unionByName(state, allowMissingColumns=True)
+            .groupBy(*keys)
+            .agg(
+                F.min(F.when(ready & F.col(time_us).isNotNull(), packed)).alias("__pick"),
+                F.min(F.when(F.col(_FORCE), F.struct(*order))).alias("__first_forced"),
+                F.max(F.when(F.col(_FORCE), F.col(time_us))).alias("__last_forced"),
+                F.max(_LAST).alias(_LAST),
+            )
         )
         # A forced row restarts the wait, so only a row before it can be due.
-        due = F.col("__pick").isNotNull() & (
-            F.col("__first_forced").isNull() | (F.struct(*[F.col("__pick")[c] for c in order]) < F.col("__first_forced"))
-        )
+        due = F.col("__first_forced").isNull() | (F.struct(*[F.col("__pick")[c] for c in order]) < F.col("__first_forced"))
         step = step.withColumn("__pick", F.when(due, F.col("__pick")))
-        step.withColumn("__slice", F.lit(number)).write.parquet(f"{folder}/steps/n={number}")
-        moved = spark.read.schema(step.schema).parquet(f"{folder}/steps/n={number}").select(
-            *keys, F.greatest(F.col("__pick")[time_us], F.col("__last_forced")).alias("__at")
-        )
-        for row in moved.filter("__at IS NOT NULL").collect():
-            last[tuple(row[k] for k in keys)] = row["__at"]
-    picked = (
-        spark.read.schema(step.schema)
-        .parquet(*[f"{folder}/steps/n={number}" for number in slices])
-        .filter("__pick IS NOT NULL")
-        .select("__pick.*")
-    )
-    return picked.unionByName(stored.filter(_FORCE).drop("__slice"))
+        step = step.withColumn(_LAST, F.greatest(F.col("__pick")[time_us], "__last_forced", _LAST))
+        step = step.select(*keys, "__pick", _LAST)
+        steps.append(f"{folder}/steps/n={number}")
+        step.write.parquet(steps[-1])
+        state = spark.read.schema(step.schema).parquet(steps[-1]).select(*keys, _LAST)
+    picked = spark.read.schema(step.schema).parquet(*steps).filter("__pick IS NOT NULL").select("__pick.*")
+    return picked.unionByName(stored.filter(_FORCE).drop(_SLICE))
