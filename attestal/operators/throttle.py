@@ -41,25 +41,32 @@ def throttle(
     force: Column | None = None,
     hot_rows: int = HOT_ROWS,
     sized_by: DataFrame | None = None,
+    initial: DataFrame | None = None,
 ) -> DataFrame:
     """Rows of ``df`` that pass; same columns. ``time_us`` is a bigint column.
 
     ``sized_by`` may name a cheaper frame with the same keys, times and waits,
-    on which key sizes are counted.
+    on which key sizes are counted. ``initial`` holds what is remembered from
+    before: at most one row per key, the key columns and ``__last``.
     """
     wait = F.lit(wait_us) if isinstance(wait_us, int) else wait_us
     rows = df.withColumn(_WAIT, wait.cast("long")).withColumn(
         _FORCE, F.lit(False) if force is None else F.coalesce(force, F.lit(False))
     )
+    if initial is None:
+        known = T.StructType([*[df.schema[k] for k in keys], T.StructField(_LAST, T.LongType())])
+        initial = df.sparkSession.createDataFrame([], known)
     hot = _hot_keys((df if sized_by is None else sized_by).withColumn(_WAIT, wait.cast("long")), keys, time_us, hot_rows)
     if not hot:
-        return _scan(rows, keys, time_us, tie).select(*df.columns)
+        return _scan(rows, initial, keys, time_us, tie).select(*df.columns)
     names = df.sparkSession.createDataFrame([h[: len(keys)] for h in hot], T.StructType([df.schema[k] for k in keys]))
     same = _same_key(keys, "r", "h")
     cold = rows.alias("r").join(F.broadcast(names.alias("h")), same, "left_anti")
     warm = rows.alias("r").join(F.broadcast(names.alias("h")), same, "left_semi")
-    kept = _scan(cold, keys, time_us, tie).select(*df.columns)
-    return kept.unionByName(_by_slices(warm, hot, keys, time_us, tie).select(*df.columns))
+    calm = initial.alias("r").join(F.broadcast(names.alias("h")), same, "left_anti")
+    busy = initial.alias("r").join(F.broadcast(names.alias("h")), same, "left_semi")
+    kept = _scan(cold, calm, keys, time_us, tie).select(*df.columns)
+    return kept.unionByName(_by_slices(warm, busy, hot, keys, time_us, tie).select(*df.columns))
 
 
 def _same_key(keys: Sequence[str], left: str, right: str) -> Column:
@@ -79,14 +86,16 @@ def _hot_keys(df: DataFrame, keys: Sequence[str], time_us: str, hot_rows: int) -
     return sizes.filter(F.col("__n") > hot_rows).orderBy(F.desc("__n")).limit(_MAX_HOT_KEYS).collect()
 
 
-def _scan(rows: DataFrame, keys: Sequence[str], time_us: str, tie: Sequence[str]) -> DataFrame:
-    ordered = rows.repartition(*keys).sortWithinPartitions(*keys, time_us, *tie)
-    return ordered.mapInArrow(_keep_fn(list(keys), time_us), rows.schema)
+def _scan(rows: DataFrame, initial: DataFrame, keys: Sequence[str], time_us: str, tie: Sequence[str]) -> DataFrame:
+    """What is remembered sorts before the rows of its key and is not passed on."""
+    seeded = rows.withColumn(_LAST, F.lit(None).cast("long")).unionByName(initial, allowMissingColumns=True)
+    ordered = seeded.repartition(*keys).sortWithinPartitions(*keys, F.col(_LAST).desc_nulls_last(), time_us, *tie)
+    return ordered.mapInArrow(_keep_fn(list(keys), time_us), seeded.schema)
 
 
 def _keep_fn(keys: list[str], time_us: str) -> Callable[[Iterator], Iterator]:
     """Scan of sorted record batches; the state outlives a batch, not a key."""
-    wait_name, force_name = _WAIT, _FORCE
+    columns = (time_us, _WAIT, _FORCE, _LAST)
 
     def keep(batches: Iterator) -> Iterator:
         import numpy as np
@@ -100,6 +109,9 @@ def _keep_fn(keys: list[str], time_us: str) -> Callable[[Iterator], Iterator]:
             one_null = pc.xor(pc.is_null(head), pc.is_null(tail))
             return pc.or_(differs, one_null).to_numpy(zero_copy_only=False)
 
+        def plain(column: pa.Array) -> list:
+            return pc.fill_null(column, False if pa.types.is_boolean(column.type) else 0).to_numpy(zero_copy_only=False).tolist()
+
         open_key, last = None, None
         for batch in batches:
             n = batch.num_rows
@@ -109,21 +121,24 @@ def _keep_fn(keys: list[str], time_us: str) -> Callable[[Iterator], Iterator]:
             for name in keys:
                 starts[1:] |= changes(batch.column(name))
             starts[0] = open_key != [batch.column(k)[0].as_py() for k in keys]
-            times, waits, forced = (
-                batch.column(c).to_numpy(zero_copy_only=False).tolist() for c in (time_us, wait_name, force_name)
-            )
+            seeds = batch.column(columns[3]).is_valid().to_numpy(zero_copy_only=False).tolist()
+            times, waits, forced, lasts = (plain(batch.column(c)) for c in columns)
             mask = [False] * n
             for i, fresh in enumerate(starts.tolist()):
                 now = times[i]
-                if fresh or forced[i] or now > last + waits[i]:
-                    mask[i], last = True, now
+                if seeds[i]:
+                    last = lasts[i]
+                elif fresh or forced[i] or now > last + waits[i]:
+                    mask[i], last = True, now if fresh else max(last, now)
             open_key = [batch.column(k)[n - 1].as_py() for k in keys]
             yield batch.filter(pa.array(mask))
 
     return keep
 
 
-def _by_slices(rows: DataFrame, hot: Sequence[Row], keys: Sequence[str], time_us: str, tie: Sequence[str]) -> DataFrame:
+def _by_slices(
+    rows: DataFrame, initial: DataFrame, hot: Sequence[Row], keys: Sequence[str], time_us: str, tie: Sequence[str]
+) -> DataFrame:
     """The same rule for hot keys, one aggregation per slice of time.
 
     Rows, and the outcome of each slice, are written to the shared folder: a
@@ -143,8 +158,7 @@ def _by_slices(rows: DataFrame, hot: Sequence[Row], keys: Sequence[str], time_us
 
     order = [time_us, *tie]
     packed = F.struct(*order, *[c for c in rows.columns if c not in order])
-    state_type = T.StructType([*[rows.schema[k] for k in keys], T.StructField(_LAST, T.LongType())])
-    state = spark.createDataFrame([], state_type)
+    state = initial.select(*keys, _LAST)
     steps = []
     for number in slices:
         # The state has one row per hot key, so it is always small enough to broadcast.

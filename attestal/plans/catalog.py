@@ -646,9 +646,28 @@ def status_stream(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def cooldown_stream(spark: SparkSession, sf: str) -> DataFrame:
     folder = work_dir(spark, "cooldown_stream")
-    kept = streams.throttle_stream(_stream_events(spark, sf), ["user_id", "event_type"], "ts_us", _TIE, 86400 * 1_000_000)
-    streams.run(streams.append_files(kept, f"{folder}/out", f"{folder}/cp"))
-    return spark.read.schema(kept.schema).parquet(f"{folder}/out")
+    rows = _stream_events(spark, sf).select("event_id", "user_id", "event_type", "ts_us")
+    streams.run(
+        streams.throttle_stream(rows, ["user_id", "event_type"], "ts_us", _TIE, 86400 * 1_000_000, folder, f"{folder}/cp")
+    )
+    return spark.read.parquet(f"{folder}/out").drop("batch")
+
+
+@query
+def change_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The change filter with lifetime, continuously."""
+    folder = work_dir(spark, "change_stream")
+    bucket = F.floor(F.col("value") / 100).cast("long")
+    rows = _stream_events(spark, sf).select(
+        "event_id", "user_id", "event_type", "ts_us", S.fingerprint([("bucket", bucket)]).alias("fingerprint")
+    )
+    wait = K.CREDENTIAL_TTL_S * 1_000_000 - 1
+    streams.run(
+        streams.throttle_stream(
+            rows, ["user_id", "event_type"], "ts_us", _TIE, wait, folder, f"{folder}/cp", fingerprint="fingerprint"
+        )
+    )
+    return spark.read.parquet(f"{folder}/out").drop("batch", "ts_us")
 
 
 @query

@@ -564,6 +564,7 @@ ORACLE["issues_view"] = _with(EV, LATEST) + f'SELECT "userId", compliance_status
 
 ORACLE["status_stream"] = _with(REQ, CRED, CHECKS, _matched("checks"), JUDGED, FOUND) + "SELECT * FROM found"
 ORACLE["cooldown_stream"] = ORACLE["cooldown_fixed"]
+ORACLE["change_stream"] = ORACLE["change_filter_ttl"]
 ORACLE["once_per_id_stream"] = 'SELECT event_id::VARCHAR AS "notificationId" FROM events'
 ORACLE["latest_status_stream"] = _with(EV, LATEST) + 'SELECT "userId", compliance_status, event_id FROM latest'
 ORACLE["message_rate_stream"] = _RATE

@@ -9,13 +9,17 @@ minute"}`` for a standing job. Bound the micro-batch at the source
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from attestal.operators.cells import with_previous
+from attestal.operators.throttle import HOT_ROWS, throttle
+
 AVAILABLE_NOW = {"availableNow": True}
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -81,42 +85,95 @@ def status_stream(
 
 
 def throttle_stream(
-    rows: DataFrame, keys: Sequence[str], time_us: str, tie: Sequence[str], wait_us: Column | int, force_on_change: str | None = None
+    rows: DataFrame,
+    keys: Sequence[str],
+    time_us: str,
+    tie: Sequence[str],
+    wait_us: Column | int,
+    path: str,
+    checkpoint: str,
+    fingerprint: str | None = None,
+    keep_us: int | None = None,
+    trigger: dict | None = None,
+    hot_rows: int = HOT_ROWS,
+) -> StreamingQuery:
+    """Cooldown (or, with ``fingerprint``, change filter with lifetime) of a stream.
+
+    Each micro-batch goes through the batch operators, which split a key of any
+    size, starting from what earlier batches left: per key the last kept time
+    and the last fingerprint. That memory is a table with two versions, written
+    in turn, so a retried batch finds its predecessor unharmed and overwrites
+    only its own output. Entries older than ``keep_us`` before the newest event
+    are forgotten; choose at least the longest wait plus the expected lateness.
+    """
+    mark = "__mark"
+    memory = T.StructType(
+        [*[rows.schema[k] for k in keys], T.StructField("__last", T.LongType()), T.StructField(mark, T.StringType())]
+    )
+    wait = F.lit(wait_us) if isinstance(wait_us, int) else wait_us
+
+    def step(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        before = f"{path}/state/{(number + 1) % 2}"
+        known = spark.read.schema(memory).parquet(before) if number else spark.createDataFrame([], memory)
+        value = F.lit("") if fingerprint is None else F.col(fingerprint)
+        fresh = batch.withColumn(mark, value)
+        if fingerprint is None:
+            kept = throttle(fresh, keys, time_us, tie, wait, hot_rows=hot_rows, initial=known.drop(mark))
+        else:
+            marked = _changes_since(fresh, known, keys, time_us, tie, mark)
+            kept = throttle(
+                marked, keys, time_us, tie, wait, F.col("__changed"), hot_rows, sized_by=fresh, initial=known.drop(mark)
+            )
+        out = f"{path}/out/batch={number}"
+        kept.select(*batch.columns).write.mode("overwrite").parquet(out)
+        _remember(spark.read.schema(batch.schema).parquet(out), fresh, known, f"{path}/state/{number % 2}")
+
+    def _remember(kept: DataFrame, fresh: DataFrame, known: DataFrame, folder: str) -> None:
+        sent = kept.select(*keys, F.col(time_us).alias("__last"), F.lit(None).cast("string").alias(mark), F.lit(None).cast("long").alias("__at"))
+        seen = fresh.select(*keys, F.lit(None).cast("long").alias("__last"), mark, F.col(time_us).alias("__at"))
+        old = known.withColumn("__at", F.lit(None).cast("long"))
+        state = (
+            sent.unionByName(seen)
+            .unionByName(old)
+            .groupBy(*keys)
+            .agg(
+                F.max("__last").alias("__last"),
+                F.coalesce(
+                    F.max_by(mark, F.when(F.col("__at").isNotNull(), F.struct("__at", mark))),
+                    F.max(F.when(F.col("__at").isNull(), F.col(mark))),
+                ).alias(mark),
+            )
+        )
+        if keep_us is not None:
+            newest = fresh.agg(F.max(time_us)).first()[0]
+            state = state.filter(F.col("__last") >= F.lit(newest - keep_us))
+        state.select(*[f.name for f in memory]).write.mode("overwrite").parquet(folder)
+
+    return (
+        rows.writeStream.foreachBatch(step)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or AVAILABLE_NOW))
+        .start()
+    )
+
+
+def _changes_since(
+    fresh: DataFrame, known: DataFrame, keys: Sequence[str], time_us: str, tie: Sequence[str], mark: str
 ) -> DataFrame:
-    """Streaming form of ``operators.throttle``: only key, time, tie and wait pass through it.
+    """Adds ``__changed``; the first row of a key is compared with what is remembered.
 
-    ``force_on_change`` names a fingerprint column; a row whose fingerprint
-    differs from the previous one of its key always passes. Rows of a key are
-    put in time order within a micro-batch.
+    Only those first rows, one per key, meet the memory in a join.
     """
-    wait = F.lit(wait_us) if isinstance(wait_us, int) else wait_us
-    mark = F.lit("") if force_on_change is None else F.col(force_on_change)
-    narrow = rows.select(*keys, time_us, *tie, wait.cast("long").alias("__wait"), mark.alias("__mark"))
-    output = T.StructType([narrow.schema[c] for c in (*keys, time_us, *tie)])
-    state = T.StructType([T.StructField("last", T.LongType()), T.StructField("mark", T.StringType())])
-    fold = _fold_fn(list(keys), time_us, list(tie))
-    return narrow.groupBy(*keys).applyInPandasWithState(fold, output, state, "append", "NoTimeout")
-
-
-def _fold_fn(keys: list[str], time_us: str, tie: list[str]) -> Callable:
-    order = [time_us, *tie]
-
-    def fold(key: tuple, chunks: Iterator, state) -> Iterator:
-        import pandas as pd
-
-        last, mark = state.get if state.exists else (None, None)
-        rows = pd.concat(list(chunks)).sort_values(order)
-        times, waits, marks = rows[time_us].tolist(), rows["__wait"].tolist(), rows["__mark"].tolist()
-        kept = []
-        for i, now in enumerate(times):
-            if last is None or marks[i] != mark or now > last + waits[i]:
-                kept.append(i)
-                last = now
-            mark = marks[i]
-        state.update((last, mark))
-        yield rows.iloc[kept][[*keys, *order]]
-
-    return fold
+    rows = with_previous(fresh, keys, time_us, tie, F.col(mark), "__before")
+    first = F.col("__before").isNull()
+    old = known.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col(mark).alias("__old"), F.lit(True).alias("__known"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)])
+    opening = rows.filter(first).join(old, same, "left").withColumn(
+        "__changed", F.col("__known").isNull() | ~F.col(mark).eqNullSafe(F.col("__old"))
+    )
+    inner = rows.filter(~first).withColumn("__changed", ~F.col(mark).eqNullSafe(F.col("__before.v")))
+    return opening.select(*fresh.columns, "__changed").unionByName(inner.select(*fresh.columns, "__changed"))
 
 
 def once_per_id_stream(rows: DataFrame, id_column: str, event_time: str, ttl: str = "24 hours") -> DataFrame:

@@ -37,26 +37,27 @@ def ids(df):
     return sorted(r["id"] for r in df.select("id").collect())
 
 
-@pytest.mark.parametrize("rocksdb", [False, True])
-def test_cooldown(spark, source, tmp_path, rocksdb):
+def start(stream, tmp_path, wait, **options):
+    return streams.throttle_stream(stream, ["k"], "t", ["id"], wait, str(tmp_path / "w"), str(tmp_path / "cp"), **options)
+
+
+def out(spark, tmp_path):
+    return spark.read.parquet(str(tmp_path / "w" / "out"))
+
+
+@pytest.mark.parametrize("options", [{}, {"hot_rows": 30}, {"keep_us": 24 * HOUR}])
+def test_cooldown(spark, source, tmp_path, options):
     stream, batch = source
-    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
-    if rocksdb:
-        streams.use_rocksdb(spark)
-    try:
-        kept = streams.throttle_stream(stream, ["k"], "t", ["id"], 24 * HOUR)
-        streams.run(streams.append_files(kept, str(tmp_path / "out"), str(tmp_path / "cp")))
-    finally:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
-    assert ids(spark.read.parquet(str(tmp_path / "out"))) == ids(throttle(batch, ["k"], "t", ["id"], 24 * HOUR))
-
-
-def test_change_filter_ttl(spark, source, tmp_path):
+    streams.run(start(stream, tmp_path, 24 * HOUR, **options))
+    assert ids(out(spark, tmp_path)) == ids(throttle(batch, ["k"], "t", ["id"], 24 * HOUR))
+
+
+@pytest.mark.parametrize("options", [{}, {"hot_rows": 30}])
+def test_change_filter_ttl(spark, source, tmp_path, options):
     stream, batch = source
     ttl = 3 * 86400
-    kept = streams.throttle_stream(stream, ["k"], "t", ["id"], ttl * 1_000_000 - 1, force_on_change="f")
-    streams.run(streams.append_files(kept, str(tmp_path / "out"), str(tmp_path / "cp")))
-    assert ids(spark.read.parquet(str(tmp_path / "out"))) == ids(dedup.change_filter_ttl(batch, ["k"], "t", ["id"], "f", ttl))
+    streams.run(start(stream, tmp_path, ttl * 1_000_000 - 1, fingerprint="f", **options))
+    assert ids(out(spark, tmp_path)) == ids(dedup.change_filter_ttl(batch, ["k"], "t", ["id"], "f", ttl))
 
 
 def test_latest(spark, source, tmp_path):
@@ -87,8 +88,25 @@ def test_redeliveries(spark, source, tmp_path):
 
 def test_rerun_adds_nothing(spark, source, tmp_path):
     stream, _ = source
-    kept = streams.throttle_stream(stream, ["k"], "t", ["id"], 24 * HOUR)
     for _ in range(2):
-        streams.run(streams.append_files(kept, str(tmp_path / "out"), str(tmp_path / "cp")))
-    found = ids(spark.read.parquet(str(tmp_path / "out")))
-    assert len(found) == len(set(found))
+        streams.run(start(stream, tmp_path, 24 * HOUR))
+    found = ids(out(spark, tmp_path))
+    assert found and len(found) == len(set(found))
+
+
+def test_a_failed_batch_is_made_good(spark, source, tmp_path):
+    """A batch that died after writing part of its work gives the same rows when repeated."""
+    stream, batch = source
+    broken = {"left": 1}
+
+    def fail_once(rows):
+        if broken["left"]:
+            broken["left"] = 0
+            raise RuntimeError("lost")
+        return rows
+
+    query = streams.per_batch(stream, fail_once, str(tmp_path / "out"), str(tmp_path / "cp"))
+    with pytest.raises(Exception, match="lost"):
+        streams.run(query)
+    streams.run(streams.per_batch(stream, fail_once, str(tmp_path / "out"), str(tmp_path / "cp")))
+    assert ids(spark.read.parquet(str(tmp_path / "out"))) == ids(batch)
