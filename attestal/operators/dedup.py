@@ -74,8 +74,12 @@ def cooldown(
     moment a row passes, whereas a row exactly one interval later does not.
     """
     interval = F.lit(interval_s) if isinstance(interval_s, int) else interval_s
-    wait = F.least(interval.cast("long") * _SECOND, F.lit(ttl_seconds * _SECOND - 1))
-    return throttle(df, keys, time_us, tie, wait, hot_rows=hot_rows)
+    return throttle(df, keys, time_us, tie, cooldown_wait(interval, ttl_seconds), hot_rows=hot_rows)
+
+
+def cooldown_wait(interval_s: Column, ttl_seconds: int = K.COOLDOWN_TTL_S) -> Column:
+    """Wait in microseconds: the interval, cut short by the memory's own lifetime."""
+    return F.least(interval_s.cast("long") * _SECOND, F.lit(ttl_seconds * _SECOND - 1))
 
 
 def cooldown_by_rules(
@@ -127,3 +131,13 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     """Last row per key; combined map-side, so a busy key costs one row per task."""
     row = F.struct(*df.columns)
     return df.groupBy(*keys).agg(F.max_by(row, F.struct(*order)).alias("__row")).select("__row.*")
+
+
+def latest_per_person(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Latest row per address, or per id where there is no address.
+
+    By id alone, the row of a person once reported missing stays beside the row
+    of the credential they hand in later.
+    """
+    person = F.coalesce(F.concat(F.lit("e:"), "email"), F.concat(F.lit("u:"), "userId"))
+    return latest_per_key(df.withColumn("__person", person), ["__person"], order).drop("__person")

@@ -48,9 +48,16 @@ def _counts(status: str = "compliance_status") -> list[Column]:
     ]
 
 
-def department_summary(latest: DataFrame) -> DataFrame:
-    """Issue counts by department; the total also counts kinds without a column."""
-    return open_issues(latest).groupBy("department").agg(*_counts())
+def department_summary(latest: DataFrame, other: bool = False) -> DataFrame:
+    """Issue counts by department; the total also counts kinds without a column.
+
+    ``other`` adds a column for those kinds.
+    """
+    summary = open_issues(latest).groupBy("department").agg(*_counts())
+    if not other:
+        return summary
+    named = sum((F.col(name) for name, _ in _COUNTS), F.lit(0))
+    return summary.withColumn("otherCount", F.col("totalCount") - named)
 
 
 def manager_digest(summaries: DataFrame, managers: DataFrame, default_manager: str, summary_date: str) -> DataFrame:

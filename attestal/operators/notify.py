@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from attestal import constants as K
 from attestal import schemas
+from attestal.functions import render
 from attestal.functions import scalar as S
 from attestal.sources.config import Settings
 
@@ -105,3 +106,17 @@ def delivery_events(commands: DataFrame, failures: DataFrame, sent_at: Column) -
         F.col("failed").isNull().alias("success"),
         "errorMessage",
     )
+
+
+def failed(commands: DataFrame, events: DataFrame) -> DataFrame:
+    """Commands with a failure event and no success: what a retry would send."""
+    outcome = events.groupBy("notificationId").agg(F.bool_or("success").alias("sent")).filter("NOT sent")
+    return commands.join(outcome.select("notificationId"), "notificationId", "left_semi").select(*commands.columns)
+
+
+def with_body(commands: DataFrame, organisation: str = "") -> DataFrame:
+    """Adds ``body``: HTML where asked for and renderable, else plain text."""
+    number, expiry, days = (F.col(f"data.{c}") for c in ("wwccNumber", "expiryDate", "daysUntilExpiry"))
+    html = render.alert_html(F.col("userName"), F.col("issueType"), number, expiry, days, F.col("createdAt"), organisation)
+    plain = S.plain_body(F.col("userName"), F.col("issueType"), F.col("priority"), number, expiry, days)
+    return commands.withColumn("body", F.coalesce(F.when(F.col("isHtml"), html), plain))

@@ -127,6 +127,14 @@ def _failures(commands: DataFrame) -> DataFrame:
     return commands.filter(F.size("to") == 0).select("notificationId", F.lit("no recipient").alias("errorMessage"))
 
 
+@query
+def failed_deliveries(spark: SparkSession, sf: str) -> DataFrame:
+    """Commands to send again: those whose delivery event says failure."""
+    commands = notify.alert_commands(M.person_events(spark, sf), M.settings())
+    events = notify.delivery_events(commands, _failures(commands), F.col("createdAt"))
+    return notify.failed(commands, events).select("notificationId", "userId", "issueType")
+
+
 # --- filters ------------------------------------------------------------------
 
 
@@ -319,6 +327,14 @@ def html_body(spark: SparkSession, sf: str) -> DataFrame:
     return _command_columns(spark, sf).select("event_id", render.alert_html(*c, organisation="Example Council").alias("html"))
 
 
+@query
+def message_body(spark: SparkSession, sf: str) -> DataFrame:
+    """Body that goes out: HTML, or plain text where the command asks for it."""
+    commands = notify.alert_commands(M.person_events(spark, sf), M.settings())
+    mixed = commands.withColumn("isHtml", F.col("issueType") != K.NOT_APPROVED)
+    return notify.with_body(mixed, "Example Council").select("notificationId", "isHtml", F.md5("body").alias("body_md5"))
+
+
 @query
 def schedule_parse(spark: SparkSession, sf: str) -> DataFrame:
     names = F.array(*[F.lit(n) for n in ("monday", "Tuesday", "WEDNESDAY", "thursday", "FRIDAY", "Saturday", "sunday", "INVALID", "")])
@@ -611,6 +627,13 @@ def delivery_flow(spark: SparkSession, sf: str) -> DataFrame:
     return flows.deliveries(timed, _failures(timed), "at_us", ["createdAt"], F.col("createdAt"))
 
 
+@query
+def latest_person(spark: SparkSession, sf: str) -> DataFrame:
+    """Latest status by address, so a stand-in id does not outlive its person."""
+    rows = M.person_events(spark, sf).select("userId", "email", "compliance_status", "event_id", "ts_us")
+    return dedup.latest_per_person(rows, _ORDER).select("userId", "email", "compliance_status", "event_id")
+
+
 @query
 def issues_view(spark: SparkSession, sf: str) -> DataFrame:
     return flows.open_notifiable(_latest(spark, sf)).select("userId", "compliance_status", "department", "event_id")
@@ -634,15 +657,26 @@ def _stream_events(spark: SparkSession, sf: str) -> DataFrame:
 def status_stream(spark: SparkSession, sf: str) -> DataFrame:
     folder = work_dir(spark, "status_stream")
 
-    def judge(batch: DataFrame) -> DataFrame:
-        people = M.required_people(batch.sparkSession, sf)
+    def judge(batch: DataFrame, people: DataFrame) -> DataFrame:
         return classify.classify(classify.children_checks(batch), people, M.as_of(), _processed())
 
     rows = M.credentials_of(_stream(spark, sf, "orders"))
-    streams.run(streams.status_stream(rows, judge, f"{folder}/out", f"{folder}/cp"))
+    streams.run(streams.status_stream(rows, lambda: M.required_people(spark, sf), judge, f"{folder}/out", f"{folder}/cp"))
     return _flat_status(spark.read.parquet(f"{folder}/out").drop("batch"))
 
 
+@query
+def notification_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Alert commands of a status stream, under the frequency rules."""
+    folder = work_dir(spark, "notification_stream")
+    status = M.status_core(_stream_events(spark, sf)).drop("ts", "user_id")
+    rows = status.filter(P.should_notify(F.col("compliance_status")))
+    wait = dedup.cooldown_wait(rules.interval_seconds(M.settings().frequency_rules, F.col("daysUntilExpiry")))
+    keys = ["userId", "compliance_status"]
+    streams.run(streams.throttle_stream(rows, keys, "ts_us", _TIE, wait, folder, f"{folder}/cp"))
+    return _flat_commands(notify.alert_commands(spark.read.parquet(f"{folder}/out"), M.settings()))
+
+
 @query
 def cooldown_stream(spark: SparkSession, sf: str) -> DataFrame:
     folder = work_dir(spark, "cooldown_stream")
@@ -672,13 +706,23 @@ def change_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def once_per_id_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """Event ids delivered twice, passed once."""
     folder = work_dir(spark, "once_per_id_stream")
-    ev = _stream_events(spark, sf)
-    twice = ev.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).select(
+    rows = _stream_events(spark, sf).select(
+        F.concat(F.col("user_id").cast("string"), F.lit("-"), "event_type").alias("notificationId"), "event_id", "ts_us"
+    )
+    wait = K.COMMAND_TTL_S * 1_000_000 - 1
+    streams.run(streams.throttle_stream(rows, ["notificationId"], "ts_us", _TIE, wait, folder, f"{folder}/cp"))
+    return spark.read.parquet(f"{folder}/out").select("event_id", "notificationId")
+
+
+@query
+def redelivery_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Event ids delivered twice, passed once."""
+    folder = work_dir(spark, "redelivery_stream")
+    twice = _stream_events(spark, sf).withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).select(
         F.col("event_id").cast("string").alias("notificationId"), F.col("ts").cast("timestamp").alias("at")
     )
-    once = streams.once_per_id_stream(twice, "notificationId", "at").select("notificationId")
+    once = streams.drop_redeliveries(twice, "notificationId", "at").select("notificationId")
     streams.run(streams.append_files(once, f"{folder}/out", f"{folder}/cp"))
     return spark.read.schema(once.schema).parquet(f"{folder}/out")
 

@@ -349,6 +349,10 @@ SELECT {_id('"userId"', "compliance_status", '"processedAt"')} AS "notificationI
   coalesce(email, '') AS email, compliance_status AS "issueType", "processedAt" AS "sentAt",
   email IS NOT NULL AS success, CASE WHEN email IS NULL THEN 'no recipient' END AS "errorMessage" FROM ev"""
 
+ORACLE["failed_deliveries"] = _EV + f"""
+SELECT {_id('"userId"', "compliance_status", '"processedAt"')} AS "notificationId", "userId", compliance_status AS "issueType"
+FROM ev WHERE email IS NULL"""
+
 # --- filters -----------------------------------------------------------------------
 
 ORACLE["filter_doc_type"] = _with(CRED, CHECKS) + 'SELECT "userId", "documentId", "typeName" FROM checks'
@@ -394,6 +398,9 @@ SELECT event_id, {_MESSAGE} AS message, {_ACTION} AS action, {_BACK} AS backgrou
   {_DAYS_COLOUR} AS "daysColor", compliance_status = 'EXPIRED' AS "isExpired", compliance_status = 'EXPIRING' AS "isExpiring",
   compliance_status = 'MISSING' AS "isMissing", compliance_status = 'NOT_APPROVED' AS "isNotApproved" FROM ev"""
 ORACLE["html_body"] = _EV + f"SELECT event_id, {_HTML} AS html FROM ev"
+ORACLE["message_body"] = _EV + f"""
+SELECT {_id('"userId"', "compliance_status", '"processedAt"')} AS "notificationId", compliance_status <> 'NOT_APPROVED' AS "isHtml",
+  md5(CASE WHEN compliance_status <> 'NOT_APPROVED' THEN {_HTML} ELSE {_BODY} END) AS body_md5 FROM ev"""
 ORACLE["schedule_parse"] = """
 SELECT event_id, CASE WHEN event_id % 9 < 7 THEN event_id % 9 ELSE 0 END::INT AS weekday,
   CASE WHEN event_type = 'error' OR event_id % 27 > 23 THEN 32400
@@ -558,6 +565,10 @@ SELECT "userId"||'-'||compliance_status AS "notificationId", "userId", coalesce(
   compliance_status AS "issueType", "processedAt" AS "sentAt", email IS NOT NULL AS success,
   CASE WHEN email IS NULL THEN 'no recipient' END AS "errorMessage"
 FROM ev WHERE event_id IN (SELECT event_id FROM ({ORACLE['once_per_id']}))"""
+ORACLE["latest_person"] = _EV + """
+SELECT "userId", email, compliance_status, event_id FROM (
+  SELECT *, row_number() OVER (PARTITION BY coalesce('e:'||email, 'u:'||"userId") ORDER BY ts DESC, event_id DESC) AS rn FROM ev)
+WHERE rn = 1"""
 ORACLE["issues_view"] = _with(EV, LATEST) + f'SELECT "userId", compliance_status, department, event_id FROM latest WHERE {_NOTIFY}'
 
 # --- streams: the same rows as their batch twins -------------------------------------------
@@ -565,6 +576,8 @@ ORACLE["issues_view"] = _with(EV, LATEST) + f'SELECT "userId", compliance_status
 ORACLE["status_stream"] = _with(REQ, CRED, CHECKS, _matched("checks"), JUDGED, FOUND) + "SELECT * FROM found"
 ORACLE["cooldown_stream"] = ORACLE["cooldown_fixed"]
 ORACLE["change_stream"] = ORACLE["change_filter_ttl"]
-ORACLE["once_per_id_stream"] = 'SELECT event_id::VARCHAR AS "notificationId" FROM events'
+ORACLE["once_per_id_stream"] = ORACLE["once_per_id"]
+ORACLE["redelivery_stream"] = 'SELECT event_id::VARCHAR AS "notificationId" FROM events'
+ORACLE["notification_stream"] = ORACLE["notification_flow"]
 ORACLE["latest_status_stream"] = _with(EV, LATEST) + 'SELECT "userId", compliance_status, event_id FROM latest'
 ORACLE["message_rate_stream"] = _RATE

@@ -71,17 +71,26 @@ def per_batch(
 
 def status_stream(
     credentials: DataFrame,
-    classify: Callable[[DataFrame], DataFrame],
+    people: Callable[[], DataFrame],
+    classify: Callable[[DataFrame, DataFrame], DataFrame],
     path: str,
     checkpoint: str,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Status rows of arriving credentials.
+    """Status rows of arriving credentials: ``classify(batch, people())``.
 
-    ``classify`` reads the required list anew for each micro-batch, so a new
-    list takes effect with the next one and no credential is lost before it.
+    The required list is read anew for each micro-batch, so a new list takes
+    effect with the next one. While there is no list the query stops with an
+    error and its credentials wait; none is lost.
     """
-    return per_batch(credentials, classify, path, checkpoint, trigger=trigger)
+
+    def judge(batch: DataFrame) -> DataFrame:
+        listed = people()
+        if listed.isEmpty():
+            raise RuntimeError("no required list yet")
+        return classify(batch, listed)
+
+    return per_batch(credentials, judge, path, checkpoint, trigger=trigger)
 
 
 def throttle_stream(
@@ -176,8 +185,13 @@ def _changes_since(
     return opening.select(*fresh.columns, "__changed").unionByName(inner.select(*fresh.columns, "__changed"))
 
 
-def once_per_id_stream(rows: DataFrame, id_column: str, event_time: str, ttl: str = "24 hours") -> DataFrame:
-    """Drops redeliveries that come within ``ttl`` of the first copy."""
+def drop_redeliveries(rows: DataFrame, id_column: str, event_time: str, ttl: str = "24 hours") -> DataFrame:
+    """Drops copies of ids that never recur on purpose, such as random ones.
+
+    The built-in operator forgets an id once the watermark passes its lifetime,
+    which may be later than the lifetime itself; for the exact rule use
+    ``throttle_stream`` with the id as key.
+    """
     return rows.withWatermark(event_time, ttl).dropDuplicatesWithinWatermark([id_column])
 
 

@@ -140,6 +140,23 @@ def test_delivery_events(spark, snapshot_dir):
     assert notify.unsent(commands, bad).count() == commands.count() - 1
 
 
+def test_body_and_retry(spark, snapshot_dir):
+    commands = notify.alert_commands(statuses(spark, snapshot_dir), Settings())
+    mixed = commands.withColumn("isHtml", F.col("userId") != "u1")
+    bodies = {r["userId"]: r["body"] for r in notify.with_body(mixed).collect()}
+    assert bodies["u1"].startswith("Dear Ada One,") and bodies["u2"].startswith("<!DOCTYPE html>")
+    bad = commands.filter("userId = 'u1'").select("notificationId", F.lit("refused").alias("errorMessage"))
+    events = notify.delivery_events(commands, bad, F.lit("now"))
+    assert [r["userId"] for r in notify.failed(commands, events).collect()] == ["u1"]
+
+
+def test_latest_by_person_replaces_the_missing_row(spark):
+    rows = [("stand-in", "a@example.org", 1), ("u1", "a@example.org", 2), ("u2", None, 1)]
+    df = spark.createDataFrame(rows, "userId string, email string, t long")
+    assert sorted(r["userId"] for r in dedup.latest_per_person(df, ["t"]).collect()) == ["u1", "u2"]
+    assert dedup.latest_per_key(df, ["userId"], ["t"]).count() == 3
+
+
 def issues(spark):
     rows = [
         ("a", "IT", "EXPIRED"),
@@ -167,6 +184,8 @@ def test_department_summary(spark):
     got = {r["department"]: tuple(r)[1:] for r in digest.department_summary(issues(spark)).collect()}
     assert got == {"IT": (5, 2, 1, 1, 1), "HR": (1, 0, 0, 1, 0), "Unknown": (1, 0, 0, 0, 0)}
     assert digest.department_summary(issues(spark).filter("compliance_status = 'COMPLIANT'")).count() == 0
+    other = {r["department"]: r["otherCount"] for r in digest.department_summary(issues(spark), other=True).collect()}
+    assert other == {"IT": 0, "HR": 0, "Unknown": 1}
 
 
 def test_manager_digest_and_command(spark):

@@ -5,8 +5,11 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from attestal import schemas
 from attestal.operators import dedup, monitor
 from attestal.operators.throttle import throttle
+from attestal.sources import decode
+from attestal.sources.readers import TopicStore, keyed_json
 from attestal.streaming import streams
 
 HOUR = 3600 * 1_000_000
@@ -81,7 +84,7 @@ def test_rate(spark, source, tmp_path):
 def test_redeliveries(spark, source, tmp_path):
     stream, batch = source
     twice = stream.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2))))
-    once = streams.once_per_id_stream(twice, "id", "at")
+    once = streams.drop_redeliveries(twice, "id", "at")
     streams.run(streams.append_files(once.select("id"), str(tmp_path / "out"), str(tmp_path / "cp")))
     assert ids(spark.read.parquet(str(tmp_path / "out"))) == ids(batch)
 
@@ -110,3 +113,36 @@ def test_a_failed_batch_is_made_good(spark, source, tmp_path):
         streams.run(query)
     streams.run(streams.per_batch(stream, fail_once, str(tmp_path / "out"), str(tmp_path / "cp")))
     assert ids(spark.read.parquet(str(tmp_path / "out"))) == ids(batch)
+
+
+def test_credentials_wait_for_the_list(spark, source, tmp_path):
+    stream, batch = source
+    listed = []
+
+    def people():
+        return spark.createDataFrame(listed, "k string")
+
+    def start_status():
+        return streams.status_stream(
+            stream, people, lambda rows, names: rows.join(names, "k", "left_semi"), str(tmp_path / "out"), str(tmp_path / "cp")
+        )
+
+    with pytest.raises(Exception, match="no required list yet"):
+        streams.run(start_status())
+    listed.append(("hot",))
+    streams.run(start_status())
+    assert ids(spark.read.parquet(str(tmp_path / "out"))) == ids(batch.filter("k = 'hot'"))
+
+
+def test_topic_to_topic(spark, tmp_path):
+    """A stream from one topic folder to another, decoded and keyed on the way."""
+    store = TopicStore(str(tmp_path / "topics"), "json")
+    sent = spark.createDataFrame([("n1", "u1", "a@example.org", "EXPIRED", "t", True, None)], schemas.SENT)
+    broken = spark.createDataFrame([("x", "{broken")], "key string, value string")
+    store.append(keyed_json(sent, "userId").unionByName(broken), "in")
+    typed = decode.decode_valid(store.scan(spark, "in", stream=True), "value", schemas.SENT, decode.OPTIONAL_IN_SENT)
+    writer = store.stream_to(keyed_json(typed, "notificationId"), "out", str(tmp_path / "cp"))
+    streams.run(writer.trigger(**streams.AVAILABLE_NOW).start())
+    row = store.scan(spark, "out").first()
+    assert row["key"] == "n1" and '"errorMessage":null' in row["value"]
+    assert store.scan(spark, "out").count() == 1
