@@ -106,8 +106,8 @@ def parse_test_logs(lines: DataFrame, keys: Sequence[str], line_no: str, line: s
     text = F.col(line)
 
     def first(matches: Column, value: Column) -> Column:
-        """Value on the first matching line, as a combined aggregate."""
-        return F.min(F.when(matches, F.struct(F.col(line_no).alias("at"), value.alias("n"))))
+        """Value on the first matching line; two numbers of state, so it hashes."""
+        return F.min_by(value, F.when(matches, F.col(line_no).cast("long")))
 
     summary = text.contains("Tests: succeeded")
     totals = text.rlike("(?i)Total number of tests run:")
@@ -115,6 +115,7 @@ def parse_test_logs(lines: DataFrame, keys: Sequence[str], line_no: str, line: s
     found = lines.groupBy(*keys).agg(
         first(summary, _number(text, "succeeded ([0-9]+)")).alias("s_pass"),
         first(summary, _number(text, "failed ([0-9]+)")).alias("s_fail"),
+        F.max(totals).alias("has_total"),
         first(totals, any_number).alias("t_all"),
         first(text.rlike("(?i)failed [0-9]"), _number(text, "failed ([0-9]+)")).alias("t_fail"),
         first(text.rlike("(?i)passed|succeeded") & any_number.isNotNull(), any_number).alias("g_pass"),
@@ -122,13 +123,15 @@ def parse_test_logs(lines: DataFrame, keys: Sequence[str], line_no: str, line: s
     )
 
     def n(name: str) -> Column:
-        return F.coalesce(F.col(f"{name}.n"), F.lit(0).cast("long"))
+        return F.coalesce(F.col(name), F.lit(0).cast("long"))
 
-    by_summary = F.struct(n("s_pass").alias("passed"), n("s_fail").alias("failed"))
-    by_total = F.when(
-        F.col("t_all").isNotNull(), F.struct((n("t_all") - n("t_fail")).alias("passed"), n("t_fail").alias("failed"))
-    ).otherwise(F.struct(F.lit(0).cast("long").alias("passed"), F.lit(0).cast("long").alias("failed")))
-    by_word = F.struct(n("g_pass").alias("passed"), n("g_fail").alias("failed"))
+    def pair(passed: Column, failed: Column) -> Column:
+        return F.struct(passed.alias("passed"), failed.alias("failed"))
+
+    zero = F.lit(0).cast("long")
+    by_summary = pair(n("s_pass"), n("s_fail"))
+    by_total = F.when(F.col("has_total"), pair(n("t_all") - n("t_fail"), n("t_fail"))).otherwise(pair(zero, zero))
+    by_word = pair(n("g_pass"), n("g_fail"))
 
     def empty(result: Column) -> Column:
         return (result["passed"] == 0) & (result["failed"] == 0)

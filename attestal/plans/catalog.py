@@ -485,8 +485,8 @@ def latest_status(spark: SparkSession, sf: str) -> DataFrame:
 
 def _latest(spark: SparkSession, sf: str) -> DataFrame:
     """Latest event per user first, people joined to what is left."""
-    newest = dedup.latest_per_key(M.person_events(spark, sf), ["userId"], _ORDER)
-    return M.with_people(newest, M.table(spark, sf, "customer"))
+    newest = dedup.latest_per_key(M.events(spark, sf).drop("props"), ["user_id"], _ORDER)
+    return M.with_people(M.status_core(newest), M.table(spark, sf, "customer"))
 
 
 @query
