@@ -1,45 +1,107 @@
 """Ordered operators over keys of any size.
 
 A window partitioned by a key puts all rows of that key into one task. Here the
-time axis is first cut into cells of about ``max_rows`` rows (counted over all
-keys), windows run per (key, cell), and a second, small window carries values
-over the cell edges. The second window sees at most two rows per key and cell.
-Below ``max_rows`` rows in total one cell is enough and one plain window is used.
+order axis (time, then the tie columns) is first cut into cells of about
+``max_rows`` rows, counted over all keys, windows run per (key, cell), and a
+second, small window carries values over the cell edges. The second window sees
+at most two rows per key and cell. Below ``max_rows`` rows in total one cell is
+enough and one plain window is used.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 MAX_ROWS = 2_000_000
-_FINE_CELLS = 1 << 16
+_SLICES = 1 << 16
 CELL = "__cell"
+_GROUP, _SLICE = "__group", "__slice"
 
 
-def with_cells(df: DataFrame, time_us: str, max_rows: int = MAX_ROWS) -> tuple[DataFrame, bool]:
+def with_cells(df: DataFrame, order: Sequence[str], max_rows: int = MAX_ROWS) -> tuple[DataFrame, bool]:
     """Adds the ``__cell`` column; the flag says whether there is more than one.
 
-    The cuts come from a histogram of at most 65,536 equal slices of the time
-    span, merged until a cell holds about ``max_rows`` rows, so they follow
-    bursts. The slice-to-cell table never exceeds 65,536 rows and is broadcast.
+    ``order`` names bigint columns, the most significant first; others end the
+    list. Cuts come from a histogram of at most 65,536 slices, merged up to
+    ``max_rows`` rows, so they follow bursts. A slice that is too large by itself
+    is cut again in the same way: more finely, and once it is a single value, by
+    the next column. Histograms and the tables made of them are bounded by the
+    number of slices, which is why they may pass through the driver.
     """
-    rows, low, high = df.agg(F.count(F.lit(1)), F.min(time_us), F.max(time_us)).first()
-    if rows <= max_rows or low == high:
+    order = [c for c in order if df.schema[c].dataType.simpleString() == "bigint"]
+    rows, low, high = df.agg(F.count(F.lit(1)), F.min(order[0]), F.max(order[0])).first()
+    if rows <= max_rows:
         return df.withColumn(CELL, F.lit(0).cast("long")), False
-    width = math.ceil((high - low + 1) / _FINE_CELLS)
-    fine = F.floor((F.col(time_us) - F.lit(low)) / F.lit(width)).cast("int")
-    histogram = df.groupBy(fine.alias("__fine")).agg(F.count(F.lit(1)).alias("n"))
-    before = Window.orderBy("__fine").rowsBetween(Window.unboundedPreceding, -1)
-    cuts = histogram.select(
-        "__fine",
-        F.floor(F.coalesce(F.sum("n").over(before), F.lit(0)) / F.lit(max_rows)).alias(CELL),
+    marked = df.withColumn(CELL, F.lit(None).cast("long")).withColumn(_GROUP, F.lit(0).cast("long"))
+    spans = {0: (0, low, high)}
+    cells = 0
+    while spans:
+        sliced = _sliced(marked, order, spans)
+        histogram = sliced.filter(F.col(_GROUP).isNotNull()).groupBy(_GROUP, _SLICE).agg(F.count(F.lit(1)).alias("n"))
+        cuts, large, cells = _cut(histogram.orderBy(_GROUP, _SLICE).collect(), max_rows, cells, spans, len(order))
+        table = df.sparkSession.createDataFrame(cuts, f"{_GROUP} long, {_SLICE} long, __found long, __next long")
+        marked = (
+            sliced.join(F.broadcast(table), [_GROUP, _SLICE], "left")
+            .withColumn(CELL, F.coalesce(CELL, "__found"))
+            .withColumn(_GROUP, F.col("__next"))
+            .drop(_SLICE, "__found", "__next")
+        )
+        spans = _spans(marked, order, large)
+    return marked.drop(_GROUP), True
+
+
+def _step(low: int, high: int, groups: int) -> int:
+    return math.ceil((high - low + 1) / max(2, _SLICES // groups))
+
+
+def _sliced(marked: DataFrame, order: Sequence[str], spans: dict[int, tuple[int, int, int]]) -> DataFrame:
+    """Adds the slice number of every row whose group is still to be cut."""
+    table = marked.sparkSession.createDataFrame(
+        [(g, i, low, _step(low, high, len(spans))) for g, (i, low, high) in spans.items()],
+        f"{_GROUP} long, __axis int, __low long, __step long",
     )
-    celled = df.withColumn("__fine", fine).join(F.broadcast(cuts), "__fine", "left").drop("__fine")
-    return celled, True
+    value = reduce(lambda rest, i: F.when(F.col("__axis") == i, F.col(order[i])).otherwise(rest), range(len(order)), F.lit(None))
+    number = F.floor((F.coalesce(value, "__low") - F.col("__low")) / F.col("__step"))
+    joined = marked.join(F.broadcast(table), _GROUP, "left").withColumn(_SLICE, number)
+    return joined.drop("__axis", "__low", "__step")
+
+
+def _cut(
+    histogram: Sequence[Row], max_rows: int, cells: int, spans: dict[int, tuple[int, int, int]], axes: int
+) -> tuple[list[tuple], dict[int, tuple[int, int, int] | int], int]:
+    """Merges slices into cells; returns the table, what must be cut again, and the last cell number."""
+    cuts, large = [], {}
+    held, before = 0, None
+    for group, number, n in histogram:
+        axis, low, high = spans[group]
+        step = _step(low, high, len(spans))
+        if n > max_rows and (step > 1 or axis + 1 < axes):
+            inner = len(large)
+            start = low + number * step
+            large[inner] = (axis, start, start + step - 1) if step > 1 else axis + 1
+            cuts.append((group, number, None, inner))
+            before = None
+            continue
+        if before != group or held + n > max_rows:
+            cells, held = cells + 1, 0
+        held, before = held + n, group
+        cuts.append((group, number, cells, None))
+    return cuts, large, cells
+
+
+def _spans(marked: DataFrame, order: Sequence[str], large: dict) -> dict[int, tuple[int, int, int]]:
+    """Axis and value range of every group to cut; a new axis has its range looked up."""
+    spans = {g: span for g, span in large.items() if isinstance(span, tuple)}
+    for axis in {a for a in large.values() if isinstance(a, int)}:
+        groups = [g for g, a in large.items() if a == axis]
+        found = marked.filter(F.col(_GROUP).isin(groups)).groupBy(_GROUP).agg(F.min(order[axis]), F.max(order[axis]))
+        spans |= {g: (axis, low or 0, high or 0) for g, low, high in found.collect()}
+    return spans
 
 
 def with_previous(
@@ -54,7 +116,7 @@ def with_previous(
     """Adds ``out``: a struct ``<v>`` with the previous row's value, null on the first row."""
     order = [time_us, *tie]
     packed = df.withColumn("__v", F.struct(value.alias("v")))
-    celled, split = with_cells(packed, time_us, max_rows)
+    celled, split = with_cells(packed, order, max_rows)
     within = Window.partitionBy(*keys, CELL).orderBy(*order)
     if not split:
         by_key = Window.partitionBy(*keys).orderBy(*order)
@@ -75,16 +137,16 @@ def with_position(
 ) -> DataFrame:
     """Adds ``out``: the row's dense 0-based position within its key."""
     order = [time_us, *tie]
-    celled, split = with_cells(df, time_us, max_rows)
+    celled, split = with_cells(df, order, max_rows)
     if not split:
         by_key = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumn(out, (F.row_number().over(by_key) - 1).cast("long"))
-    before = Window.partitionBy(*keys).orderBy(CELL).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*keys).orderBy("__start").rowsBetween(Window.unboundedPreceding, -1)
     base = (
         celled.groupBy(*keys, CELL)
-        .agg(F.count(F.lit(1)).alias("__n"))
+        .agg(F.count(F.lit(1)).alias("__n"), F.min(F.struct(*order)).alias("__start"))
         .withColumn("__base", F.coalesce(F.sum("__n").over(before), F.lit(0)))
-        .drop("__n")
+        .drop("__n", "__start")
     )
     within = Window.partitionBy(*keys, CELL).orderBy(*order)
     numbered = celled.withColumn("__rank", F.row_number().over(within) - 1)

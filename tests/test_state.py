@@ -94,15 +94,28 @@ def test_position(spark, max_rows):
     assert {r["id"]: r["pos"] for r in df.collect()} == want
 
 
-def test_cells_stay_near_their_bound(spark):
-    """A burst in time does not make a large cell."""
-    rows = [("k", i, i, "a", 0) for i in range(3000)] + [("k", 10**9 + i * 10**5, 5000 + i, "a", 0) for i in range(3000)]
-    celled, split = cells.with_cells(spark.createDataFrame(rows, SCHEMA), "t", 500)
+def bursts():
+    """Spread rows, a burst within a thousandth of a second, and 900 rows at one moment."""
+    times = [i * HOUR for i in range(900)] + [400 * HOUR + i for i in range(900)] + [500 * HOUR] * 900
+    rnd = random.Random(12)
+    return [("k" if i % 3 else f"k{i % 7}", t, i, rnd.choice("aab"), 0) for i, t in enumerate(times)]
+
+
+def test_cells_keep_their_bound(spark):
+    celled, split = cells.with_cells(spark.createDataFrame(bursts(), SCHEMA), ["t", "id"], 100)
     assert split
     sizes = [r["count"] for r in celled.groupBy(cells.CELL).count().collect()]
-    assert sum(sizes) == 6000
-    # The burst fits one slice of the span; everything else is cut near 500.
-    assert sorted(sizes)[-2] <= 1000
+    assert sum(sizes) == 2700 and max(sizes) <= 100
+
+
+def test_ordered_operators_over_bursts(spark):
+    rows = bursts()
+    df = spark.createDataFrame(rows, SCHEMA)
+    groups = list(by_key(rows))
+    changed = {r[2] for g in groups for b, r in zip([None, *g], g, strict=False) if b is None or b[3] != r[3]}
+    assert ids(dedup.change_filter(df, ["k"], "t", ["id"], "v", max_rows=100)) == changed
+    placed = cells.with_position(df, ["k"], "t", ["id"], "pos", 100)
+    assert {r["id"]: r["pos"] for r in placed.collect()} == {r[2]: i for g in groups for i, r in enumerate(g)}
 
 
 def test_cooldown_is_strict_but_expiry_is_not(spark):
