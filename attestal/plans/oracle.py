@@ -329,11 +329,11 @@ SELECT "userId", "documentId", "documentId"||'-'||v AS "versionId", "firstName",
 FROM cred CROSS JOIN (VALUES (1), (2)) t(v) WHERE lower("typeName") LIKE '%children%'"""
 
 ORACLE["topic_scan"] = _with(LOG) + 'SELECT topic, partition, "offset", key, value FROM log'
-ORACLE["decode_valid"] = "SELECT event_id, user_id, event_type, props FROM events WHERE event_id % 50 NOT IN (0, 1)"
+ORACLE["decode_valid"] = "SELECT event_id, user_id, event_type, props FROM events WHERE value >= 4"
 ORACLE["decode_quarantine"] = f"""
-SELECT CASE WHEN event_id % 50 = 0 THEN substr({_EVENT_JSON}, 1, length({_EVENT_JSON}) - 3)
+SELECT CASE WHEN value < 2 THEN substr({_EVENT_JSON}, 1, length({_EVENT_JSON}) - 3)
   ELSE to_json({{'event_id': event_id, 'user_id': user_id, 'props': props}})::VARCHAR END AS value
-FROM events WHERE event_id % 50 IN (0, 1)"""
+FROM events WHERE value < 4"""
 ORACLE["reference_latest"] = _with(REQ) + """
 SELECT 2::BIGINT AS list_version, CASE WHEN position = 'P5' THEN 'new.'||email ELSE email END AS email,
   "firstName", "lastName", department, position, "requiresWwcc", "startDate" FROM req"""

@@ -130,22 +130,22 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def snapshots(spark: SparkSession, sf: str) -> DataFrame:
-    """One snapshot text per order: two versions of its document.
+    """One snapshot text per order: its document, twice except for driver licences.
 
-    Driver licences come cut off and first-aid certificates with a number where
-    an object belongs, so both fail as a whole.
+    Driver licences come cut off; of the two first-aid certificates the second
+    lacks its type. Both kinds fail as a whole.
     """
     docs = documents(spark, sf)
-    second = F.struct(
-        *[F.concat("document_id", F.lit("-2")).alias(c) if c == "document_version_id" else F.col(c) for c in docs.columns]
-    )
-    body = F.to_json(F.struct(F.lit("").alias("next_page_token"), F.array(F.struct(*docs.columns), second).alias("latest_document_versions")))
     kind = F.col("document_type.name")
-    text = (
-        F.when(kind == "Driver License", F.substring(body, F.lit(1), F.length(body) - 5))
-        .when(kind == "First Aid Certificate", F.replace(body, F.lit('"document_type":{"id":"t"'), F.lit('"document_type":{"ix":"t"')))
-        .otherwise(body)
-    )
+    changed = {
+        "document_version_id": F.concat("document_id", F.lit("-2")),
+        "document_type": F.when(kind != "First Aid Certificate", F.col("document_type")),
+    }
+    first = F.struct(*docs.columns)
+    second = F.struct(*[changed.get(c, F.col(c)).alias(c) for c in docs.columns])
+    versions = F.when(kind == "Driver License", F.array(first)).otherwise(F.array(first, second))
+    body = F.to_json(F.struct(F.lit("").alias("next_page_token"), versions.alias("latest_document_versions")))
+    text = F.when(kind == "Driver License", F.substring(body, F.lit(1), F.length(body) - 5)).otherwise(body)
     return docs.select(text.alias("value"))
 
 
@@ -314,12 +314,11 @@ def committed_offsets(log: DataFrame) -> DataFrame:
 
 
 def raw_messages(spark: SparkSession, sf: str) -> DataFrame:
-    """Event JSON, cut off when the id ends in 0 of 50, without its type at 1 of 50."""
+    """Event JSON, cut off where the value is below 2, without its type where it is below 4."""
     body = event_json()
-    slot = F.col("event_id") % 50
     text = (
-        F.when(slot == 0, F.substring(body, F.lit(1), F.length(body) - 3))
-        .when(slot == 1, F.to_json(F.struct("event_id", "user_id", "props")))
+        F.when(F.col("value") < 2, F.substring(body, F.lit(1), F.length(body) - 3))
+        .when(F.col("value") < 4, F.to_json(F.struct("event_id", "user_id", "props")))
         .otherwise(body)
     )
     return table(spark, sf, "events").select(text.alias("value"))
