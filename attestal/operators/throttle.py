@@ -12,6 +12,11 @@ slices no wider than the shortest wait. Within such a slice a key can keep at
 most one row that is not forced, and that row is a plain minimum, so each slice
 is one map-side combined aggregation over all hot keys. The number of steps is
 the time span over the shortest wait, whatever the number of rows.
+
+Where that would be many steps, waits are short against the span, and the order
+axis is cut into cells instead. A cell is summed up as a function from the last
+kept time before it to the last kept time after it, which few rows decide; the
+functions are applied in a row, and then all cells are scanned side by side.
 """
 
 from __future__ import annotations
@@ -24,10 +29,14 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from attestal.operators.cells import CELL, with_cells
 from attestal.session import work_dir
 
 HOT_ROWS = 5_000_000
 ROWS_PER_FILE = 5_000_000
+CELL_ROWS = 2_000_000
+MAX_STEPS = 400
+ROWS_PER_STEP = 1_000_000
 _MAX_HOT_KEYS = 10_000
 _WAIT, _FORCE, _LAST, _SLICE = "__wait", "__force", "__last", "__slice"
 
@@ -42,6 +51,7 @@ def throttle(
     hot_rows: int = HOT_ROWS,
     sized_by: DataFrame | None = None,
     initial: DataFrame | None = None,
+    max_steps: int = MAX_STEPS,
 ) -> DataFrame:
     """Rows of ``df`` that pass; same columns. ``time_us`` is a bigint column.
 
@@ -59,14 +69,23 @@ def throttle(
     hot = _hot_keys((df if sized_by is None else sized_by).withColumn(_WAIT, wait.cast("long")), keys, time_us, hot_rows)
     if not hot:
         return _scan(rows, initial, keys, time_us, tie).select(*df.columns)
-    names = df.sparkSession.createDataFrame([h[: len(keys)] for h in hot], T.StructType([df.schema[k] for k in keys]))
-    same = _same_key(keys, "r", "h")
-    cold = rows.alias("r").join(F.broadcast(names.alias("h")), same, "left_anti")
-    warm = rows.alias("r").join(F.broadcast(names.alias("h")), same, "left_semi")
-    calm = initial.alias("r").join(F.broadcast(names.alias("h")), same, "left_anti")
-    busy = initial.alias("r").join(F.broadcast(names.alias("h")), same, "left_semi")
-    kept = _scan(cold, calm, keys, time_us, tie).select(*df.columns)
-    return kept.unionByName(_by_slices(warm, busy, hot, keys, time_us, tie).select(*df.columns))
+    sliced, chained = [], []
+    for h in hot:
+        # Many steps are worth it only where each has much to do.
+        steps = (h["__high"] - h["__low"]) // (h[_WAIT] + 1) + 1
+        (sliced if steps <= max(max_steps, h["__n"] // ROWS_PER_STEP) else chained).append(h)
+    kept = _scan(_pick(rows, keys, hot, "left_anti"), _pick(initial, keys, hot, "left_anti"), keys, time_us, tie).select(*df.columns)
+    for part, way in ((sliced, _by_slices), (chained, _by_cells)):
+        if part:
+            mine, known = _pick(rows, keys, part, "left_semi"), _pick(initial, keys, part, "left_semi")
+            kept = kept.unionByName(way(mine, known, part, keys, time_us, tie).select(*df.columns))
+    return kept
+
+
+def _pick(df: DataFrame, keys: Sequence[str], hot: Sequence[Row], how: str) -> DataFrame:
+    """Rows with (left_semi) or without (left_anti) one of the listed keys, at most 10,000."""
+    listed = df.sparkSession.createDataFrame([h[: len(keys)] for h in hot], T.StructType([df.schema[k] for k in keys]))
+    return df.alias("r").join(F.broadcast(listed.alias("h")), _same_key(keys, "r", "h"), how)
 
 
 def _same_key(keys: Sequence[str], left: str, right: str) -> Column:
@@ -190,3 +209,94 @@ def _by_slices(
         state = spark.read.schema(step.schema).parquet(steps[-1]).select(*keys, _LAST)
     picked = spark.read.schema(step.schema).parquet(*steps).filter("__pick IS NOT NULL").select("__pick.*")
     return picked.unionByName(stored.filter(_FORCE).drop(_SLICE))
+
+
+def _by_cells(
+    rows: DataFrame, initial: DataFrame, hot: Sequence[Row], keys: Sequence[str], time_us: str, tie: Sequence[str]
+) -> DataFrame:
+    """The same rule for hot keys with short waits, all cells of a key side by side."""
+    order, where = [time_us, *tie], [*keys, CELL]
+    cell_rows = max(1, min(CELL_ROWS, min(h["__n"] for h in hot) // 2))
+    celled, _ = with_cells(rows, order, cell_rows)
+    base = [celled.schema[c] for c in where] + [celled.schema[c] for c in order]
+    steps = T.ArrayType(T.LongType())
+    summary = T.StructType([*base, T.StructField("below", steps), T.StructField("leave", steps)])
+    # One remembered row per listed key at most, so it may be broadcast.
+    narrow = celled.select(*where, *order, _WAIT, _FORCE).alias("r")
+    seeded = narrow.join(F.broadcast(initial.alias("h")), _same_key(keys, "r", "h"), "left").select("r.*", f"h.{_LAST}")
+    summed = seeded.groupBy(*where).applyInPandas(_sum_up_fn(where, order, time_us), summary)
+    entry = T.StructType([*[celled.schema[c] for c in where], T.StructField(_LAST, T.LongType())])
+    # A remembered time travels as a row without steps.
+    known = initial.select(*keys, F.array(_LAST).alias("leave"))
+    entered = summed.unionByName(known, allowMissingColumns=True).groupBy(*keys).applyInPandas(_enter_fn(where, order), entry)
+    return _scan(celled, entered, where, time_us, tie)
+
+
+def _sum_up_fn(where: list[str], order: list[str], time_us: str) -> Callable:
+    """A cell as steps: coming with a last time under ``below[i]``, it is left with ``leave[i]``."""
+    wait_name, force_name, last_name = _WAIT, _FORCE, _LAST
+
+    def sum_up(rows):  # noqa: ANN001, ANN202 - pandas in, pandas out
+        from bisect import bisect_left
+
+        rows = rows.sort_values(order)
+        times = rows[time_us].tolist()
+        # A row moves the last kept time when that is under the row's limit.
+        limits = [
+            t if forced else t - w
+            for t, w, forced in zip(times, rows[wait_name].tolist(), rows[force_name].tolist(), strict=True)
+        ]
+        # From the back: rows whose limit no earlier row of the rest exceeds,
+        # nearest last, so their limits fall from left to right.
+        leave, ahead, marks = [0] * len(times), [], []
+        for i in range(len(times) - 1, -1, -1):
+            found = bisect_left(marks, -times[i]) - 1
+            leave[i] = leave[ahead[found]] if found >= 0 else times[i]
+            while marks and -marks[-1] <= limits[i]:
+                marks.pop()
+                ahead.pop()
+            marks.append(-limits[i])
+            ahead.append(i)
+        seed = rows[last_name].iloc[0]
+        highest = times[0] if seed != seed or seed is None else max(times[0], int(seed))
+        below, after = [], []
+        for i, limit in enumerate(limits):
+            if below and limit <= below[-1]:
+                continue
+            if below and after[-1] == leave[i]:
+                below[-1] = limit
+            else:
+                below.append(limit)
+                after.append(leave[i])
+            if limit > highest:
+                break
+        out = rows.iloc[:1][[*where, *order]].copy()
+        out["below"], out["leave"] = [below], [after]
+        return out
+
+    return sum_up
+
+
+def _enter_fn(where: list[str], order: list[str]) -> Callable:
+    """The last kept time with which each cell of a key is entered."""
+    last_name = _LAST
+
+    def enter(cells):  # noqa: ANN001, ANN202 - pandas in, pandas out
+        from bisect import bisect_right
+
+        known = cells[cells["below"].isna()]["leave"]
+        last = int(known.iloc[0][0]) if len(known) else None
+        cells = cells[cells["below"].notna()].sort_values(order)
+        entries = []
+        for below, leave in zip(cells["below"], cells["leave"], strict=True):
+            entries.append(last)
+            if last is None:
+                last = leave[0]
+                continue
+            at = bisect_right(below, last)
+            last = leave[at] if at < len(below) else last
+        out = cells[where].copy()
+        out[last_name] = entries
+        return out[[e is not None for e in entries]].astype({last_name: "int64"})
+
+    return enter

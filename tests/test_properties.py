@@ -85,14 +85,14 @@ def test_status_and_flags(spark, rows):
         assert ("NO_CREDENTIAL_NUMBER" in row["fl"]) == (not n)
 
 
-@settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     st.lists(
         st.tuples(st.sampled_from("aab"), st.integers(0, 40), st.integers(0, 9), st.booleans()), min_size=20, max_size=80
     ),
-    st.sampled_from([10**9, 10]),
+    st.sampled_from([(10**9, 400), (10, 400), (10, 0)]),
 )
-def test_throttle(spark, rows, hot_rows):
+def test_throttle(spark, rows, way):
     data = [(k, t, i, w, f) for i, (k, t, w, f) in enumerate(rows)]
     kept, last = set(), {}
     for k, t, i, w, f in sorted(data, key=lambda r: (r[1], r[2])):
@@ -100,5 +100,5 @@ def test_throttle(spark, rows, hot_rows):
             kept.add(i)
             last[k] = t
     df = spark.createDataFrame(data, "k string, t long, id long, w long, f boolean")
-    got = throttle(df, ["k"], "t", ["id"], F.col("w"), F.col("f"), hot_rows=hot_rows)
+    got = throttle(df, ["k"], "t", ["id"], F.col("w"), F.col("f"), hot_rows=way[0], max_steps=way[1])
     assert {r["id"] for r in got.select("id").collect()} == kept

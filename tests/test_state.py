@@ -51,12 +51,13 @@ def ids(df):
     return set(found)
 
 
-@pytest.mark.parametrize("hot_rows", [10**9, 200])
+@pytest.mark.parametrize("hot_rows,max_steps", [(10**9, 400), (200, 400), (200, 0)])
 @pytest.mark.parametrize("seed", [1, 2])
-def test_throttle_own_wait(spark, seed, hot_rows):
+def test_throttle_own_wait(spark, seed, hot_rows, max_steps, monkeypatch):
+    monkeypatch.setattr("attestal.operators.throttle.CELL_ROWS", 40)
     rows = skewed_rows(seed)
     df = spark.createDataFrame(rows, SCHEMA).repartition(3)
-    got = throttle(df, ["k"], "t", ["id"], F.col("w"), hot_rows=hot_rows)
+    got = throttle(df, ["k"], "t", ["id"], F.col("w"), hot_rows=hot_rows, max_steps=max_steps)
     assert got.columns == df.columns
     assert ids(got) == model_greedy(rows, lambda r: r[4])
 
@@ -118,6 +119,23 @@ def test_ordered_operators_over_bursts(spark):
     assert {r["id"]: r["pos"] for r in placed.collect()} == {r[2]: i for g in groups for i, r in enumerate(g)}
 
 
+def test_throttle_from_memory(spark, monkeypatch):
+    """What is remembered counts on every path, for rows that come late too."""
+    monkeypatch.setattr("attestal.operators.throttle.CELL_ROWS", 20)
+    rows = [r for r in skewed_rows(9, n=600) if r[0] is not None]
+    known = {"hot": 100 * HOUR, "k1": 5 * HOUR, "k2": 10**9 * HOUR}
+    kept, last = set(), dict(known)
+    for key, t, i, _, w in sorted(rows, key=lambda r: (r[1], r[2])):
+        if key not in last or t > last[key] + w:
+            kept.add(i)
+            last[key] = t
+    df = spark.createDataFrame(rows, SCHEMA)
+    memory = spark.createDataFrame(list(known.items()), "k string, __last long")
+    for hot_rows, max_steps in ((10**9, 400), (100, 400), (100, 0)):
+        got = throttle(df, ["k"], "t", ["id"], F.col("w"), hot_rows=hot_rows, max_steps=max_steps, initial=memory)
+        assert ids(got) == kept, (hot_rows, max_steps)
+
+
 def test_cooldown_is_strict_but_expiry_is_not(spark):
     day = 86400 * SECOND
     rows = [("k", t, i, "a", 0) for i, t in enumerate([0, day, day + 1, 2 * day + 1, 2 * day + 2])]
