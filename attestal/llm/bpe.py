@@ -23,6 +23,7 @@ from functools import lru_cache
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType
 
 #: Bytes that are encoded directly; tokens on each side of the first window; words that are remembered.
 LEAF, WINDOW, REMEMBERED = 48, 4, 1_000_000
@@ -193,7 +194,7 @@ def _digester(ranks_path: str, pattern: str, names: list[str], keep_ids: bool):
 
 
 _RESULT = ("n_tokens", "ids_sha256", "decoded_sha256", "ids")
-_TYPES = ("long", "string", "string", "array<int>")
+_TYPES = (LongType(), StringType(), StringType(), ArrayType(IntegerType()))
 
 
 def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, keep_ids: bool = False) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from attestal.llm import bpe, exact, langid, mixing, near
+from attestal.llm import bpe, exact, langid, mixing, near, pii
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -53,3 +53,8 @@ def op7_language_id(spark: SparkSession, sf: str) -> DataFrame:
 def op9_bpe(spark: SparkSession, sf: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return bpe.encode_decode(_documents(spark, sf).select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
+
+
+@query
+def op1_pii(spark: SparkSession, sf: str) -> DataFrame:
+    return pii.find_pii(_documents(spark, sf).select("doc_id", "text")).drop("text")
