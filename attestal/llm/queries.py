@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from attestal.llm import bpe, exact, langid, mixing, near, pii
+from attestal.llm import bpe, exact, langid, mixing, near, pii, quality, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -58,3 +58,13 @@ def op9_bpe(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op1_pii(spark: SparkSession, sf: str) -> DataFrame:
     return pii.find_pii(_documents(spark, sf).select("doc_id", "text")).drop("text")
+
+
+@query
+def op2_quality(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.quality(_documents(spark, sf).select("doc_id", "text", "lang", "source")).drop("lang", "source")
+
+
+@query
+def op3_urls(spark: SparkSession, sf: str) -> DataFrame:
+    return urls.filter_urls(_pages(spark, sf).select("page_id", "url")).drop("url")
