@@ -38,12 +38,15 @@ _NAMES = tuple(FLOORS)
 def repeated_words(words: Column) -> list[tuple[str, Column]]:
     """Steps (column, expression) up to ``_repeated``: words inside three-word windows that occur twice or more.
 
-    Windows are told apart by 64-bit hashes. Sorting brings equal ones
-    together, so that the cost is that of a sort whatever repeats.
+    Windows are told apart by 64-bit hashes. Where all differ, nothing more is
+    done; else sorting brings equal ones together, so that the cost is that of
+    a sort whatever repeats.
     """
-    window = lambda i: F.struct(F.xxhash64(F.get("_hashes", i), F.get("_hashes", i + 1), F.get("_hashes", i + 2)).alias("h"), i.alias("i"))
+    window = lambda i: F.xxhash64(F.get("_hashes", i), F.get("_hashes", i + 1), F.get("_hashes", i + 2))
     windows = F.when(F.size("_hashes") >= 3, F.transform(F.sequence(F.lit(0), F.size("_hashes") - 3), window))
-    h = lambda i: F.get("_windows", i)["h"]
+    none = F.array().cast("array<struct<h:bigint,i:int>>")
+    placed = F.transform("_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i")))
+    h = lambda i: F.get("_sorted", i)["h"]
     again = lambda x, i: (i > 0) & (h(i - 1) == x["h"]) | F.coalesce(h(i + 1) == x["h"], F.lit(False))
     total = F.aggregate(
         "_places",
@@ -52,8 +55,9 @@ def repeated_words(words: Column) -> list[tuple[str, Column]]:
     )["n"]
     return [
         ("_hashes", F.transform(words, lambda w: F.xxhash64(w))),
-        ("_windows", F.sort_array(F.coalesce(windows, F.array().cast("array<struct<h:bigint,i:int>>")))),
-        ("_places", F.sort_array(F.transform(F.filter("_windows", again), lambda x: x["i"]))),
+        ("_windows", F.coalesce(windows, F.array().cast("array<bigint>"))),
+        ("_sorted", F.when(F.size(F.array_distinct("_windows")) < F.size("_windows"), F.sort_array(placed)).otherwise(none)),
+        ("_places", F.sort_array(F.transform(F.filter("_sorted", again), lambda x: x["i"]))),
         ("_repeated", total),
     ]
 

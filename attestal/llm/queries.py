@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from attestal.llm import bpe, exact, langid, mixing, near, pii, quality, urls
+from attestal.llm import bpe, exact, html, langid, mixing, near, pii, quality, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -68,3 +68,8 @@ def op2_quality(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op3_urls(spark: SparkSession, sf: str) -> DataFrame:
     return urls.filter_urls(_pages(spark, sf).select("page_id", "url")).drop("url")
+
+
+@query
+def op4_html(spark: SparkSession, sf: str) -> DataFrame:
+    return html.extract(_pages(spark, sf).select("page_id", "url", "html"))
