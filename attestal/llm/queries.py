@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from attestal.llm import bpe, exact, html, langid, mixing, near, pii, quality, urls
+from attestal.llm import bpe, exact, html, langid, lm, mixing, near, pii, quality, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -73,3 +73,8 @@ def op3_urls(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op4_html(spark: SparkSession, sf: str) -> DataFrame:
     return html.extract(_pages(spark, sf).select("page_id", "url", "html"))
+
+
+@query
+def op6_lm_scores(spark: SparkSession, sf: str) -> DataFrame:
+    return lm.score_documents(_documents(spark, sf).select("doc_id", "text"))
