@@ -67,8 +67,9 @@ def exact_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
     groups = suspects.groupBy(F.col("text_sha256").alias("_sha")).agg(
         F.max(key).alias("keep_id"), F.count("*").alias("group_size")
     )
-    together = suspects.join(groups, F.col("text_sha256") == F.col("_sha")).drop("_sha")
+    # the rows that stay are joined by digest and key, so that no group of copies meets in one task for the window
     same = Window.partitionBy("text_sha256", key).orderBy(F.xxhash64(*[F.col(c) for c in docs.columns if c not in RESULT]))
-    first = F.row_number().over(same) == 1
-    together = together.withColumn("kept", F.col(key).eqNullSafe(F.col("keep_id")) & first)
-    return alone.unionByName(together)
+    is_group, is_top = F.col("text_sha256") == F.col("_sha"), F.col(key).eqNullSafe(F.col("keep_id"))
+    top = suspects.join(groups, is_group & is_top).drop("_sha").withColumn("kept", F.row_number().over(same) == 1)
+    copies = suspects.join(groups, is_group).where(~is_top).drop("_sha").withColumn("kept", F.lit(False))
+    return alone.unionByName(top).unionByName(copies)
