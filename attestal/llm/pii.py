@@ -9,6 +9,8 @@ where the last match ended), so that long runs cost linear time.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,30 +40,52 @@ CONTEXT = {
     "iban": "iban|account|bank|konto|compte|cuenta",
 }
 NEAR, ACCEPT = 40, 70
-#: Points for the form, for the checksum or length, and for context.
+#: Points for the form, for the checksum, which a span must pass where there is one, and for context.
 POINTS = {"card": (30, 30, 30), "phone": (40, 0, 30), "iban": (30, 40, 30)}
 
 
-def found(text: Column, pattern: str, worth: Column) -> Column:
-    """Leftmost non-overlapping matches as (start, end, match), in code points; none where ``worth`` is false.
+#: Matches of a block; a start is the sum over whole blocks before it and over its own block's part.
+BLOCK = 256
+
+
+def with_spans(rows: DataFrame, kinds: dict[str, tuple[str, Column, Callable[[Column], Column]]]) -> DataFrame:
+    """Adds for each name (pattern, worth, valid) the valid ones of the leftmost non-overlapping matches.
 
-    Starts are running sums over the pieces between the matches.
+    A span is (start, end, match) in code points. The text between matches
+    comes from splitting at them; ends are running sums over both, by blocks,
+    so that a text of very many matches costs no more than its matches times
+    ``BLOCK``. Where ``worth`` is false nothing is looked for.
     """
-    none = F.array().cast("array<string>")
-    matches = F.when(worth, F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(none)
-    pieces = F.when(worth, F.split(text, pattern, -1)).otherwise(none)
-    pairs = F.arrays_zip(matches.alias("m"), F.slice(pieces, 1, F.size(matches)).alias("p"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,match:string>>").alias("out"))
-
-    def step(state: Column, pair: Column) -> Column:
-        first = state["at"] + F.char_length(pair["p"])
-        last = first + F.char_length(pair["m"])
-        one = F.struct(first.alias("start"), last.alias("end"), pair["m"].alias("match"))
-        return F.struct(last.alias("at"), F.concat(state["out"], F.array(one)).alias("out"))
-
-    return F.when(F.size(matches) > 0, F.aggregate(pairs, start, step)["out"]).otherwise(
-        F.array().cast("array<struct<start:int,end:int,match:string>>")
-    )
+    text, none = F.col("_text"), F.array().cast("array<string>")
+    rows = rows.withColumns({
+        f"{step}_{name}": F.when(worth, value).otherwise(none)
+        for name, (pattern, worth, _) in kinds.items()
+        for step, value in (("_m", F.regexp_extract_all(text, F.lit(pattern), F.lit(0))), ("_p", F.split(text, pattern, -1)))
+    })
+    numbered = lambda name: F.transform(f"_m_{name}", lambda m, i: F.struct(i.alias("i"), m.alias("match")))
+    rows = rows.withColumns({f"_v_{name}": F.filter(numbered(name), valid) for name, (_, _, valid) in kinds.items()})
+    length = lambda a, b: F.char_length(a).cast("long") + F.char_length(b)
+    rows = rows.withColumns({
+        f"_l_{name}": F.when(F.size(f"_v_{name}") > 0, F.zip_with(F.slice(f"_p_{name}", F.lit(1), F.size(f"_m_{name}")), f"_m_{name}", length))
+        for name in kinds
+    })
+    add = lambda total, x: total + x
+    zero = F.lit(0).cast("long")
+    part = lambda name, block, size: F.aggregate(F.slice(f"_l_{name}", block * BLOCK + 1, size), zero, add)
+    blocks = lambda name: F.sequence(F.lit(0), F.floor((F.size(f"_l_{name}") - 1) / BLOCK).cast("int"))
+    whole = lambda name: F.transform(blocks(name), lambda block: part(name, block, F.lit(BLOCK)))
+    grow = lambda before, x: F.concat(before, F.array(F.element_at(before, -1) + x))
+    rows = rows.withColumns({f"_b_{name}": F.when(F.col(f"_l_{name}").isNotNull(), F.aggregate(whole(name), F.array(zero), grow)) for name in kinds})
+
+    def span(name: str) -> Callable[[Column], Column]:
+        def one(v: Column) -> Column:
+            block = F.floor(v["i"] / BLOCK).cast("int")
+            end = (F.get(f"_b_{name}", block) + part(name, block, v["i"] - block * BLOCK + 1)).cast("int")
+            return F.struct((end - F.char_length(v["match"])).alias("start"), end.alias("end"), v["match"].alias("match"))
+
+        return one
+
+    return rows.withColumns({f"_{name}": F.transform(f"_v_{name}", span(name)) for name in kinds})
 
 
 def digits_of(match: Column) -> Column:
@@ -100,6 +124,12 @@ def _valid_ip(span: Column) -> Column:
     return F.forall(F.split(span["match"], r"\."), part)
 
 
+def _valid_account(span: Column) -> Column:
+    plain = F.regexp_replace(span["match"], " ", "")
+    lengths = F.create_map(*[x for k, v in IBAN_LENGTHS.items() for x in (F.lit(k), F.lit(v))])
+    return F.coalesce(F.element_at(lengths, F.substring(plain, 1, 2)) == F.char_length(plain), F.lit(False)) & mod97(plain)
+
+
 def _length(span: Column, least: int, most: int) -> Column:
     return F.char_length(digits_of(span["match"])).between(least, most)
 
@@ -133,40 +163,31 @@ def find_pii(docs: DataFrame, text: str = "text") -> DataFrame:
     rows = docs.drop(*RESULT).withColumn("_text", text_of(text))
     number = F.col("_number")
     rows = rows.withColumn("_number", body.rlike("[0-9][^A-Za-z]*[0-9]"))
-    rows = rows.withColumns({
-        "_email": found(body, EMAIL, F.contains(body, F.lit("@"))),
-        "_ip": found(body, IP, number & F.contains(body, F.lit("."))),
-        "_digits": found(body, CARD, number),
-        "_phone": found(body, PHONE, number & F.contains(body, F.lit("+"))),
-        "_national": found(body, NATIONAL_PHONE, number),
-        "_account": found(body, IBAN, number),
-    })
-    rows = rows.withColumns({
-        "_ip": F.filter("_ip", _valid_ip),
-        "_card": F.filter("_digits", lambda s: _length(s, 16, 19) & luhn(digits_of(s["match"]))),
-        "_phone": F.filter("_phone", lambda s: _length(s, 8, 15)),
+    digits = lambda least, most: lambda s: _length(s, least, most) & luhn(digits_of(s["match"]))
+    rows = with_spans(rows, {
+        "email": (EMAIL, F.contains(body, F.lit("@")), lambda _: F.lit(True)),
+        "ip": (IP, number & F.contains(body, F.lit(".")), _valid_ip),
+        "digits": (CARD, number, digits(13, 19)),
+        "phone": (PHONE, number & F.contains(body, F.lit("+")), lambda s: _length(s, 8, 15)),
+        "national": (NATIONAL_PHONE, number, lambda _: F.lit(True)),
+        "account": (IBAN, number, _valid_account),
     })
+    rows = rows.withColumn("_card", F.filter("_digits", lambda s: _length(s, 16, 19)))
     rows = rows.withColumn("_base", F.concat(*[_kind(F.col(f"_{k}"), k) for k in KINDS[:4]]))
 
-    def scored(column: str, kind: str, checked) -> Column:
+    def scored(column: str, kind: str, valid: Callable[[Column], Column]) -> Column:
         points = POINTS[kind]
 
         def accepted(span: Column) -> Column:
-            score = F.lit(points[0]) + F.when(checked(span), points[1]).otherwise(0) + _near(body, span, kind)
+            score = F.lit(points[0] + points[1]) + _near(body, span, kind)
             clear = ~F.exists("_base", lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"]))
-            return checked(span) & (score >= ACCEPT) & clear
-
-        return _kind(F.filter(column, accepted), kind)
+            return (score >= ACCEPT) & clear
 
-    def account(span: Column) -> Column:
-        plain = F.regexp_replace(span["match"], " ", "")
-        lengths = F.create_map(*[x for k, v in IBAN_LENGTHS.items() for x in (F.lit(k), F.lit(v))])
-        return F.coalesce(F.element_at(lengths, F.substring(plain, 1, 2)) == F.char_length(plain), F.lit(False)) & mod97(plain)
+        return _kind(F.filter(F.filter(column, valid), accepted), kind)
 
+    always = lambda _: F.lit(True)
     rows = rows.withColumn("_scored", F.concat(
-        scored("_digits", "card", lambda s: _length(s, 13, 15) & luhn(digits_of(s["match"]))),
-        scored("_national", "phone", lambda s: F.lit(True)),
-        scored("_account", "iban", account),
+        scored("_digits", "card", lambda s: _length(s, 13, 15)), scored("_national", "phone", always), scored("_account", "iban", always)
     ))
     count = lambda kind: F.size(f"_{kind}").cast("long")
     return rows.select(
