@@ -79,7 +79,9 @@ def parse_condition(text: str) -> DaysTest | None:
     if op is None:
         return None
     operand = text.rsplit(op, 1)[1].strip()
-    return DaysTest(op, int(operand)) if re.fullmatch(r"[+-]?\d{1,9}", operand) else None
+    if not re.fullmatch(r"[+-]?[0-9]+", operand) or not -(1 << 31) <= int(operand) < 1 << 31:
+        return None
+    return DaysTest(op, int(operand))
 
 
 def condition_holds(text: str, days: Column) -> Column:

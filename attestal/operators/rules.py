@@ -60,8 +60,15 @@ def rule_condition(conditions: Row | Mapping) -> Column:
     return holds
 
 
+#: What a rule that holds adds to a row.
+HIT = (
+    "struct<ruleId:string,rulePriority:string,ruleIssueType:string,ruleTemplate:string,"
+    "notifyEmployee:boolean,notifyManager:boolean,notifyComplianceTeam:boolean>"
+)
+
+
 def evaluate_rules(status: DataFrame, rules: Iterable[Row]) -> DataFrame:
-    """One row per status row and enabled rule that holds."""
+    """One row per status row and enabled rule that holds; no rows where no rule is enabled."""
     hits = []
     for rule in rules:
         if not rule["enabled"]:
@@ -77,7 +84,8 @@ def evaluate_rules(status: DataFrame, rules: Iterable[Row]) -> DataFrame:
             F.lit(note["notify_compliance_team"]).alias("notifyComplianceTeam"),
         )
         hits.append(F.when(rule_condition(rule["conditions"]), hit))
-    return status.withColumn("__hit", F.explode(F.array_compact(F.array(*hits)))).select(*status.columns, "__hit.*")
+    found = F.array_compact(F.array(*hits)) if hits else F.array()
+    return status.withColumn("__hit", F.explode(found.cast(f"array<{HIT}>"))).select(*status.columns, "__hit.*")
 
 
 def with_manager(df: DataFrame, managers: DataFrame, default_manager: str, out: str = "manager") -> DataFrame:

@@ -491,7 +491,7 @@ def _latest(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def dept_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return digest.department_summary(M.status_events(spark, sf))
+    return digest.department_summary(_latest(spark, sf))
 
 
 @query
@@ -504,7 +504,7 @@ def dept_issues(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def manager_digest(spark: SparkSession, sf: str) -> DataFrame:
     plan = M.settings()
-    summary = digest.department_summary(M.status_events(spark, sf))
+    summary = digest.department_summary(_latest(spark, sf))
     return digest.manager_digest(summary, managers_table(spark, plan), plan.default_manager, M.SUMMARY_DATE)
 
 

@@ -115,8 +115,8 @@ _NOTIFY = "compliance_status IN ('EXPIRED','EXPIRING','MISSING','NOT_APPROVED')"
 _PRIORITY = "CASE WHEN {0} IN ('EXPIRED','MISSING') THEN 'HIGH' ELSE 'MEDIUM' END"
 _MANAGER = """CASE department WHEN 'AUTOMOBILE' THEN 'auto.lead@example.org' WHEN 'BUILDING' THEN 'site.lead@example.org'
    WHEN 'FURNITURE' THEN 'site.lead@example.org' ELSE 'hr@example.org' END"""
-_HOURS = """CASE WHEN "daysUntilExpiry" <= 7 THEN 24 WHEN "daysUntilExpiry" <= 14 THEN 72
-   WHEN "daysUntilExpiry" <= 30 THEN 168 WHEN "daysUntilExpiry" <= 60 THEN 336 ELSE 720 END"""
+_HOURS = """CASE WHEN "daysUntilExpiry" > 365 THEN 2160 WHEN "daysUntilExpiry" >= 120 THEN 600
+   WHEN "daysUntilExpiry" < -45 THEN 96 WHEN "daysUntilExpiry" <= 5 THEN 18 WHEN "daysUntilExpiry" < 45 THEN 120 ELSE 480 END"""
 
 LATEST = """latest AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY "userId" ORDER BY ts DESC, event_id DESC) AS rn FROM ev)
@@ -195,23 +195,21 @@ def _digest(source: str) -> str:
 
 _RULES = """hits AS (
   SELECT s.*, r.* FROM statuses s JOIN (VALUES
-    ('expired','HIGH','WWCC_EXPIRED',true,true,true),
-    ('expiring','MEDIUM','WWCC_EXPIRING_SOON',true,true,false),
-    ('missing','HIGH','WWCC_MISSING',true,true,true),
-    ('not-approved','MEDIUM','WWCC_NOT_APPROVED',false,true,true),
-    ('not-started','MEDIUM','WWCC_PRE_EMPLOYMENT',true,true,false),
-    ('unexpected','LOW','WWCC_UNEXPECTED',false,false,true),
-    ('urgent','HIGH','WWCC_EXPIRING_URGENT',true,true,true),
-    ('expired-no-number','HIGH','WWCC_EXPIRED',false,false,true)
+    ('long-lapsed','LOW','LONG_LAPSED',false,false,true),
+    ('ten-days-left','HIGH','LAST_DAYS',true,false,true),
+    ('plan-renewal','LOW','PLAN_RENEWAL',true,false,false),
+    ('settled-in','HIGH','STILL_MISSING',false,true,false),
+    ('unnumbered-lapse','MEDIUM','LAPSED_UNNUMBERED',false,true,true),
+    ('odd-one-out','LOW','LIST_MISMATCH',false,false,true),
+    ('waiting-newcomer','MEDIUM','APPROVAL_WAITS',true,true,false)
   ) r("ruleId","rulePriority","ruleIssueType",e,m,c) ON CASE "ruleId"
-    WHEN 'expired' THEN compliance_status='EXPIRED'
-    WHEN 'expiring' THEN compliance_status='EXPIRING' AND flags LIKE '%EXPIRING_WITHIN_30_DAYS%' AND "daysUntilExpiry" < 30
-    WHEN 'missing' THEN compliance_status='MISSING' AND "daysSinceStart" > 0
-    WHEN 'not-approved' THEN compliance_status='NOT_APPROVED'
-    WHEN 'not-started' THEN compliance_status='NOT_STARTED'
-    WHEN 'unexpected' THEN compliance_status='UNEXPECTED'
-    WHEN 'urgent' THEN compliance_status='EXPIRING' AND "daysUntilExpiry" < 7
-    WHEN 'expired-no-number' THEN compliance_status='EXPIRED' AND flags LIKE '%NO_CREDENTIAL_NUMBER%'
+    WHEN 'long-lapsed' THEN compliance_status IN ('EXPIRED', 'NOT_APPROVED') AND "daysUntilExpiry" < -180
+    WHEN 'ten-days-left' THEN compliance_status='EXPIRING' AND "daysUntilExpiry" < 11
+    WHEN 'plan-renewal' THEN compliance_status IN ('EXPIRING', 'COMPLIANT') AND "daysUntilExpiry" < 75
+    WHEN 'settled-in' THEN compliance_status='MISSING' AND "daysSinceStart" > 21
+    WHEN 'unnumbered-lapse' THEN flags LIKE '%WWCC_EXPIRED%' AND flags LIKE '%NO_CREDENTIAL_NUMBER%'
+    WHEN 'odd-one-out' THEN flags LIKE '%NOT_IN_REQUIRED_LIST%' OR flags LIKE '%NOT_YET_STARTED%'
+    WHEN 'waiting-newcomer' THEN compliance_status='NOT_APPROVED' AND flags LIKE '%APPROVAL_PENDING%' AND "daysSinceStart" > 0
   END)"""
 
 _MESSAGE = """CASE compliance_status
@@ -418,9 +416,10 @@ SELECT "documentId", email, department, position, "startDate", matched FROM matc
 ORACLE["first_rule"] = _EV + """
 SELECT event_id, ord::INT AS ord, name, interval_hours::INT AS interval_hours FROM (
   SELECT event_id, r.*, row_number() OVER (PARTITION BY event_id ORDER BY ord) AS rn
-  FROM ev JOIN (VALUES (0,'Expired',-1,24), (1,'One week',7,24), (2,'Two weeks',14,72), (3,'One month',30,168),
-    (4,'Two months',60,336), (5,'Three months',90,720), (6,'Default',NULL,720)) r(ord, name, bound, interval_hours)
-  ON bound IS NULL OR "daysUntilExpiry" <= bound) WHERE rn = 1"""
+  FROM ev JOIN (VALUES (0,'Next year',2160), (1,'Months away',600), (2,'Long gone',96), (3,'Pressing',18),
+    (4,'Coming up',120), (5,'Others',480)) r(ord, name, interval_hours)
+  ON CASE ord WHEN 0 THEN "daysUntilExpiry" > 365 WHEN 1 THEN "daysUntilExpiry" >= 120 WHEN 2 THEN "daysUntilExpiry" < -45
+    WHEN 3 THEN "daysUntilExpiry" <= 5 WHEN 4 THEN "daysUntilExpiry" < 45 ELSE true END) WHERE rn = 1"""
 ORACLE["manager_lookup"] = _EV + f"""
 SELECT event_id, coalesce(department, 'Unknown') AS department, {_MANAGER} AS manager FROM ev"""
 ORACLE["rule_eval"] = _ALL.rstrip() + ",\n" + _RULES + """
@@ -479,13 +478,13 @@ ORACLE["latest_status"] = _with(EV, LATEST) + 'SELECT "userId", compliance_statu
 
 # --- aggregations ---------------------------------------------------------------------
 
-ORACLE["dept_summary"] = _EV + _SUMMARY.format(source="ev")
+ORACLE["dept_summary"] = _with(EV, LATEST) + _SUMMARY.format(source="latest")
 ORACLE["dept_issues"] = _with(EV, LATEST, _PAGES.format(size=20)) + """
 SELECT department, page, pages,
   string_agg("firstName"||' '||"lastName"||':'||compliance_status, ';' ORDER BY "firstName"||' '||"lastName", "userId") AS issues,
   count(*) AS "totalCount", count(*) FILTER (compliance_status='EXPIRED') AS "expiredCount"
 FROM paged GROUP BY 1, 2, 3"""
-ORACLE["manager_digest"] = _EV + _digest("ev")
+ORACLE["manager_digest"] = _with(EV, LATEST) + _digest("latest")
 ORACLE["poll_counters"] = _with(POLLS) + """
 SELECT strftime(ts, '%Y-%m-%d') AS poll, count(*) FILTER (changed) AS changed, count(*) FILTER (NOT changed) AS unchanged FROM (
   SELECT ts, lag(fingerprint) OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) IS DISTINCT FROM fingerprint AS changed

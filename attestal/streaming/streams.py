@@ -156,7 +156,8 @@ def throttle_stream(
         )
         if keep_us is not None:
             newest = fresh.agg(F.max(time_us)).first()[0]
-            state = state.filter(F.col("__last") >= F.lit(newest - keep_us))
+            # a batch without rows tells no time, so it forgets nothing
+            state = state if newest is None else state.filter(F.col("__last") >= F.lit(newest - keep_us))
         state.select(*[f.name for f in memory]).write.mode("overwrite").parquet(folder)
 
     return (

@@ -80,13 +80,21 @@ def status_rows(spark):
 def test_rules_document(spark):
     hits = R.evaluate_rules(status_rows(spark), readers.load_rules(spark, SAMPLE_RULES))
     got = sorted((r["userId"], r["ruleId"]) for r in hits.collect())
-    assert got == [
-        ("u1", "expired"),
-        ("u1", "expired-no-number"),
-        ("u2", "expiring"),
-        ("u2", "urgent"),
-        ("u5", "missing"),
-    ]
+    assert got == [("u1", "unnumbered-lapse"), ("u2", "plan-renewal"), ("u2", "ten-days-left")]
+
+
+def test_no_enabled_rule_gives_no_rows(spark):
+    off = [r for r in readers.load_rules(spark, SAMPLE_RULES) if not r["enabled"]]
+    for rules in (off, []):
+        hits = R.evaluate_rules(status_rows(spark), rules)
+        assert hits.count() == 0 and {"ruleId", "notifyManager"} <= set(hits.columns)
+
+
+def test_whole_range_of_thresholds():
+    from attestal.functions.predicates import parse_condition
+
+    assert parse_condition("days_until_expiry < 2147483647").bound == 2147483647
+    assert parse_condition("days_until_expiry < 2147483648") is None
 
 
 def test_rule_recipients(spark):
@@ -95,21 +103,17 @@ def test_rule_recipients(spark):
     got = R.rule_recipients(hits, managers, "hr@example.org", "team@example.org").collect()
     pairs = sorted((r["userId"], r["ruleId"], r["role"], r["recipient"]) for r in got if r["userId"] in ("u1", "u2"))
     assert pairs == [
-        ("u1", "expired", "compliance_team", "team@example.org"),
-        ("u1", "expired", "employee", "a@example.org"),
-        ("u1", "expired", "manager", "boss@example.org"),
-        ("u1", "expired-no-number", "compliance_team", "team@example.org"),
-        ("u2", "expiring", "employee", "b@example.org"),
-        ("u2", "expiring", "manager", "hr@example.org"),
-        ("u2", "urgent", "compliance_team", "team@example.org"),
-        ("u2", "urgent", "employee", "b@example.org"),
-        ("u2", "urgent", "manager", "hr@example.org"),
+        ("u1", "unnumbered-lapse", "compliance_team", "team@example.org"),
+        ("u1", "unnumbered-lapse", "manager", "boss@example.org"),
+        ("u2", "plan-renewal", "employee", "b@example.org"),
+        ("u2", "ten-days-left", "compliance_team", "team@example.org"),
+        ("u2", "ten-days-left", "employee", "b@example.org"),
     ]
 
 
 def test_rules_table_scan(spark):
     table = readers.read_rules(spark, SAMPLE_RULES)
-    assert table.filter("enabled").count() == 8
+    assert table.filter("enabled").count() == 7
     assert table.first()["default_compliance_email"] == "compliance@example.org"
 
 
@@ -131,7 +135,7 @@ def test_settings_partial_document():
 
 def test_sample_settings():
     plan = load_settings(SAMPLE_SETTINGS)
-    assert len(plan.frequency_rules) == 7 and invalid_rules(plan) == []
+    assert len(plan.frequency_rules) == 6 and invalid_rules(plan) == []
     assert plan.digest.enabled
 
 
