@@ -101,12 +101,13 @@ def with_pages(issues: DataFrame, by: Sequence[str], page_size: int) -> DataFram
 
 
 def department_issues(latest: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
-    """Issue lists by department and page, sorted by name."""
-    return (
+    """Issue lists by department and page, sorted by name; the counts are those of the whole department."""
+    listed = (
         with_pages(open_issues(latest), ["department"], page_size)
         .groupBy("department", "page", "pages")
-        .agg(F.sort_array(F.collect_list(_issue())).alias("issues"), *_counts())
+        .agg(F.sort_array(F.collect_list(_issue())).alias("issues"))
     )
+    return listed.join(department_summary(latest), "department")
 
 
 def digest_pages(
@@ -114,13 +115,15 @@ def digest_pages(
 ) -> DataFrame:
     """Digest content by manager and page: department sections with their issues.
 
-    Section counts are those of the page; the totals are those of the manager.
+    Section counts are those of the whole department, on whatever page a part
+    of its list stands; the totals are those of the manager.
     """
     issues = with_manager(open_issues(latest), managers, default_manager)
     sections = (
         with_pages(issues, ["manager"], page_size)
         .groupBy("manager", "page", "pages", "department")
-        .agg(F.sort_array(F.collect_list(_issue())).alias("issues"), *_counts())
+        .agg(F.sort_array(F.collect_list(_issue())).alias("issues"))
+        .join(department_summary(latest), "department")
     )
     section = F.struct("department", "issues", "totalCount", *[name for name, _ in _COUNTS])
     pages = sections.groupBy("manager", "page", "pages").agg(F.sort_array(F.collect_list(section)).alias("departments"))

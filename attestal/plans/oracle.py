@@ -306,16 +306,18 @@ _DIGEST_PAGES = f"""issue_rows AS (
 paged AS (
   SELECT *, 1 + ('0x'||substr(md5("userId"), 1, 8))::BIGINT % pages AS page FROM (
     SELECT *, ceil(count(*) OVER (PARTITION BY manager) / 500)::BIGINT AS pages FROM issue_rows)),
+whole AS (
+  SELECT dept, count(*) AS n, count(*) FILTER (compliance_status='EXPIRED') AS expired,
+    count(*) FILTER (compliance_status='EXPIRING') AS expiring, count(*) FILTER (compliance_status='MISSING') AS missing,
+    count(*) FILTER (compliance_status='NOT_APPROVED') AS not_approved FROM issue_rows GROUP BY dept),
 sections AS (
   SELECT manager, page, any_value(pages) AS pages, dept AS department,
-    '<section><h3>'||dept||'</h3><p>'||count(*)||' Issue'||{_S.format("count(*)")}||' • '||concat_ws(' • ',
-      nullif(count(*) FILTER (compliance_status='EXPIRED'), 0)||' Expired',
-      nullif(count(*) FILTER (compliance_status='EXPIRING'), 0)||' Expiring',
-      nullif(count(*) FILTER (compliance_status='MISSING'), 0)||' Missing',
-      nullif(count(*) FILTER (compliance_status='NOT_APPROVED'), 0)||' Not Approved')
+    '<section><h3>'||dept||'</h3><p>'||any_value(n)||' Issue'||{_S.format("any_value(n)")}||' • '||concat_ws(' • ',
+      nullif(any_value(expired), 0)||' Expired', nullif(any_value(expiring), 0)||' Expiring',
+      nullif(any_value(missing), 0)||' Missing', nullif(any_value(not_approved), 0)||' Not Approved')
     ||'</p><table><tr><th>Name</th><th>Status</th><th>WWCC Number</th><th>Expiry</th><th>Days</th></tr>'
     ||string_agg({_ISSUE_ROW}, '' ORDER BY "firstName"||' '||"lastName", "userId")||'</table></section>' AS section
-  FROM paged GROUP BY manager, page, dept)"""
+  FROM paged JOIN whole USING (dept) GROUP BY manager, page, dept)"""
 
 ORACLE: dict[str, str] = {}
 
@@ -482,8 +484,8 @@ ORACLE["dept_summary"] = _with(EV, LATEST) + _SUMMARY.format(source="latest")
 ORACLE["dept_issues"] = _with(EV, LATEST, _PAGES.format(size=20)) + """
 SELECT department, page, pages,
   string_agg("firstName"||' '||"lastName"||':'||compliance_status, ';' ORDER BY "firstName"||' '||"lastName", "userId") AS issues,
-  count(*) AS "totalCount", count(*) FILTER (compliance_status='EXPIRED') AS "expiredCount"
-FROM paged GROUP BY 1, 2, 3"""
+  any_value(whole."totalCount") AS "totalCount", any_value(whole."expiredCount") AS "expiredCount"
+FROM paged JOIN (""" + _SUMMARY.format(source="latest") + """) whole USING (department) GROUP BY 1, 2, 3"""
 ORACLE["manager_digest"] = _with(EV, LATEST) + _digest("latest")
 ORACLE["poll_counters"] = _with(POLLS) + """
 SELECT strftime(ts, '%Y-%m-%d') AS poll, count(*) FILTER (changed) AS changed, count(*) FILTER (NOT changed) AS unchanged FROM (

@@ -210,6 +210,8 @@ def test_digest_pages_lose_nothing(spark, size):
     listed = pages.select("manager", F.explode("departments").alias("d")).select("manager", F.explode("d.issues").alias("i"))
     assert sorted(r["userId"] for r in listed.select("i.userId").collect()) == list("abcdefg")
     assert {r["totalIssues"] for r in pages.filter("manager = 'm@example.org'").collect()} == {5}
+    whole = {r["department"]: r["totalCount"] for r in digest.department_summary(issues(spark)).collect()}
+    assert all(d["totalCount"] == whole[d["department"]] for r in pages.collect() for d in r["departments"])
     if size == 500:
         assert {r["pages"] for r in pages.collect()} == {1}
         by_dept = digest.department_issues(issues(spark)).filter("department = 'IT'").first()
