@@ -3,23 +3,26 @@
 Pass one maps every text's digest to ``HASHES`` slots of a bit table and finds
 the slots hit more than once (a map-side combined count). Pass two marks the
 rows all of whose slots were hit more than once; only those can have an equal
-text. They alone are shuffled, grouped by digest and compared; every other row
-passes straight through as the only one of its kind. A false alarm of the
-filter costs one shuffled row and never changes the result.
+text. They alone are grouped by digest, combined map-side, and joined with
+their groups: those of the few largest groups in place, the others by shuffle.
+Every other row passes straight through as the only one of its kind. A false
+alarm of the filter costs one shuffled row and never changes the result.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attestal.llm.common import text_of
+from attestal.llm.common import stored, text_of
 
 HASHES = 2
 #: Bits of the filter for each row, and the fewest there are.
 BITS_PER_ROW, LEAST_BITS = 16, 1 << 20
 #: The repeated bits, 64 to a row, are broadcast up to this many (2^20 rows of two numbers); past it Spark joins them by shuffle.
 BROADCAST_BITS = 1 << 26
+#: Groups of copies that hold more than one of so many rows are broadcast (fewer than this many); the others are shuffled.
+HOT = 1000
 
 RESULT = ("keep_id", "group_size", "kept", "text_sha256")
 
@@ -36,19 +39,21 @@ def repeated_bits(digests: DataFrame, digest: str, bits: int) -> DataFrame:
     return hit.groupBy(F.shiftright("slot", 6).alias("word")).agg(F.bit_or(bit).alias("mask"))
 
 
-def exact_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+def exact_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", keep_text: bool = True) -> DataFrame:
     """All rows with the row of their text that stays.
 
     Adds ``keep_id`` (largest key among the equal texts), ``group_size``,
     ``kept`` and ``text_sha256`` (of the UTF-8 text); input columns of these
-    names are replaced. A null text counts as empty. Rows that repeat both key
-    and text are one document listed again: exactly one of them is kept. Null
-    keys lose against any key. An empty table gives an empty result.
+    names are replaced, and the text is left out unless ``keep_text``. A null
+    text counts as empty. Rows that repeat both key and text are one document
+    listed again: exactly one of them is kept. Null keys lose against any key.
+    An empty table gives an empty result.
     """
     rows = docs.drop(*RESULT).withColumn("text_sha256", F.sha2(text_of(text), 256))
-    bits = max(LEAST_BITS, 1 << (BITS_PER_ROW * docs.count()).bit_length())
-    table = repeated_bits(rows, "text_sha256", bits)
-    marked = rows
+    total = docs.count()
+    bits = max(LEAST_BITS, 1 << (BITS_PER_ROW * total).bit_length())
+    table = stored(repeated_bits(rows, "text_sha256", bits), "exact-bits")
+    marked = rows if keep_text else rows.drop(text)
     for i in range(HASHES):
         slot = _slot(F.col("text_sha256"), i, bits)
         side = table.select(F.col("word").alias(f"_word{i}"), F.col("mask").alias(f"_mask{i}"))
@@ -63,13 +68,17 @@ def exact_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
     alone = marked.where("not _suspect").drop("_suspect").select(
         "*", F.col(key).alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept")
     )
-    suspects = marked.where("_suspect").drop("_suspect")
+    # written once, so that the numbers that tell repeated rows apart hold for both uses
+    suspects = marked.where("_suspect").drop("_suspect").withColumn("_row", F.monotonically_increasing_id())
+    suspects = stored(suspects, "exact-suspects")
     groups = suspects.groupBy(F.col("text_sha256").alias("_sha")).agg(
-        F.max(key).alias("keep_id"), F.count("*").alias("group_size")
+        F.max(key).alias("keep_id"), F.count("*").alias("group_size"), F.coalesce(F.max_by("_row", key), F.max("_row")).alias("_top")
     )
-    # the rows that stay are joined by digest and key, so that no group of copies meets in one task for the window
-    same = Window.partitionBy("text_sha256", key).orderBy(F.xxhash64(*[F.col(c) for c in docs.columns if c not in RESULT]))
-    is_group, is_top = F.col("text_sha256") == F.col("_sha"), F.col(key).eqNullSafe(F.col("keep_id"))
-    top = suspects.join(groups, is_group & is_top).drop("_sha").withColumn("kept", F.row_number().over(same) == 1)
-    copies = suspects.join(groups, is_group).where(~is_top).drop("_sha").withColumn("kept", F.lit(False))
-    return alone.unionByName(top).unionByName(copies)
+    groups = stored(groups, "exact-groups")
+    # at most HOT groups hold more than this; their rows stay where they are, and no other group fills a task
+    large = F.col("group_size") * HOT > total
+    hot = F.broadcast(groups.where(large))
+    is_group = F.col("text_sha256") == F.col("_sha")
+    rest = suspects.join(F.broadcast(hot.select("_sha")), is_group, "left_anti").join(groups.where(~large), is_group)
+    found = suspects.join(hot, is_group).unionByName(rest).withColumn("kept", F.col("_row") == F.col("_top"))
+    return alone.unionByName(found.drop("_sha", "_row", "_top"))

@@ -34,7 +34,7 @@ def op5_mixing(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def op8_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    found = exact.exact_dedup(_documents(spark, sf).select("doc_id", "text"))
+    found = exact.exact_dedup(_documents(spark, sf).select("doc_id", "text"), keep_text=False)
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
