@@ -89,7 +89,9 @@ def scores(rows: DataFrame, key: str, accepted: Column, rejected: Column) -> Dat
     The characters of a URL are rows of one task and summed up there before
     anything is shuffled.
     """
-    distinct = with_slots(rows.select(key).distinct(), key)
+    # dealt to as many tasks as a shuffle has: few bytes, but much work for each
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    distinct = with_slots(rows.select(key).distinct().repartition(tasks, key), key)
     last = range(1, ORDER + 1)
     here = [F.get(f"_s{n}", F.col("i")).alias(f"s{n}") for n in last]
     before = [F.get(f"_s{n}", F.col("i") - 1).alias(f"b{n}") for n in last[:-1]]
