@@ -25,6 +25,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType
 
+from attestal.llm.common import bound_batches
+
 #: Bytes that are encoded directly; tokens on each side of the first window; words that are remembered.
 LEAF, WINDOW, REMEMBERED = 48, 4, 1_000_000
 #: Units of a text that are put together at a time.
@@ -205,6 +207,7 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, keep_ids: bool
     file of ranks is read on each executor, where the path must exist.
     """
     rows = docs.drop(*_RESULT)
+    bound_batches(rows.sparkSession)
     names = [c for c in rows.columns if c != "text"]
     schema = rows.drop("text").schema
     for name, kind in list(zip(_RESULT, _TYPES, strict=True))[: 4 if keep_ids else 3]:

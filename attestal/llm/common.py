@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attestal.session import work_dir
@@ -43,15 +43,24 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def text_chunks(batch: pa.RecordBatch, column: str, chars: int = 1 << 21) -> Iterator[tuple[int, list[str]]]:
+#: Bytes of a batch of rows that Python gets, unless an operator says otherwise.
+BATCH_BYTES = 4 << 20
+
+
+def bound_batches(spark: SparkSession, size: int = BATCH_BYTES) -> None:
+    """Sets the session's batches for Python by bytes, so that what a task holds does not grow with its texts' lengths (one row is never cut)."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
+
+
+def text_chunks(texts: pa.Array, chars: int = 1 << 21) -> Iterator[tuple[int, list[str]]]:
     """First row and texts of consecutive slices of about ``chars`` characters; one text is never cut."""
-    first, texts, size = 0, [], 0
-    for row, value in enumerate(batch.column(column)):
+    first, chunk, size = 0, [], 0
+    for row, value in enumerate(texts):
         text = value.as_py() or ""
-        texts.append(text)
+        chunk.append(text)
         size += len(text)
         if size >= chars:
-            yield first, texts
-            first, texts, size = row + 1, [], 0
-    if texts:
-        yield first, texts
+            yield first, chunk
+            first, chunk, size = row + 1, [], 0
+    if chunk:
+        yield first, chunk

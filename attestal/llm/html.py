@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from attestal.llm.common import bound_batches
+
 #: Pages that the classifier learns from at most: those whose ids have the smallest hashes.
 SAMPLE_PAGES = 2000
 #: Weight of the tie of neighbours, and what each step between them in the tree leaves of it.
@@ -348,6 +350,7 @@ def extract(pages: DataFrame, html: str = "html") -> DataFrame:
     empty result.
     """
     rows = pages.drop("text", "n_chars")
+    bound_batches(rows.sparkSession)
     shared = rows.sparkSession.sparkContext.broadcast(learn(rows, html=html))
     schema = rows.drop(html).schema.add("text", "string").add("n_chars", "long")
     return rows.mapInArrow(_extractor(shared, html), schema)

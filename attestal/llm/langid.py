@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from attestal.llm.common import remainder, text_chunks
+from attestal.llm.common import bound_batches, remainder, text_chunks
 
 #: Buckets of hashed trigrams; languages that are learned at most, the most frequent ones (the model's size bound).
 BUCKETS, MAX_LANGUAGES = 1 << 15, 256
@@ -63,7 +63,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         langs = batch.column("lang").to_pylist()
-        for first, texts in text_chunks(batch, "text"):
+        for first, texts in text_chunks(batch.column("text")):
             owner, bucket = trigrams(texts)
             here = langs[first : first + len(texts)]
             for lang in set(here):
@@ -121,6 +121,7 @@ def learn(labelled: DataFrame) -> Model:
     Counts cover all rows. What comes to the driver is one number for each
     bucket of at most ``MAX_LANGUAGES`` languages.
     """
+    bound_batches(labelled.sparkSession)
     rows = labelled.where("lang is not null").select("text", F.col("lang").cast("string").alias("lang"))
     counts = rows.mapInArrow(_count, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     top = counts.groupBy("lang").agg(F.sum("n").alias("total")).orderBy(F.desc("total"), "lang").limit(MAX_LANGUAGES)
@@ -132,11 +133,14 @@ def learn(labelled: DataFrame) -> Model:
     return Model(languages, table / table.sum(axis=0, keepdims=True))
 
 
-def _predictor(shared):
+def _predictor(shared, row: str | None = None):
+    def text_column(batch: pa.RecordBatch) -> pa.Array:
+        return batch.column("text") if row is None else batch.column(row).field("text")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = shared.value
         for batch in batches:
-            for first, texts in text_chunks(batch, "text"):
+            for first, texts in text_chunks(text_column(batch)):
                 owner, bucket = trigrams(texts)
                 bounds = np.searchsorted(owner, np.arange(len(texts) + 1))
                 langs, scores, mixtures = [], [], []
@@ -150,15 +154,15 @@ def _predictor(shared):
                     langs.append(lang)
                     scores.append(score)
                     mixtures.append(",".join(f"{k}:{v:.3f}" for k, v in sorted(mixture.items(), key=lambda x: (-x[1], x[0]))))
-                part = batch.slice(first, len(texts)).drop_columns(["text"])
+                part = batch.slice(first, len(texts)).drop_columns(["text"] if row is None else [])
                 columns = [*part.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(mixtures, pa.string())]
                 yield pa.RecordBatch.from_arrays(columns, names=[*part.schema.names, "lang_pred", "score", "mixture"])
 
     return run
 
 
-def predict(rows: DataFrame, model: Model) -> DataFrame:
-    """Rows with column text replaced by ``lang_pred``, ``score`` (its share of the text) and ``mixture``.
+def predict(rows: DataFrame, model: Model, row: str | None = None) -> DataFrame:
+    """Rows with column text, unless it is a field of column ``row``, replaced by ``lang_pred``, ``score`` (its share of the text) and ``mixture``.
 
     A null text, or one without a letter, is ``und`` with score 0; so is every
     text if nothing was learned. Other columns are carried along unread.
@@ -166,7 +170,8 @@ def predict(rows: DataFrame, model: Model) -> DataFrame:
     schema = rows.drop("text", "lang_pred", "score", "mixture").schema.add("lang_pred", "string").add("score", "double").add("mixture", "string")
     shared = rows.sparkSession.sparkContext.broadcast(model)
     narrow = rows.drop("lang_pred", "score", "mixture")
-    return narrow.mapInArrow(_predictor(shared), schema)
+    bound_batches(rows.sparkSession)
+    return narrow.mapInArrow(_predictor(shared, row), schema)
 
 
 def held_out() -> Column:
@@ -189,6 +194,5 @@ MAIN_SHARE = 0.5
 def with_main_language(docs: DataFrame) -> DataFrame:
     """The documents that have letters and a main language; the others go. All columns are kept as they are."""
     model = learn(docs.where(~held_out()).select("text", "lang"))
-    row = docs.select(F.struct("*").alias("_row"), "text")
-    found = predict(row, model).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= MAIN_SHARE))
+    found = predict(docs.select(F.struct("*").alias("_row")), model, "_row").where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= MAIN_SHARE))
     return found.select("_row.*")

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from attestal.llm.common import stored
+from attestal.llm.common import bound_batches, stored
 
 SKETCH = 64
 #: Standard deviations that a sketch's overlap may fall below its mean before a link is missed (about one in a million of those right at the similarity, none in practice above).
@@ -217,6 +217,7 @@ class _Finder:
 
     def __init__(self, docs: DataFrame, n: int, similarity: float):
         self.docs, self.n, self.similarity = docs, n, similarity
+        bound_batches(docs.sparkSession)
         keyed = docs.select(F.col("doc_id").cast("long").alias("key"), "text")
         self.sets = stored(keyed.mapInArrow(_sketcher(n, SKETCH), _SETS), "sketches")
         classes = self.sets.where("set_hash is not null and key is not null").groupBy("set_hash").agg(F.min("key").alias("node"))
