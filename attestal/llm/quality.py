@@ -173,7 +173,8 @@ def quality(docs: DataFrame, text: str = "text") -> DataFrame:
     estimates = stored(_first_estimate(sound), "quality-estimates")
     for _ in range(STEPS):
         far = _distances(sound, estimates)
-        limit = far.groupBy("_group").agg(F.percentile("_step", F.lit(COVERED)).alias("_limit"))
+        # written, so that Spark knows its size and does not shuffle the rows of a large group for it
+        limit = stored(far.groupBy("_group").agg(F.percentile("_step", F.lit(COVERED)).alias("_limit")), "quality-limits")
         estimates = stored(_estimate(far.join(limit, "_group").where("_step <= _limit")), "quality-estimates")
     middle = _distances(sound, estimates).groupBy("_group").agg(F.percentile("_step", F.lit(0.5)).alias("_middle"))
     # the covered part varies less than all do; and statistics under their floor make distances small, which is no reason to scale them up
