@@ -40,6 +40,8 @@ SLACK = 5.0
 SHORT_LIST, HUBS, BLOCK, BLOCK_HASHES = 24, 3, 512, 500_000
 #: Rounds after which joining links is given up as an error; each halves the distance to the root at least.
 MAX_ROUNDS = 60
+#: Slots of the table, broadcast 64 to a row, that spares texts of other documents the shuffle to their candidates; past about as many candidates it lets every text through, and the join alone decides.
+FILTER_BITS = 1 << 26
 
 _PRIMES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 
@@ -78,7 +80,7 @@ def _offsets(sizes: list[int]) -> pa.Array:
 
 
 def _sketcher(n: int, keep: int | None):
-    """Rows (key, text) as (key, n_shingles, set_hash, hashes): the lowest ``keep`` hashes, or all."""
+    """Rows (key, text, ...) as (key, n_shingles, set_hash, hashes, ...): the lowest ``keep`` hashes, or all. Further columns are passed on."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _WordHashes()
@@ -94,8 +96,9 @@ def _sketcher(n: int, keep: int | None):
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([xxhash.xxh3_128_hexdigest(s.tobytes()) if len(s) else None for s in sets], pa.string()),
                         pa.ListArray.from_arrays(_offsets([len(s) for s in kept]), pa.array(_signed(flat))),
+                        *part.columns[2:],
                     ],
-                    names=["key", "n_shingles", "set_hash", "hashes"],
+                    names=["key", "n_shingles", "set_hash", "hashes", *part.schema.names[2:]],
                 )
 
     return run
@@ -220,10 +223,12 @@ class _Finder:
         bound_batches(docs.sparkSession)
         keyed = docs.select(F.col("doc_id").cast("long").alias("key"), "text")
         self.sets = stored(keyed.mapInArrow(_sketcher(n, SKETCH), _SETS), "sketches")
-        classes = self.sets.where("set_hash is not null and key is not null").groupBy("set_hash").agg(F.min("key").alias("node"))
-        self.classes = stored(classes, "classes")
-        own = self.sets.join(self.classes, "set_hash").where("key = node")
-        self.sketches = stored(own.select("node", F.col("n_shingles").alias("n"), "hashes").dropDuplicates(["node", "n", "hashes"]), "class-sketches")
+        # rows of one set have one sketch, so any of them is the class's
+        classes = self.sets.where("set_hash is not null and key is not null").groupBy("set_hash").agg(
+            F.min("key").alias("node"), F.first("n_shingles").alias("n"), F.first("hashes").alias("hashes")
+        )
+        classes = stored(classes, "classes")
+        self.classes, self.sketches = classes.select("set_hash", "node"), classes.select("node", "n", "hashes")
         kept = self.sketches.select("node", "n", F.explode("hashes").alias("v"))
         common = kept.groupBy("v").agg(F.count("*").alias("df")).where("df > 1")
         ranked = kept.join(common, "v").groupBy("node", "n").agg(
@@ -265,11 +270,21 @@ class _Finder:
         return joined.mapInPandas(_estimator(self.similarity), "a long, b long").distinct()
 
     def full_sets(self, nodes: DataFrame) -> DataFrame:
-        """(node, n, hashes) with the whole set of every class among the nodes."""
-        keyed = self.docs.select(F.col("doc_id").cast("long").alias("key"), "text").join(nodes, F.col("key") == F.col("node"), "left_semi")
-        sets = stored(keyed.mapInArrow(_sketcher(self.n, None), _SETS), "sets")
-        own = sets.join(self.classes.withColumnRenamed("node", "key"), ["set_hash", "key"], "left_semi")
-        return own.dropDuplicates(["key", "set_hash"]).select(F.col("key").alias("node"), F.col("n_shingles").alias("n"), "hashes")
+        """(node, n, hashes) with the whole set of every class among the nodes.
+
+        Texts that cannot be a node's stay where they are: a table of the slots
+        that node ids hash to is laid over the scan before anything is dealt out.
+        """
+        wanted = stored(self.classes.join(nodes, "node").select("node", F.col("set_hash").alias("want")), "wanted")
+        slot = lambda key: F.pmod(F.xxhash64(key), F.lit(FILTER_BITS).cast("long"))
+        bit = F.expr("shiftleft(1L, cast(slot % 64 as int))")
+        table = wanted.select(slot("node").alias("slot")).groupBy(F.shiftright("slot", 6).alias("word")).agg(F.bit_or(bit).alias("mask"))
+        keyed = self.docs.select(F.col("doc_id").cast("long").alias("key"), "text")
+        marked = keyed.join(F.broadcast(table), F.shiftright(slot("key"), 6) == F.col("word"))
+        near = marked.where(F.getbit("mask", (slot("key") % 64).cast("int")) == 1).select("key", "text").distinct()
+        texts = near.join(wanted, F.col("key") == F.col("node")).select("key", "text", "want")
+        sets = stored(texts.mapInArrow(_sketcher(self.n, None), _SETS + ", want string").where("set_hash = want"), "sets")
+        return sets.select(F.col("key").alias("node"), F.col("n_shingles").alias("n"), "hashes")
 
     def confirmed(self, pairs: DataFrame) -> DataFrame:
         """Those of the pairs whose full sets reach the similarity."""
