@@ -42,6 +42,8 @@ SHORT_LIST, HUBS, BLOCK, BLOCK_HASHES = 24, 3, 512, 500_000
 MAX_ROUNDS = 60
 #: Slots of the table, broadcast 64 to a row, that spares texts of other documents the shuffle to their candidates; past about as many candidates it lets every text through, and the join alone decides.
 FILTER_BITS = 1 << 26
+#: Shares into which the members of one family are dealt before they get their numbers of blocks.
+SHARES = 32
 
 _PRIMES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 
@@ -322,7 +324,10 @@ class _Finder:
         sizes = families.join(sets.select("node", "n"), "node").groupBy("family").agg(
             parts(F.col("open").cast("int")).alias("rest"), parts(F.lit(1)).alias("whole")
         )
-        rows = rows.join(sizes, "family").where("rest > 0").withColumn("_h", F.pmod(F.xxhash64("node"), F.lit(1 << 30)))
+        # a family may hold most rows: its members meet their sizes in shares
+        sizes = sizes.where("rest > 0").withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1))))
+        rows = rows.withColumn("_h", F.pmod(F.xxhash64("node"), F.lit(1 << 30))).withColumn("share", (F.shiftright("_h", 20) % SHARES).cast("int"))
+        rows = rows.join(sizes, ["family", "share"])
         opened = rows.where("open").withColumn("i", F.pmod("_h", "rest")).withColumn("j", F.explode(F.expr("sequence(0, whole - 1)")))
         every = rows.withColumn("open", F.lit(False)).withColumn("j", F.pmod("_h", "whole")).withColumn("i", F.explode(F.expr("sequence(0, rest - 1)")))
         kept = ["family", "i", "j", "node", "label", "n", "open", "hashes"]
