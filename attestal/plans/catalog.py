@@ -591,6 +591,21 @@ def compliance_report(spark: SparkSession, sf: str) -> DataFrame:
     return flows.compliance_counts(_all_statuses(spark, sf))
 
 
+@query
+def status_changes(spark: SparkSession, sf: str) -> DataFrame:
+    rows = flows.status_changes(M.person_events(spark, sf).drop("ts"), "ts_us", _TIE)
+    return rows.select("event_id", "userId", "compliance_status")
+
+
+@query
+def digest_run_log(spark: SparkSession, sf: str) -> DataFrame:
+    """Days a digest starts on; days with a due error event count as run before."""
+    before = _due_checks(spark, sf).filter("event_type = 'error'")
+    before = before.select(F.to_date("local_ts").cast("string").alias("localDate")).distinct()
+    checks = M.events(spark, sf).select("event_id", "ts", "ts_us")
+    return flows.digest_runs(checks, M.settings(), before, F.col("ts"), _ORDER).select("localDate", "event_id")
+
+
 @query
 def notification_flow(spark: SparkSession, sf: str) -> DataFrame:
     return _flat_commands(flows.notifications(M.person_events(spark, sf).drop("ts"), M.settings(), "ts_us", _TIE))

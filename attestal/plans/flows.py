@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from attestal import constants as K
-from attestal.functions.predicates import should_notify
+from attestal import schemas
+from attestal.functions import scalar as S
+from attestal.functions.predicates import digest_due, local_time, should_notify
 from attestal.operators import classify, dedup, digest, notify
 from attestal.operators.throttle import HOT_ROWS
 from attestal.sources.config import Settings, managers_table
@@ -26,6 +28,17 @@ def compliance_counts(status: DataFrame) -> DataFrame:
     )
 
 
+def status_changes(status: DataFrame, time_us: str, tie: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Status rows that tell something new about their person, and unchanged ones a day after they last went out.
+
+    The fingerprint leaves out the processing time, which differs on every run.
+    """
+    told = [f.name for f in schemas.STATUS.fields if f.name != "processedAt" and f.name in status.columns]
+    marked = status.withColumn("__told", S.fingerprint([(c, F.col(c)) for c in told]))
+    rows = dedup.change_filter_ttl(marked, ["userId"], time_us, tie, "__told", K.STATUS_TTL_S, hot_rows=hot_rows)
+    return rows.drop("__told")
+
+
 def notifications(
     status: DataFrame, settings: Settings, time_us: str, tie: Sequence[str], hot_rows: int = HOT_ROWS
 ) -> DataFrame:
@@ -48,6 +61,19 @@ def digests(latest: DataFrame, settings: Settings, summary_date: str) -> DataFra
     return digest.manager_digest(digest.department_summary(latest), managers, settings.default_manager, summary_date)
 
 
+def digest_runs(checks: DataFrame, settings: Settings, run_log: DataFrame, utc: Column, order: Sequence[str]) -> DataFrame:
+    """Checks that start a digest, with their ``localDate``: the first due one of each local day not in the run log.
+
+    No row where digests are switched off. The rows are to be appended to the
+    run log, also for a day on which no manager has anything to read.
+    """
+    plan = settings.digest
+    due = F.lit(plan.enabled) & digest_due(utc, plan.day_of_week, plan.time, plan.timezone)
+    dated = checks.filter(due).withColumn("localDate", F.to_date(local_time(utc, plan.timezone)).cast("string"))
+    fresh = dated.join(run_log.select("localDate"), "localDate", "left_anti")
+    return dedup.first_per_key(fresh, ["localDate"], order)
+
+
 def deliveries(commands: DataFrame, failures: DataFrame, time_us: str, tie: Sequence[str], sent_at: Column) -> DataFrame:
     """Delivery events of commands, each id processed once."""
     return notify.delivery_events(dedup.once_per_id(commands, "notificationId", time_us, tie), failures, sent_at)

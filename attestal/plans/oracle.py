@@ -539,6 +539,30 @@ UNION ALL SELECT {_id("'system'", "manager", "'2024-02-01T00:00:00Z'")}, 'system
 
 ORACLE["compliance_report"] = _ALL + """
 SELECT coalesce(department, 'Unknown') AS department, compliance_status, count(*) AS people FROM statuses GROUP BY 1, 2"""
+_TOLD = """told AS (
+  SELECT event_id, "userId", compliance_status, ts_us AS t, row_number() OVER (PARTITION BY "userId" ORDER BY ts, event_id) AS rn,
+    concat_ws('|', event_type, coalesce("wwccNumber", ''), coalesce("daysUntilExpiry"::VARCHAR, '')) AS state FROM ev)"""
+ORACLE["status_changes"] = (
+    _with(
+        EV,
+        _TOLD,
+        f"""walk AS (
+  SELECT "userId", rn, event_id, compliance_status, state, t AS out_at, true AS goes FROM told WHERE rn = 1
+  UNION ALL
+  SELECT n."userId", n.rn, n.event_id, n.compliance_status, n.state,
+    CASE WHEN n.state <> w.state OR n.t >= w.out_at + {_DAY_US} THEN n.t ELSE w.out_at END,
+    n.state <> w.state OR n.t >= w.out_at + {_DAY_US}
+  FROM walk w JOIN told n ON n."userId" = w."userId" AND n.rn = w.rn + 1)""",
+        recursive=True,
+    )
+    + 'SELECT event_id, "userId", compliance_status FROM walk WHERE goes'
+)
+ORACLE["digest_run_log"] = _with(
+    _DUE,
+    "typed AS (SELECT due.*, event_type, strftime(local_ts, '%Y-%m-%d') AS day FROM due JOIN events USING (event_id))",
+) + """
+SELECT day AS "localDate", arg_min(event_id, local_ts) AS event_id FROM typed
+WHERE day NOT IN (SELECT day FROM typed WHERE event_type = 'error') GROUP BY day"""
 ORACLE["notification_flow"] = (
     _EV + _ALERT + f"FROM ev WHERE event_id IN (SELECT event_id FROM ({ORACLE['cooldown_rules']}))"
 )
