@@ -322,6 +322,7 @@ def _plain_components(texts, n, percent):
 def test_near_duplicates_against_all_pairs(spark, monkeypatch, short_list):
     monkeypatch.setattr(near, "SHORT_LIST", short_list)
     monkeypatch.setattr(near, "BLOCK", 16)
+    monkeypatch.setattr(near, "FILTER_BITS", 64 if short_list == 2 else near.FILTER_BITS)
     random = np.random.default_rng(6)
     common = " ".join(f"c{i}" for i in range(12))
     texts = [f"{common} " + " ".join(f"u{random.integers(9999)}" for _ in range(random.integers(0, 120))) for _ in range(60)]
