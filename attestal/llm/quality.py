@@ -25,10 +25,11 @@ LEAST_WORDS, MOST_REPEATED = 50, 50
 GROUP_ROWS = 200
 #: Share of the rows that an estimate covers; concentration steps; units of a statistic.
 COVERED, STEPS, UNIT = 0.75, 3, 256
-#: Least spread of a statistic: what varies less is not held against a text.
-FLOORS = {"length": 0.10, "symbols": 0.06, "lines": 0.20, "repeats": 0.10, "words": 0.50}
-#: Median, and the cutoff, of a squared distance with five degrees of freedom (the cutoff's tail is one in a billion).
-MEDIAN, CUTOFF = 4.3515, 52.0
+#: Least spread of a statistic, taken only where the measured one is smaller: the chance spread of the mean length of a
+#: hundred words, a symbol in some 280 characters, a line in 25, a word in 100, and a factor of 1.6 in size.
+FLOORS = {"length": 0.05, "symbols": 0.06, "lines": 0.20, "repeats": 0.10, "words": 0.50}
+#: Median and 0.999 quantile of a squared distance with five degrees of freedom.
+MEDIAN, CUTOFF = 4.3515, 20.515
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 RESULT = (*COUNTS, "base_failed", "kept", "distance")
@@ -122,11 +123,11 @@ def _estimate(rows: DataFrame) -> DataFrame:
     for i, name in enumerate(_NAMES):
         for j in range(i + 1):
             cov = (F.col(f"p{i}{j}") - F.col(f"s{i}") * F.col(f"s{j}").cast("double") / F.col("n")) / F.col("n")
-            if i == j:
-                cov += (FLOORS[name] * UNIT) ** 2
             for k in range(j):
                 cov -= F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
-            table = table.withColumn(f"l{i}{j}", F.sqrt(cov) if i == j else cov / F.col(f"l{j}{j}"))
+            # a floor replaces what varies less given the statistics before it, and adds nothing to larger spreads
+            root = F.sqrt(F.greatest(cov, F.lit((FLOORS[name] * UNIT) ** 2))) if i == j else cov / F.col(f"l{j}{j}")
+            table = table.withColumn(f"l{i}{j}", root)
     mean = F.array(*[F.col(f"s{i}") / F.col("n") for i in range(len(_NAMES))])
     root = F.array(*[F.col(f"l{i}{j}") for i in range(len(_NAMES)) for j in range(i + 1)])
     return table.select("_group", mean.alias("mean"), root.alias("root"))

@@ -109,6 +109,19 @@ def test_quality_rejects_what_lies_far_out(spark):
     assert len(kept) >= 598
 
 
+def test_quality_rejects_what_lies_moderately_out(spark):
+    rng = np.random.default_rng(4)
+    words = ["".join(rng.choice(list("abcdefghij"), rng.integers(2, 9))) for _ in range(3000)]
+    texts = [" ".join(rng.choice(words, rng.integers(150, 400))) for _ in range(600)]
+    # 86 bars in some 195 words, and words longer by half where the mean length hardly varies
+    barred = [" ".join(w + "|" if i < 86 else w for i, w in enumerate(rng.choice(words, 195))) for _ in range(10)]
+    longer = [" ".join(w + "xyz"[: 2 + i % 2] for i, w in enumerate(rng.choice(words, 250))) for _ in range(10)]
+    table = spark.createDataFrame([(i, t, "en", "s") for i, t in enumerate(texts + barred + longer)], "doc_id int, text string, lang string, source string")
+    kept = {r.doc_id for r in quality.quality(table).where("kept").collect()}
+    assert not kept & set(range(600, 620))
+    assert len(kept) >= 594
+
+
 def test_url_rules_and_model(spark):
     cases = [
         ("http://A.Org/x?y", "a.org", "/x", "org/", "allow"), ("x://example.org/es/", "example.org", "/es/", "example.org/es/", "block"),
