@@ -209,6 +209,12 @@ def test_lm_base_and_network(spark, docs, none, monkeypatch):
     assert lm.score_documents(none).count() == 0
 
 
+def test_lm_trains_on_every_document(spark, docs):
+    table = spark.range(300).selectExpr("id AS doc_id", "'a b' AS text").union(docs.select("doc_id", "text"))
+    seen = [r.doc_id for part in lm.rounds(table) for r in part.collect()]
+    assert sorted(map(repr, seen)) == sorted(repr(r.doc_id) for r in table.collect())
+
+
 def test_lm_probabilities_add_up_and_learn():
     model = gru.Model(gru.first_parameters(np.ones(gru.WORDS)))
     random = np.random.default_rng(2)
