@@ -58,6 +58,17 @@ def test_pii_scored_spans(spark):
     assert [r.spans for r in found.collect()] == ["phone:4:18", "", "iban:5:27", "", "card:5:20", ""]
 
 
+def test_pii_accounts_end_where_they_end(spark):
+    texts = [
+        "iban DE89 3704 0044 0532 0130 00 BIC COBADEFFXXX", "iban DE89370400440532013000 EUR 250", "iban GR16 0110 1250 0000 0001 2300 695.",
+        "iban HU42 1177 3016 1111 1018 0000 0000", "iban RO49AAAA1B31007593840000", "iban TR33 0006 1005 1978 6457 8413 26",
+        "iban DE89 3704 0044 0532 0130 01 BIC", "iban DE893704004405320130007", "iban ZZ89370400440532013000",
+    ]
+    found = pii.find_pii(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id int, text string")).orderBy("doc_id")
+    ends = [32, 27, 38, 39, 29, 37]
+    assert [r.spans for r in found.collect()] == [f"iban:5:{e}" for e in ends] + ["", "", ""]
+
+
 def _plain_pii(text):
     def luhn(digits):
         twice = [int(c) * (1 + i % 2) for i, c in enumerate(reversed(digits))]
