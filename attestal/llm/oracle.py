@@ -86,3 +86,87 @@ WITH RECURSIVE words AS (
 SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, component_id = doc_id AS kept
 FROM sets JOIN component USING (doc_id)
 """
+
+_CRC = """crc AS (
+  -- the 256 entries of the CRC-32 table by its rule
+  SELECT list_transform(range(256), lambda n: list_reduce(range(8), lambda c, k:
+    CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n)) AS t
+)"""
+
+
+def _crc32(text: str) -> str:
+    codes = f"list_transform(string_split({text}, ''), lambda c: ascii(c)::BIGINT)"
+    return f"xor(list_reduce({codes}, lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8), 4294967295), 4294967295)"
+
+
+def _offer(place: str, cost: str, letters: str) -> str:
+    """A way on from a place: its cost in six digits, then its audit; '~' is no way."""
+    return f"CASE WHEN {place} = '~' OR ({cost}) IS NULL THEN '~' ELSE printf('%06d', {place}[1:6]::INT + {cost}) || {place}[7:] || '{letters}' END"
+
+
+def _least(*offers: str) -> str:
+    return f"least({', '.join(offers)})"
+
+
+_KEEP = "CASE WHEN NOT must_go AND initial = '{}' THEN late END"
+_RENAME = "CASE WHEN NOT must_go THEN 2 + late END"
+
+ORACLE["op11_conversation_repair"] = f"""
+WITH RECURSIVE {_CRC}, fated AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_crc32("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS fate
+  FROM conversations, crc
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+    CASE fate WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM fated, range(CASE fate WHEN 3 THEN 2 ELSE 1 END) WHERE fate <> 0
+), lined AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM damaged
+), judged AS (
+  SELECT *, rtrim(text, ' \t\n\v\f\r') AS t,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+    lag(role[1]) OVER (PARTITION BY conv_id ORDER BY i) AS before
+  FROM lined
+), faults AS (
+  SELECT *, role[1] AS initial, t = '' AS blank, t <> '' AND again AS duplicate,
+    t <> '' AND NOT again AND t[-1] NOT IN ('.', '!', '?') AS truncated,
+    t = '' OR again AS must_go, (t <> '' AND NOT again AND t[-1] NOT IN ('.', '!', '?'))::INT AS late,
+    coalesce(before || role[1] NOT IN ('su', 'ua', 'au'), false) AS illegal
+  FROM judged
+), walk AS (
+  -- the four places of the grammar after turn i, each before any inserted turn
+  SELECT DISTINCT conv_id, 0::BIGINT AS i, '000000' AS q, '~' AS s, '~' AS u, '~' AS a FROM conversations
+  UNION ALL
+  SELECT conv_id, i,
+    {_offer("q", "3", "D")},
+    {_least(_offer("s", "3", "D"), _offer("q", _KEEP.format("s"), "K"))},
+    {_least(_offer("u1", "3", "D"), *[_offer(x, _KEEP.format("u"), "K") for x in ("q", "s", "a1")], *[_offer(x, _RENAME, "R") for x in ("q", "s", "a1")])},
+    {_least(_offer("a1", "3", "D"), _offer("u1", _KEEP.format("a"), "K"), _offer("u1", _RENAME, "R"))}
+  FROM (
+    SELECT w.conv_id, f.i, q, s, u1, {_least("a", _offer("u1", "2", "I"))} AS a1, initial, must_go, late
+    FROM (SELECT *, {_least("u", _offer("q", "2", "I"), _offer("s", "2", "I"), _offer("a", "2", "I"))} AS u1 FROM walk) AS w
+    JOIN faults AS f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.i = w.i + 1
+  )
+), last AS (
+  SELECT conv_id, max_by({_least("q", "a", _offer("u", "2", "I"), _offer("q", "4", "II"), _offer("s", "4", "II"))}, i) AS best FROM walk GROUP BY conv_id
+), edits AS (
+  SELECT conv_id, k, best[6 + k] AS edit, sum((best[6 + k] <> 'I')::INT) OVER (PARTITION BY conv_id ORDER BY k) AS i
+  FROM last, range(1, 1 + len(best) - 6) AS r(k)
+), told AS (
+  SELECT e.conv_id, k, edit, CASE WHEN edit = 'I' THEN '' ELSE text END AS text, CASE WHEN edit = 'K' THEN role END AS role,
+    row_number() OVER (PARTITION BY e.conv_id ORDER BY k)
+      - coalesce(max(CASE WHEN edit = 'K' AND initial = 's' THEN 1 END) OVER (PARTITION BY e.conv_id), 0) AS place
+  FROM edits AS e LEFT JOIN faults AS f ON f.conv_id IS NOT DISTINCT FROM e.conv_id AND f.i = e.i WHERE edit <> 'D'
+), texts AS (
+  SELECT conv_id, string_agg(coalesce(role, CASE place % 2 WHEN 1 THEN 'user' ELSE 'assistant' END) || ':' || text, chr(10) ORDER BY k) AS repaired
+  FROM told GROUP BY conv_id
+), counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, sum(blank::INT)::BIGINT AS blank,
+    sum(duplicate::INT)::BIGINT AS duplicate, sum(truncated::INT)::BIGINT AS truncated, sum(illegal::INT)::BIGINT AS illegal
+  FROM faults GROUP BY conv_id
+)
+SELECT l.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, best[1:6]::BIGINT AS cost, best[7:] AS audit,
+  sha256(coalesce(repaired, '')) AS repaired_sha256
+FROM last AS l LEFT JOIN counted AS c ON c.conv_id IS NOT DISTINCT FROM l.conv_id LEFT JOIN texts AS t ON t.conv_id IS NOT DISTINCT FROM l.conv_id
+"""

@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from attestal.llm import bpe, exact, html, langid, lm, mixing, near, pii, quality, urls
+from attestal.llm import bpe, exact, html, langid, lm, mixing, near, pii, quality, turns, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -78,3 +79,9 @@ def op4_html(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op6_lm_scores(spark: SparkSession, sf: str) -> DataFrame:
     return lm.score_documents(_documents(spark, sf).select("doc_id", "text"))
+
+
+@query
+def op11_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
+    rows = turns.damage(spark.read.parquet(f"{sf}/conversations.parquet"))
+    return turns.repair(rows, copies=F.col("copies")).drop("turns")
