@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attestal.llm import bpe, exact, html, langid, lm, mixing, near, pii, quality, turns, urls
+from attestal.llm import bpe, exact, html, langid, licences, lm, mixing, near, pii, quality, turns, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -85,3 +85,8 @@ def op6_lm_scores(spark: SparkSession, sf: str) -> DataFrame:
 def op11_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
     rows = turns.damage(spark.read.parquet(f"{sf}/conversations.parquet"))
     return turns.repair(rows, copies=F.col("copies")).drop("turns")
+
+
+@query
+def op12_licence_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return licences.scan_licences(_documents(spark, sf).select("doc_id", "text"), keep_text=False).drop("spans")
