@@ -170,3 +170,26 @@ SELECT l.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coales
   sha256(coalesce(repaired, '')) AS repaired_sha256
 FROM last AS l LEFT JOIN counted AS c ON c.conv_id IS NOT DISTINCT FROM l.conv_id LEFT JOIN texts AS t ON t.conv_id IS NOT DISTINCT FROM l.conv_id
 """
+
+ORACLE["op13_hard_negatives"] = """
+WITH whole AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS vec
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), anchors AS (
+  SELECT * FROM whole WHERE vec_id % 100 = 0
+), positives AS (
+  SELECT a.vec_id AS anchor_id, a.label, a.vec, w.vec_id AS positive_id, list_inner_product(a.vec, w.vec)::BIGINT AS positive_score
+  FROM anchors AS a JOIN whole AS w ON w.label = a.label AND w.vec_id <> a.vec_id
+  QUALIFY row_number() OVER (PARTITION BY a.vec_id ORDER BY positive_score DESC, w.vec_id) <= 5
+), scored AS (
+  SELECT a.vec_id AS anchor_id, w.vec_id AS negative_id, list_inner_product(a.vec, w.vec)::BIGINT AS negative_score
+  FROM anchors AS a JOIN whole AS w ON w.label <> a.label
+)
+SELECT anchor_id, positive_id, (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY negative_score DESC, negative_id))::INT AS rank,
+  negative_id, positive_score, negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE 30 * positive_score <= 100 * negative_score AND 100 * negative_score <= 90 * positive_score
+QUALIFY rank <= 10
+"""

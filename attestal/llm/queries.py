@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attestal.llm import bpe, exact, html, langid, licences, lm, mixing, near, pii, quality, turns, urls
+from attestal.llm import bpe, exact, html, langid, licences, lm, mixing, near, negatives, pii, quality, turns, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -90,3 +90,11 @@ def op11_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op12_licence_scan(spark: SparkSession, sf: str) -> DataFrame:
     return licences.scan_licences(_documents(spark, sf).select("doc_id", "text"), keep_text=False).drop("spans")
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf}/embeddings.parquet")
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = rows.select("vec_id", shifted.cast("int").alias("label"), "embedding")
+    return negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0)
