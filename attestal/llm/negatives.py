@@ -29,6 +29,8 @@ from attestal.llm.common import bound_batches, stored
 
 #: Anchors of a block, candidates of a tree, rows of a leaf, children of a node.
 BLOCK, TREE_ROWS, LEAF, CHILDREN = 4096, 8192, 96, 16
+#: A node of so many rows, none of whose children can be skipped, is verified as a whole.
+AT_ONCE = 2048
 #: Each level's covering radius is at most this share of the one above, where ``CHILDREN`` centres suffice.
 SHRINK = 0.5
 #: Block-by-group tasks for each core of the cluster.
@@ -57,6 +59,7 @@ class CoverTree:
         squares = (points * points).sum(axis=1)
         self.norm = float(np.sqrt(squares.max(initial=0.0)))
         lifted = np.column_stack([points, np.sqrt(np.maximum(squares.max(initial=0.0) - squares, 0.0))])
+        # depth first, so that the rows below a node lie together
         order, self.centres, self.radii, self.spans, self.children = [], [], [], [], []
         todo = [(np.arange(len(points)), 0, -1)]
         while todo:
@@ -72,7 +75,7 @@ class CoverTree:
                 self.spans.append((len(order), len(order) + len(members)))
                 order.extend(members[np.argsort(ids[members], kind="stable")].tolist())
                 continue
-            self.spans.append(None)
+            self.spans.append((len(points), 0))
             for child, part in self._split(lifted, members, away):
                 todo.append((part, child, node))
         order = np.array(order, dtype=np.int64)
@@ -85,29 +88,31 @@ class CoverTree:
         self.first_id, self.one_label = self._summaries()
 
     def _summaries(self) -> tuple[list[int], list[int | None]]:
-        """By node: its smallest id, and its label where it has only one."""
+        """By node: its smallest id, and its label where it has only one; inner nodes get the span of their rows."""
         first, label = [_NO_ID] * len(self.centres), [None] * len(self.centres)
         for node in range(len(self.centres) - 1, -1, -1):
-            if self.spans[node] is not None:
+            below = self.children[node]
+            if below:
+                first[node] = min(first[c] for c in below)
+                label[node] = label[below[0]] if len({label[c] for c in below}) == 1 else None
+                self.spans[node] = (min(self.spans[c][0] for c in below), max(self.spans[c][1] for c in below))
+            else:
                 start, stop = self.spans[node]
                 first[node] = int(self.ids[start:stop].min())
                 found = np.unique(self.labels[start:stop])
                 label[node] = int(found[0]) if len(found) == 1 else None
-            else:
-                below = self.children[node]
-                first[node] = min(first[c] for c in below)
-                label[node] = label[below[0]] if len({label[c] for c in below}) == 1 else None
         return first, label
 
     @staticmethod
     def _split(lifted: np.ndarray, members: np.ndarray, away: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         """Centres farthest first, until all members are near one; each member goes to the nearest."""
         limit = away.max() * SHRINK
+        points = lifted[members]
         centres, nearest = [], np.full(len(members), np.inf)
         owner = np.zeros(len(members), dtype=np.int64)
         at = int(away.argmax())
         while len(centres) < CHILDREN and (not centres or nearest.max() > limit):
-            far = _distances(lifted[members], lifted[members[at]])
+            far = _distances(points, points[at])
             owner[far < nearest] = len(centres)
             nearest = np.minimum(nearest, far)
             centres.append(int(members[at]))
@@ -169,30 +174,49 @@ class Best:
 def search(tree: CoverTree, query: np.ndarray, low: np.ndarray, high: np.ndarray, wanted: list[Best], label: int, same: bool, own: int) -> None:
     """Best-first descent for one query; its windows take what they want. ``low`` and ``high`` bound each node."""
 
+    wanted = [best for best in wanted if best.low <= best.high]
+    if not wanted:
+        return
+    low, high = low.tolist(), high.tolist()
+    one_label, first_id = tree.one_label, tree.first_id
+    # no window takes a score outside these two
+    floor, top = min(best.floor for best in wanted), max(best.high for best in wanted)
+
     def useless(node: int) -> bool:
-        if tree.one_label[node] is not None and (tree.one_label[node] == label) != same:
+        if high[node] < floor or low[node] > top:
+            return True
+        if one_label[node] is not None and (one_label[node] == label) != same:
             return True
-        return all(best.skips(low[node], high[node], tree.first_id[node]) for best in wanted)
+        return all(best.skips(low[node], high[node], first_id[node]) for best in wanted)
 
     heap = [(-high[0], 0)]
     while heap:
         _, node = heapq.heappop(heap)
         if useless(node):
             continue
-        if tree.spans[node] is None:
-            for child in tree.children[node]:
-                if not useless(child):
-                    heapq.heappush(heap, (-high[child], child))
-            continue
         start, stop = tree.spans[node]
-        keep = (tree.labels[start:stop] == label) == same
+        below = tree.children[node]
+        if below:
+            if stop - start > AT_ONCE or any(high[child] < floor or low[child] > top for child in below):
+                for child in below:
+                    if not useless(child):
+                        heapq.heappush(heap, (-high[child], child))
+                continue
+        scores = tree.scores(start, stop, query)
+        hits = np.flatnonzero(scores >= floor)
+        if not len(hits):
+            continue
+        scores, ids = scores[hits], tree.ids[start:stop][hits]
+        keep = ((tree.labels[start:stop][hits] == label) == same) & (scores <= top)
         if same:
-            keep &= tree.ids[start:stop] != own
-        scores, ids = tree.scores(start, stop, query), tree.ids[start:stop]
-        if not keep.all():
+            keep &= ids != own
+        if keep.any():
             scores, ids = scores[keep], ids[keep]
-        for best in wanted:
-            best.offer(scores, ids)
+            highest = scores.max()
+            for best in wanted:
+                if highest >= best.floor:
+                    best.offer(scores, ids)
+            floor = min(best.floor for best in wanted)
 
 
 class Block:
