@@ -138,8 +138,8 @@ def _kind(spans: Column, kind: str) -> Column:
 
 
 def _valid_ip(span: Column) -> Column:
-    part = lambda p: (F.char_length(F.ltrim(p, F.lit("0"))) <= 3) & (F.coalesce(F.ltrim(p, F.lit("0")).cast("int"), F.lit(0)) <= 255)
-    return F.forall(F.split(span["match"], r"\."), part)
+    # by its digits: a part is of any length, and all zeros is a part too
+    return F.forall(F.split(span["match"], r"\."), lambda part: part.rlike("^0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])$"))
 
 
 def _valid_account(span: Column) -> Column:
