@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +18,7 @@ from attestal.plans import testmap as M
 from attestal.session import work_dir
 from attestal.sources import decode, readers
 from attestal.sources.config import SAMPLE_RULES, issue_types_table, managers_table
-from attestal.streaming import streams
+from attestal.streaming import keyed, streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -680,54 +680,88 @@ def status_stream(spark: SparkSession, sf: str) -> DataFrame:
     return _flat_status(spark.read.parquet(f"{folder}/out").drop("batch"))
 
 
+_LANDINGS, _JITTER_US, _DELAY_S = 4, 6 * 3600 * 1_000_000, 12 * 3600
+
+
+def _landings(spark: SparkSession, sf: str, path: str) -> Iterator[int]:
+    """Events land in batches of files, up to six hours out of order; the last landing only tells the time."""
+    df = M.events(spark, sf)
+    low, high = df.agg(F.min("ts_us"), F.max("ts_us")).first()
+    tick = F.lit(False).alias("tick")
+    arrival = F.col("ts_us") + F.pmod(F.xxhash64("event_id"), F.lit(_JITTER_US)) - F.lit(low)
+    batch = F.floor(arrival * _LANDINGS / F.lit(high - low + _JITTER_US)).cast("int")
+    for number in range(_LANDINGS):
+        df.filter(batch == number).select("*", tick).write.mode("append").parquet(path)
+        yield number
+    last = spark.range(1).select(
+        *[F.lit(high + 100 * 86400 * 1_000_000 if c == "ts_us" else None).cast(df.schema[c].dataType).alias(c) for c in df.columns],
+        F.lit(True).alias("tick"),
+    )
+    last.write.mode("append").parquet(path)
+    yield _LANDINGS
+
+
+def _throttled_events(
+    spark: SparkSession, sf: str, name: str, shape: Callable[[DataFrame], DataFrame], keys: Sequence[str], wait: Column | int,
+    longest: int, fingerprint: str | None = None,
+) -> DataFrame:
+    """What keyed state lets pass of the events, landing by landing; each run takes up where the last one stopped."""
+    folder = work_dir(spark, name)
+    schema = M.events(spark, sf).schema.add("tick", "boolean")
+    for _ in _landings(spark, sf, f"{folder}/in"):
+        rows = shape(spark.readStream.schema(schema).parquet(f"{folder}/in"))
+        kept = keyed.throttled(rows, keys, "ts_us", _TIE, wait, longest, _DELAY_S, fingerprint, tick="tick")
+        with streams.rocksdb(spark):
+            streams.run(streams.append_files(kept, f"{folder}/out", f"{folder}/cp"))
+    return spark.read.schema(kept.schema).parquet(f"{folder}/out").filter("NOT late").drop("late", "tick")
+
+
 @query
 def notification_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Alert commands of a status stream, under the frequency rules."""
-    folder = work_dir(spark, "notification_stream")
-    status = M.status_core(_stream_events(spark, sf)).drop("ts", "user_id")
-    rows = status.filter(P.should_notify(F.col("compliance_status")))
     wait = dedup.cooldown_wait(rules.interval_seconds(M.settings().frequency_rules, F.col("daysUntilExpiry")))
-    keys = ["userId", "compliance_status"]
-    streams.run(streams.throttle_stream(rows, keys, "ts_us", _TIE, wait, folder, f"{folder}/cp"))
-    return _flat_commands(notify.alert_commands(spark.read.parquet(f"{folder}/out"), M.settings()))
+
+    def shape(events: DataFrame) -> DataFrame:
+        status = M.status_core(events).drop("ts", "user_id").withColumn("tick", F.col("event_id").isNull())
+        return status.filter(P.should_notify(F.col("compliance_status")) | F.col("tick"))
+
+    longest = K.COOLDOWN_TTL_S * 1_000_000
+    kept = _throttled_events(spark, sf, "notification_stream", shape, ["userId", "compliance_status"], wait, longest)
+    return _flat_commands(notify.alert_commands(kept, M.settings()))
 
 
 @query
 def cooldown_stream(spark: SparkSession, sf: str) -> DataFrame:
-    folder = work_dir(spark, "cooldown_stream")
-    rows = _stream_events(spark, sf).select("event_id", "user_id", "event_type", "ts_us")
-    streams.run(
-        streams.throttle_stream(rows, ["user_id", "event_type"], "ts_us", _TIE, 86400 * 1_000_000, folder, f"{folder}/cp")
-    )
-    return spark.read.parquet(f"{folder}/out").drop("batch")
+    wait = 86400 * 1_000_000
+
+    def shape(events: DataFrame) -> DataFrame:
+        return events.select("event_id", "user_id", "event_type", "ts_us", "tick")
+
+    return _throttled_events(spark, sf, "cooldown_stream", shape, ["user_id", "event_type"], wait, wait)
 
 
 @query
 def change_stream(spark: SparkSession, sf: str) -> DataFrame:
     """The change filter with lifetime, continuously."""
-    folder = work_dir(spark, "change_stream")
     bucket = F.floor(F.col("value") / 100).cast("long")
-    rows = _stream_events(spark, sf).select(
-        "event_id", "user_id", "event_type", "ts_us", S.fingerprint([("bucket", bucket)]).alias("fingerprint")
-    )
     wait = K.CREDENTIAL_TTL_S * 1_000_000 - 1
-    streams.run(
-        streams.throttle_stream(
-            rows, ["user_id", "event_type"], "ts_us", _TIE, wait, folder, f"{folder}/cp", fingerprint="fingerprint"
-        )
-    )
-    return spark.read.parquet(f"{folder}/out").drop("batch", "ts_us")
+
+    def shape(events: DataFrame) -> DataFrame:
+        return events.select("event_id", "user_id", "event_type", "ts_us", S.fingerprint([("bucket", bucket)]).alias("fingerprint"), "tick")
+
+    return _throttled_events(spark, sf, "change_stream", shape, ["user_id", "event_type"], wait, wait, "fingerprint").drop("ts_us")
 
 
 @query
 def once_per_id_stream(spark: SparkSession, sf: str) -> DataFrame:
-    folder = work_dir(spark, "once_per_id_stream")
-    rows = _stream_events(spark, sf).select(
-        F.concat(F.col("user_id").cast("string"), F.lit("-"), "event_type").alias("notificationId"), "event_id", "ts_us"
-    )
     wait = K.COMMAND_TTL_S * 1_000_000 - 1
-    streams.run(streams.throttle_stream(rows, ["notificationId"], "ts_us", _TIE, wait, folder, f"{folder}/cp"))
-    return spark.read.parquet(f"{folder}/out").select("event_id", "notificationId")
+
+    def shape(events: DataFrame) -> DataFrame:
+        name = F.concat(F.col("user_id").cast("string"), F.lit("-"), "event_type")
+        return events.select(name.alias("notificationId"), "event_id", "ts_us", "tick")
+
+    kept = _throttled_events(spark, sf, "once_per_id_stream", shape, ["notificationId"], wait, wait)
+    return kept.select("event_id", "notificationId")
 
 
 @query

@@ -9,7 +9,8 @@ minute"}`` for a standing job. Bound the micro-batch at the source
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -29,6 +30,18 @@ def use_rocksdb(spark) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
+@contextmanager
+def rocksdb(spark) -> Iterator[None]:
+    """Queries started inside keep their state in RocksDB; the session's setting is then as before."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    use_rocksdb(spark)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def run(query: StreamingQuery) -> None:
     """Waits for an available-now query and raises what made it fail."""
     query.awaitTermination()
