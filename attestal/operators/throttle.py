@@ -15,8 +15,9 @@ the time span over the shortest wait, whatever the number of rows.
 
 Where that would be many steps, waits are short against the span, and the order
 axis is cut into cells instead. A cell is summed up as a function from the last
-kept time before it to the last kept time after it, which few rows decide; the
-functions are applied in a row, and then all cells are scanned side by side.
+kept time before it to the last kept time after it, which few rows decide. The
+functions of neighbouring cells are composed up a tree, the entry times handed
+down it, and then all cells are scanned side by side.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import math
 from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,7 +39,10 @@ CELL_ROWS = 2_000_000
 MAX_STEPS = 400
 ROWS_PER_STEP = 1_000_000
 _MAX_HOT_KEYS = 10_000
+#: Cells, or nodes of the tree over them, that are composed to one.
+FAN = 16
 _WAIT, _FORCE, _LAST, _SLICE = "__wait", "__force", "__last", "__slice"
+_NODE, _PARENT = "__node", "__parent"
 
 
 def throttle(
@@ -218,18 +222,50 @@ def _by_cells(
     order, where = [time_us, *tie], [*keys, CELL]
     cell_rows = max(1, min(CELL_ROWS, min(h["__n"] for h in hot) // 2))
     celled, _ = with_cells(rows, order, cell_rows)
-    base = [celled.schema[c] for c in where] + [celled.schema[c] for c in order]
     steps = T.ArrayType(T.LongType())
-    summary = T.StructType([*base, T.StructField("below", steps), T.StructField("leave", steps)])
+    bounds = [T.StructField("below", steps), T.StructField("leave", steps), T.StructField("top", T.LongType())]
+    summary = T.StructType([*[celled.schema[c] for c in where], *bounds])
     # One remembered row per listed key at most, so it may be broadcast.
     narrow = celled.select(*where, *order, _WAIT, _FORCE).alias("r")
     seeded = narrow.join(F.broadcast(initial.alias("h")), _same_key(keys, "r", "h"), "left").select("r.*", f"h.{_LAST}")
     summed = seeded.groupBy(*where).applyInPandas(_sum_up_fn(where, order, time_us), summary)
-    entry = T.StructType([*[celled.schema[c] for c in where], T.StructField(_LAST, T.LongType())])
-    # A remembered time travels as a row without steps.
-    known = initial.select(*keys, F.array(_LAST).alias("leave"))
-    entered = summed.unionByName(known, allowMissingColumns=True).groupBy(*keys).applyInPandas(_enter_fn(where, order), entry)
-    return _scan(celled, entered, where, time_us, tie)
+    # cells cut the order axis of all keys, so one numbering, of as many rows as there are cells, serves all
+    starts = celled.groupBy(CELL).agg(F.min(F.struct(*order)).alias("__start"))
+    numbered = starts.select(CELL, (F.row_number().over(Window.orderBy("__start")) - 1).cast("long").alias(_NODE))
+    entered = _entries(summed.join(numbered, CELL), initial, keys)
+    return _scan(celled, entered.select(*where, _LAST), where, time_us, tie)
+
+
+def _entries(cells: DataFrame, initial: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Cells with the last kept time with which each is entered; none where there is none yet.
+
+    A tree over the cells: on the way up the functions of ``FAN`` neighbours are
+    composed to one, on the way down each node hands its entry time to its
+    children, in order. No group is larger than ``FAN``, and the rounds are the
+    levels of the tree. Every level is written, so that no plan grows with them.
+    """
+    spark, folder = cells.sparkSession, work_dir(cells.sparkSession, "entries")
+    cells.write.parquet(f"{folder}/up-0")
+    cells = spark.read.schema(cells.schema).parquet(f"{folder}/up-0")
+    highest = cells.agg(F.max(_NODE)).first()[0] or 0
+    node = T.StructType([*[f for f in cells.schema.fields if f.name != CELL]])
+    levels = [cells.drop(CELL)]
+    while highest > 0:
+        over = levels[-1].withColumn(_PARENT, F.floor(F.col(_NODE) / FAN).cast("long"))
+        over.groupBy(*keys, _PARENT).applyInPandas(_compose_fn(), node).write.parquet(f"{folder}/up-{len(levels)}")
+        levels.append(spark.read.schema(node).parquet(f"{folder}/up-{len(levels)}"))
+        highest //= FAN
+    entry = T.StructType([*[cells.schema[k] for k in keys], cells.schema[_NODE], T.StructField(_LAST, T.LongType())])
+    # the root is entered with what is remembered
+    entered = initial.select(*keys, F.lit(0).cast("long").alias(_NODE), _LAST)
+    for level in range(len(levels) - 2, -1, -1):
+        above = entered.withColumnRenamed(_NODE, _PARENT).alias("h")
+        below = levels[level].withColumn(_PARENT, F.floor(F.col(_NODE) / FAN).cast("long")).alias("r")
+        met = below.join(above, _same_key([*keys, _PARENT], "r", "h"), "left").select("r.*", f"h.{_LAST}")
+        met.groupBy(*keys, _PARENT).applyInPandas(_enter_fn(list(keys)), entry).write.parquet(f"{folder}/down-{level}")
+        entered = spark.read.schema(entry).parquet(f"{folder}/down-{level}")
+    places = cells.select(*keys, CELL, _NODE).alias("r").join(entered.alias("h"), _same_key([*keys, _NODE], "r", "h"))
+    return places.select("r.*", f"h.{_LAST}").filter(F.col(_LAST).isNotNull())
 
 
 def _sum_up_fn(where: list[str], order: list[str], time_us: str) -> Callable:
@@ -270,33 +306,62 @@ def _sum_up_fn(where: list[str], order: list[str], time_us: str) -> Callable:
                 after.append(leave[i])
             if limit > highest:
                 break
-        out = rows.iloc[:1][[*where, *order]].copy()
-        out["below"], out["leave"] = [below], [after]
+        out = rows.iloc[:1][where].copy()
+        out["below"], out["leave"], out["top"] = [below], [after], highest
         return out
 
     return sum_up
 
 
-def _enter_fn(where: list[str], order: list[str]) -> Callable:
-    """The last kept time with which each cell of a key is entered."""
-    last_name = _LAST
+def _through(below: Sequence[int], leave: Sequence[int], last: int | None) -> int:
+    """The last kept time after cells that are entered with ``last``."""
+    from bisect import bisect_right
+
+    if last is None:
+        return int(leave[0])
+    at = bisect_right(below, last)
+    return int(leave[at]) if at < len(below) else last
+
+
+def _compose_fn() -> Callable:
+    """Neighbouring cells, or nodes, as one; entered with at most the ``top`` of the first."""
+    through, node, parent = _through, _NODE, _PARENT
+
+    def compose(cells):  # noqa: ANN001, ANN202 - pandas in, pandas out
+        cells = cells.sort_values(node)
+        out = cells.iloc[:1].drop(columns=node).rename(columns={parent: node})
+        top = int(cells["top"].iloc[0])
+        below, leave = list(cells["below"].iloc[0]), list(cells["leave"].iloc[0])
+        for next_below, next_leave in zip(cells["below"].iloc[1:], cells["leave"].iloc[1:], strict=True):
+            next_below = list(next_below)
+            limits = below if below[-1] > top else below + [b for b in next_below if b > below[-1]]
+            after = [through(next_below, next_leave, v) for v in leave]
+            after += [through(next_below, next_leave, b - 1) for b in limits[len(below) :]]
+            # steps that lead to the same time are one
+            last = [i for i in range(len(limits)) if i + 1 == len(limits) or after[i] != after[i + 1]]
+            below, leave = [limits[i] for i in last], [after[i] for i in last]
+        out["below"], out["leave"] = [below], [leave]
+        return out
+
+    return compose
+
+
+def _enter_fn(keys: list[str]) -> Callable:
+    """The last kept time with which each child of a node is entered."""
+    through, node, last_name = _through, _NODE, _LAST
 
     def enter(cells):  # noqa: ANN001, ANN202 - pandas in, pandas out
-        from bisect import bisect_right
+        import pandas as pd
 
-        known = cells[cells["below"].isna()]["leave"]
-        last = int(known.iloc[0][0]) if len(known) else None
-        cells = cells[cells["below"].notna()].sort_values(order)
+        cells = cells.sort_values(node)
+        known = cells[last_name].iloc[0]
+        last = None if pd.isna(known) else int(known)
         entries = []
         for below, leave in zip(cells["below"], cells["leave"], strict=True):
             entries.append(last)
-            if last is None:
-                last = leave[0]
-                continue
-            at = bisect_right(below, last)
-            last = leave[at] if at < len(below) else last
-        out = cells[where].copy()
-        out[last_name] = entries
-        return out[[e is not None for e in entries]].astype({last_name: "int64"})
+            last = through(list(below), leave, last)
+        out = cells[[*keys, node]].copy()
+        out[last_name] = pd.array(entries, dtype="Int64")
+        return out
 
     return enter
