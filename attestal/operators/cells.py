@@ -1,107 +1,106 @@
 """Ordered operators over keys of any size.
 
-A window partitioned by a key puts all rows of that key into one task. Here the
-order axis (time, then the tie columns) is first cut into cells of about
-``max_rows`` rows, counted over all keys, windows run per (key, cell), and a
-second, small window carries values over the cell edges. The second window sees
-at most two rows per key and cell. Below ``max_rows`` rows in total one cell is
-enough and one plain window is used.
+A window partitioned by a key puts all rows of that key into one task. Where a
+key is too large for that, the order axis (time, then the tie columns) is cut
+into cells of at most about ``max_rows`` rows, counted over all keys, windows
+run per (key, cell), and a second, small window carries values over the cell
+edges. The second window sees at most two rows per key and cell. Where every
+key fits, one plain window is used.
+
+The cuts are quantiles from a mergeable sketch, combined map-side: one pass for
+each axis, and no more numbers than there are cells.
 """
 
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MAX_ROWS = 2_000_000
-_SLICES = 1 << 16
+#: The most cells; past them, cells grow with the rows.
+MOST_CELLS = 1 << 14
+#: A cell of a quarter of the bound stays within it when sketches err and equal values fall on a cut.
+_PARTS = 4
+_AXES = 4
 CELL = "__cell"
-_GROUP, _SLICE = "__group", "__slice"
+_CUTS, _CLASS = "__cuts", "__class"
 
 
-def with_cells(df: DataFrame, order: Sequence[str], max_rows: int = MAX_ROWS) -> tuple[DataFrame, bool]:
-    """Adds the ``__cell`` column; the flag says whether there is more than one.
+def with_cells(df: DataFrame, order: Sequence[str], max_rows: int = MAX_ROWS, keys: Sequence[str] | None = None) -> tuple[DataFrame, bool]:
+    """Adds the ``__cell`` column, which rises with the order; the flag says whether there is more than one.
 
     ``order`` names bigint columns, the most significant first; others end the
-    list. Cuts come from a histogram of at most 65,536 slices, merged up to
-    ``max_rows`` rows, so they follow bursts. A slice that is too large by itself
-    is cut again in the same way: more finely, and once it is a single value, by
-    the next column. Histograms and the tables made of them are bounded by the
-    number of slices, which is why they may pass through the driver.
+    list. A value of one axis that holds many rows becomes a cell of its own
+    and is cut by the next axis. With ``keys`` nothing is cut unless one of them
+    has more than ``max_rows`` rows. At most ``MOST_CELLS`` quantiles and their
+    cells come to the driver, whatever the number of rows.
     """
-    order = [c for c in order if df.schema[c].dataType.simpleString() == "bigint"]
-    rows, low, high = df.agg(F.count(F.lit(1)), F.min(order[0]), F.max(order[0])).first()
-    if rows <= max_rows:
-        return df.withColumn(CELL, F.lit(0).cast("long")), False
-    marked = df.withColumn(CELL, F.lit(None).cast("long")).withColumn(_GROUP, F.lit(0).cast("long"))
-    spans = {0: (0, low, high)}
-    cells = 0
-    while spans:
-        sliced = _sliced(marked, order, spans)
-        histogram = sliced.filter(F.col(_GROUP).isNotNull()).groupBy(_GROUP, _SLICE).agg(F.count(F.lit(1)).alias("n"))
-        cuts, large, cells = _cut(histogram.orderBy(_GROUP, _SLICE).collect(), max_rows, cells, spans, len(order))
-        table = df.sparkSession.createDataFrame(cuts, f"{_GROUP} long, {_SLICE} long, __found long, __next long")
-        marked = (
-            sliced.join(F.broadcast(table), [_GROUP, _SLICE], "left")
-            .withColumn(CELL, F.coalesce(CELL, "__found"))
-            .withColumn(_GROUP, F.col("__next"))
-            .drop(_SLICE, "__found", "__next")
-        )
-        spans = _spans(marked, order, large)
-    return marked.drop(_GROUP), True
-
-
-def _step(low: int, high: int, groups: int) -> int:
-    return math.ceil((high - low + 1) / max(2, _SLICES // groups))
-
-
-def _sliced(marked: DataFrame, order: Sequence[str], spans: dict[int, tuple[int, int, int]]) -> DataFrame:
-    """Adds the slice number of every row whose group is still to be cut."""
-    table = marked.sparkSession.createDataFrame(
-        [(g, i, low, _step(low, high, len(spans))) for g, (i, low, high) in spans.items()],
-        f"{_GROUP} long, __axis int, __low long, __step long",
-    )
-    value = reduce(lambda rest, i: F.when(F.col("__axis") == i, F.col(order[i])).otherwise(rest), range(len(order)), F.lit(None))
-    number = F.floor((F.coalesce(value, "__low") - F.col("__low")) / F.col("__step"))
-    joined = marked.join(F.broadcast(table), _GROUP, "left").withColumn(_SLICE, number)
-    return joined.drop("__axis", "__low", "__step")
-
-
-def _cut(
-    histogram: Sequence[Row], max_rows: int, cells: int, spans: dict[int, tuple[int, int, int]], axes: int
-) -> tuple[list[tuple], dict[int, tuple[int, int, int] | int], int]:
-    """Merges slices into cells; returns the table, what must be cut again, and the last cell number."""
-    cuts, large = [], {}
-    held, before = 0, None
-    for group, number, n in histogram:
-        axis, low, high = spans[group]
-        step = _step(low, high, len(spans))
-        if n > max_rows and (step > 1 or axis + 1 < axes):
-            inner = len(large)
-            start = low + number * step
-            large[inner] = (axis, start, start + step - 1) if step > 1 else axis + 1
-            cuts.append((group, number, None, inner))
-            before = None
-            continue
-        if before != group or held + n > max_rows:
-            cells, held = cells + 1, 0
-        held, before = held + n, group
-        cuts.append((group, number, cells, None))
-    return cuts, large, cells
-
-
-def _spans(marked: DataFrame, order: Sequence[str], large: dict) -> dict[int, tuple[int, int, int]]:
-    """Axis and value range of every group to cut; a new axis has its range looked up."""
-    spans = {g: span for g, span in large.items() if isinstance(span, tuple)}
-    for axis in {a for a in large.values() if isinstance(a, int)}:
-        groups = [g for g, a in large.items() if a == axis]
-        found = marked.filter(F.col(_GROUP).isin(groups)).groupBy(_GROUP).agg(F.min(order[axis]), F.max(order[axis]))
-        spans |= {g: (axis, low or 0, high or 0) for g, low, high in found.collect()}
-    return spans
+    axes = [c for c in order if df.schema[c].dataType.simpleString() == "bigint"][:_AXES]
+    counted = df.groupBy(*(keys or [])).agg(F.count(F.lit(1)).alias("n"))
+    rows, largest = counted.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
+    celled = df.withColumn(CELL, F.lit(0).cast("long"))
+    if largest <= max_rows or not axes:
+        return celled, False
+    # cells still to be cut, and into how many parts
+    large = {0: min(MOST_CELLS, math.ceil(_PARTS * rows / max_rows))}
+    for axis in axes:
+        if not large:
+            break
+        cuts, below = {}, {}
+        for cell, values in _quantiles(celled, axis, large):
+            cuts[cell], found = _cut(values)
+            # the cell of a value that several quantiles share
+            below |= {_place(cell, place): times + 1 for place, times in found.items()}
+        celled = _assign(celled, axis, cuts)
+        large = below
+    return celled, True
+
+
+def _quantiles(celled: DataFrame, axis: str, large: dict[int, int]) -> list[tuple[int, list[int]]]:
+    """By cell to cut, as many quantiles of the axis as it is to have parts (rounded up to a power of two)."""
+    classes = {cell: max(1, math.ceil(math.log2(parts))) for cell, parts in large.items()}
+    table = celled.sparkSession.createDataFrame(list(classes.items()), f"{CELL} long, {_CLASS} int")
+    marked = celled.select(CELL, axis).join(F.broadcast(table), CELL)
+    sketches = []
+    for size in sorted(set(classes.values())):
+        parts = 1 << size
+        shares = F.lit([i / parts for i in range(1, parts)])
+        sketches.append(F.percentile_approx(F.when(F.col(_CLASS) == size, F.col(axis)), shares, 16 * parts))
+    found = marked.groupBy(CELL).agg(F.coalesce(*sketches).alias(_CUTS)).filter(F.col(_CUTS).isNotNull())
+    return [(cell, list(values)) for cell, values in found.collect()]
+
+
+def _cut(values: Sequence[int]) -> tuple[list[int], dict[int, int]]:
+    """Where cells start, and the places of cells that hold one frequent value, with the quantiles it fills."""
+    starts, frequent = [], {}
+    for value, times in sorted(Counter(values).items()):
+        if not starts or starts[-1] != value:
+            starts.append(value)
+        if times > 1:
+            frequent[len(starts)] = times
+            starts.append(value + 1)
+    return starts, frequent
+
+
+def _place(cell: int, place: int) -> int:
+    return cell * (4 * MOST_CELLS) + place
+
+
+def _assign(celled: DataFrame, axis: str, cuts: dict[int, list[int]]) -> DataFrame:
+    """Rows of the cells that were cut, in their new cells: by binary search among the cuts."""
+    table = celled.sparkSession.createDataFrame(list(cuts.items()), f"{CELL} long, {_CUTS} array<long>")
+    steps = F.lit([1 << i for i in reversed(range(max((len(c) for c in cuts.values()), default=1).bit_length()))])
+
+    def step(at: Column, size: Column) -> Column:
+        return F.when(F.get(_CUTS, at + size - 1) <= F.col(axis), at + size).otherwise(at)
+
+    place = F.aggregate(steps, F.lit(0), step).cast("long")
+    cell = F.col(CELL) * F.lit(4 * MOST_CELLS) + F.when(F.col(_CUTS).isNotNull(), place).otherwise(0)
+    return celled.join(F.broadcast(table), CELL, "left").withColumn(CELL, cell).drop(_CUTS)
 
 
 def with_previous(
@@ -116,7 +115,7 @@ def with_previous(
     """Adds ``out``: a struct ``<v>`` with the previous row's value, null on the first row."""
     order = [time_us, *tie]
     packed = df.withColumn("__v", F.struct(value.alias("v")))
-    celled, split = with_cells(packed, order, max_rows)
+    celled, split = with_cells(packed, order, max_rows, keys)
     within = Window.partitionBy(*keys, CELL).orderBy(*order)
     if not split:
         by_key = Window.partitionBy(*keys).orderBy(*order)
@@ -137,7 +136,7 @@ def with_position(
 ) -> DataFrame:
     """Adds ``out``: the row's dense 0-based position within its key."""
     order = [time_us, *tie]
-    celled, split = with_cells(df, order, max_rows)
+    celled, split = with_cells(df, order, max_rows, keys)
     if not split:
         by_key = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumn(out, (F.row_number().over(by_key) - 1).cast("long"))

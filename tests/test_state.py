@@ -109,6 +109,36 @@ def test_cells_keep_their_bound(spark):
     assert sum(sizes) == 2700 and max(sizes) <= 100
 
 
+def test_cells_rise_with_the_order(spark):
+    celled, _ = cells.with_cells(spark.createDataFrame(bursts(), SCHEMA), ["t", "id"], 100)
+    inside = sorted((r[cells.CELL], r["t"], r["id"]) for r in celled.collect())
+    assert [r[1:] for r in inside] == sorted(r[1:] for r in inside)
+    whole, split = cells.with_cells(spark.createDataFrame(bursts(), SCHEMA), ["t", "id"], 2500, ["k"])
+    assert not split and {r[cells.CELL] for r in whole.collect()} == {0}
+
+
+def test_cuts_do_not_grow_with_the_rows(spark, monkeypatch):
+    """Passes and numbers collected are the same for ten times the rows, a third of them at one moment."""
+    monkeypatch.setattr(cells, "MOST_CELLS", 64)
+    plain, collected = cells._quantiles, []
+
+    def measured(*args):
+        found = plain(*args)
+        collected.append([len(values) for _, values in found])
+        return found
+
+    monkeypatch.setattr(cells, "_quantiles", measured)
+    told = []
+    for n in (20_000, 200_000):
+        df = spark.range(n).select(F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id") * F.col("id") % 100_003).alias("t"), "id")
+        celled, _ = cells.with_cells(df, ["t", "id"], 50)
+        sizes = [r["count"] for r in celled.groupBy(cells.CELL).count().collect()]
+        assert sum(sizes) == n and max(sizes) < 0.1 * n
+        told.append((len(collected), sum(map(sum, collected))))
+        collected.clear()
+    assert told[0][0] == told[1][0] == 2 and max(t[1] for t in told) <= 2 * 64 and told[1][1] <= told[0][1] + 8
+
+
 def test_ordered_operators_over_bursts(spark):
     rows = bursts()
     df = spark.createDataFrame(rows, SCHEMA)
