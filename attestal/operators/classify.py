@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from attestal import constants as K
 from attestal import schemas
 from attestal.functions import scalar as S
 from attestal.functions.predicates import is_children_check
+from attestal.operators.asof import as_of_join
+from attestal.operators.cells import MAX_ROWS
 
 NAME_KEYS = ["first_key", "last_key"]
 _PERSON = [f.name for f in schemas.REQUIRED_PERSON.fields]
+_EVER = -(2**63)
 _STATUS = [f.name for f in schemas.STATUS.fields]
 
 
@@ -41,41 +46,41 @@ def with_name_keys(people: DataFrame) -> DataFrame:
     return people.withColumns({"first_key": S.name_key(F.col("firstName")), "last_key": S.name_key(F.col("lastName"))})
 
 
-def unique_people(required: DataFrame) -> DataFrame:
-    """One person per normalised name: the one with the smallest address.
+def unique_people(required: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """One person per normalised name (and ``by``): the one with the smallest address.
 
     A plain aggregate, so many people of one name are combined map-side.
     """
     rest = [c for c in _PERSON if c != "email"]
     return (
         with_name_keys(required)
-        .groupBy(*NAME_KEYS)
+        .groupBy(*by, *NAME_KEYS)
         .agg(F.min(F.struct("email", *rest)).alias("p"))
-        .select(*NAME_KEYS, "p.*")
+        .select(*by, *NAME_KEYS, "p.*")
     )
 
 
-def match_people(credentials: DataFrame, required: DataFrame) -> DataFrame:
-    """Left join by normalised name; ``matched`` tells whether there was one.
+def match_people(credentials: DataFrame, required: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Left join by normalised name (and ``by``); ``matched`` tells whether there was one.
 
     No broadcast hint: the list has no bound. Adaptive execution broadcasts it
     when it turns out small and splits a name that holds many credentials.
     """
-    people = unique_people(required).select(
-        *NAME_KEYS, "email", "department", "position", "startDate", F.lit(True).alias("matched")
+    people = unique_people(required, by).select(
+        *by, *NAME_KEYS, "email", "department", "position", "startDate", F.lit(True).alias("matched")
     )
     return (
         with_name_keys(credentials)
-        .join(people, NAME_KEYS, "left")
+        .join(people, [*by, *NAME_KEYS], "left")
         .withColumn("matched", F.coalesce("matched", F.lit(False)))
         .drop(*NAME_KEYS)
     )
 
 
-def classify(credentials: DataFrame, required: DataFrame, as_of: Column, processed_at: Column) -> DataFrame:
-    """Status row of every credential."""
+def classify(credentials: DataFrame, required: DataFrame, as_of: Column, processed_at: Column, by: Sequence[str] = ()) -> DataFrame:
+    """Status row of every credential, with the columns ``by`` that list and credential must share besides the name."""
     since_start = S.days_since_start(F.col("startDate"), as_of)
-    rows = match_people(credentials, required).withColumn("daysSinceStart", since_start)
+    rows = match_people(credentials, required, by).withColumn("daysSinceStart", since_start)
     status = S.compliance_status(F.col("expiryStatus"), F.col("approvalStatus"), F.col("matched"), F.col("daysSinceStart"))
     return rows.withColumns(
         {
@@ -87,7 +92,26 @@ def classify(credentials: DataFrame, required: DataFrame, as_of: Column, process
             "flags": S.compliance_flags(status, F.col("wwccNumber").isNotNull()),
             "processedAt": processed_at,
         }
-    ).select(*_STATUS)
+    ).select(*_STATUS, *by)
+
+
+def classify_as_of(
+    credentials: DataFrame, lists: DataFrame, time_us: str, since_us: str, as_of: Column, processed_at: Column, max_rows: int = MAX_ROWS
+) -> DataFrame:
+    """Status row of every credential by the list that held at its time, with ``list_version``.
+
+    ``lists`` has the people of every ``list_version`` and the time ``since_us`` it
+    was published. Credentials from before the first list wait for it and are
+    judged by it; while there is no list there are no rows. A replay gives the
+    same rows, whatever lists have been published since.
+    """
+    versions = lists.groupBy("list_version").agg(F.min(since_us).alias(since_us))
+    # one row a list: the first one holds from ever
+    in_line = F.row_number().over(Window.orderBy(since_us, "list_version"))
+    versions = versions.withColumn(since_us, F.when(in_line == 1, _EVER).otherwise(F.col(since_us)))
+    timed = credentials.withColumn(time_us, F.coalesce(time_us, F.lit(_EVER)))
+    ready = as_of_join(timed, versions, [], time_us, since_us, ["list_version"], max_rows).filter("list_version IS NOT NULL")
+    return classify(ready, lists.drop(since_us), as_of, processed_at, ["list_version"])
 
 
 def missing_people(required: DataFrame, credentials: DataFrame, as_of: Column, processed_at: Column) -> DataFrame:

@@ -591,6 +591,13 @@ def compliance_report(spark: SparkSession, sf: str) -> DataFrame:
     return flows.compliance_counts(_all_statuses(spark, sf))
 
 
+@query
+def status_as_of(spark: SparkSession, sf: str) -> DataFrame:
+    """Status of every children-check credential by the list of its time."""
+    checks = classify.children_checks(M.dated_checks(spark, sf))
+    return _flat_status(classify.classify_as_of(checks, M.dated_lists(spark, sf), "at_us", "since_us", M.as_of(), _processed()))
+
+
 @query
 def status_changes(spark: SparkSession, sf: str) -> DataFrame:
     rows = flows.status_changes(M.person_events(spark, sf).drop("ts"), "ts_us", _TIE)

@@ -606,3 +606,25 @@ ORACLE["redelivery_stream"] = 'SELECT event_id::VARCHAR AS "notificationId" FROM
 ORACLE["notification_stream"] = ORACLE["notification_flow"]
 ORACLE["latest_status_stream"] = _with(EV, LATEST) + 'SELECT "userId", compliance_status, event_id FROM latest'
 ORACLE["message_rate_stream"] = _RATE
+
+ORACLE["status_as_of"] = (
+    _with(
+        REQ,
+        CRED,
+        """versions AS (SELECT range AS v, epoch_us(make_timestamp(range, 1, 1, 0, 0, 0)) AS since FROM range(1993, 1999))""",
+        """dated AS (
+  SELECT c.*, coalesce((SELECT max(v) FROM versions WHERE since <= epoch_us(o_orderdate::TIMESTAMP) + o_orderkey % 86400 * 1000000),
+    1993) AS list_version
+  FROM cred c JOIN orders ON o_orderkey::VARCHAR = "documentId" WHERE lower("typeName") LIKE '%children%')""",
+        """matched AS (
+  SELECT c.*, p.email, p.department, p.position || '-' || c.list_version AS position, p."startDate", p.email IS NOT NULL AS matched
+  FROM dated c LEFT JOIN (
+    SELECT *, row_number() OVER (PARTITION BY v, lower(trim("firstName")), lower(trim("lastName")) ORDER BY email) AS rn
+    FROM req, versions WHERE split_part(email[2:], '@', 1)::BIGINT % 5 <> v % 5) p
+  ON p.rn = 1 AND p.v = c.list_version AND lower(trim(p."firstName")) = lower(trim(c."firstName"))
+     AND lower(trim(p."lastName")) = lower(trim(c."lastName")))""",
+        JUDGED,
+        FOUND.replace("FROM judged", ", list_version FROM judged"),
+    )
+    + "SELECT * FROM found"
+)

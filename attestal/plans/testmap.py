@@ -165,6 +165,24 @@ def list_messages(spark: SparkSession, sf: str) -> DataFrame:
     return message(1, F.array(entry)).unionByName(message(2, twice)).unionByName(message(3, short))
 
 
+def dated_checks(spark: SparkSession, sf: str) -> DataFrame:
+    """Credentials with the moment they came in, within the day of their order."""
+    orders = table(spark, sf, "orders")
+    day = S.epoch_micros(F.col("o_orderdate").cast("timestamp"), "timestamp")
+    moments = orders.select(_text("o_orderkey").alias("documentId"), (day + F.col("o_orderkey") % 86400 * 1_000_000).alias("at_us"))
+    return credentials_of(orders).join(moments, "documentId")
+
+
+def dated_lists(spark: SparkSession, sf: str) -> DataFrame:
+    """A list for each year from 1993 on, without another fifth of the people each time."""
+    people = required_people(spark, sf).withColumn("__number", F.regexp_extract("email", "^u([0-9]+)@", 1).cast("long"))
+    year = F.explode(F.sequence(F.lit(1993).cast("long"), F.lit(1998).cast("long")))
+    listed = people.withColumn("list_version", year).filter(F.col("__number") % 5 != F.col("list_version") % 5)
+    since = F.unix_micros(F.make_timestamp("list_version", F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0)))
+    position = F.concat("position", F.lit("-"), "list_version")
+    return listed.withColumn("since_us", since).withColumn("position", position).drop("__number")
+
+
 # --- events as status changes -------------------------------------------------
 
 
