@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from attestal import constants as K
 from attestal import schemas
@@ -18,6 +19,7 @@ from attestal.plans import testmap as M
 from attestal.session import work_dir
 from attestal.sources import decode, readers
 from attestal.sources.config import SAMPLE_RULES, issue_types_table, managers_table
+from attestal.sources.published import KeyedTable
 from attestal.streaming import keyed, streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -786,16 +788,31 @@ def redelivery_stream(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def latest_status_stream(spark: SparkSession, sf: str) -> DataFrame:
     folder = work_dir(spark, "latest_status_stream")
-    rows = _stream_events(spark, sf).select(
-        F.col("user_id").cast("string").alias("userId"),
-        M.choose(F.col("event_type"), M.STATUS_OF_EVENT).alias("compliance_status"),
-        "event_id",
-        "ts_us",
-    )
-    latest = streams.latest_stream(rows, ["userId"], _ORDER)
-    streams.run(streams.per_batch(latest, lambda b: b, f"{folder}/out", f"{folder}/cp", mode="update"))
-    updates = spark.read.parquet(f"{folder}/out").drop("batch")
-    return dedup.latest_per_key(updates, ["userId"], _ORDER).select("userId", "compliance_status", "event_id")
+    schema = T.StructType.fromDDL("userId string, compliance_status string, event_id long, ts_us long")
+    table = KeyedTable(f"{folder}/latest", schema, ["userId"])
+    events = M.events(spark, sf).schema.add("tick", "boolean")
+    for _ in _landings(spark, sf, f"{folder}/in"):
+        status = M.choose(F.col("event_type"), M.STATUS_OF_EVENT).alias("compliance_status")
+        rows = spark.readStream.schema(events).parquet(f"{folder}/in").filter("NOT tick")
+        rows = rows.select(F.col("user_id").cast("string").alias("userId"), status, "event_id", "ts_us")
+        streams.run(streams.latest_table(rows, table, _ORDER, f"{folder}/cp"))
+    return table.read(spark).select("userId", "compliance_status", "event_id")
+
+
+@query
+def digest_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """Manager digests from counts that each landing of events only corrects."""
+    folder, plan = work_dir(spark, "digest_incremental"), M.settings()
+    people = KeyedTable(f"{folder}/people", T.StructType.fromDDL("userId string, compliance_status string, department string, event_id long, ts_us long"), ["userId"])
+    names = ("totalCount", "expiredCount", "expiringCount", "missingCount", "notApprovedCount")
+    counts = KeyedTable(f"{folder}/counts", T.StructType.fromDDL("department string, " + ", ".join(f"{n} long" for n in names)), ["department"], 4)
+    schema = M.events(spark, sf).schema.add("tick", "boolean")
+    for _ in _landings(spark, sf, f"{folder}/in"):
+        arrived = spark.readStream.schema(schema).parquet(f"{folder}/in").filter("NOT tick").drop("tick")
+        rows = M.with_people(M.status_core(arrived), M.table(spark, sf, "customer")).select(*people.schema.names)
+        streams.run(streams.summary_tables(rows, people, counts, _ORDER, f"{folder}/cp"))
+    summary = counts.read(spark).filter("totalCount > 0")
+    return digest.manager_digest(summary, managers_table(spark, plan), plan.default_manager, M.SUMMARY_DATE)
 
 
 @query

@@ -628,3 +628,4 @@ ORACLE["status_as_of"] = (
     )
     + "SELECT * FROM found"
 )
+ORACLE["digest_incremental"] = ORACLE["manager_digest"]

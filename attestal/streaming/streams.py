@@ -18,8 +18,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from attestal.operators import digest
 from attestal.operators.cells import with_previous
+from attestal.operators.dedup import latest_per_key
 from attestal.operators.throttle import HOT_ROWS, throttle
+from attestal.sources.published import BatchLog, KeyedTable
 
 AVAILABLE_NOW = {"availableNow": True}
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -209,6 +212,55 @@ def drop_redeliveries(rows: DataFrame, id_column: str, event_time: str, ttl: str
     return rows.withWatermark(event_time, ttl).dropDuplicatesWithinWatermark([id_column])
 
 
+def published(
+    rows: DataFrame,
+    transform: Callable[[DataFrame], DataFrame],
+    log: BatchLog,
+    checkpoint: str,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Appends ``transform(batch)`` to a log whose readers see whole batches only."""
+    return _each_batch(rows, lambda batch, number: log.append(transform(batch), number), checkpoint, trigger)
+
+
+def _each_batch(rows: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str, trigger: dict | None) -> StreamingQuery:
+    return rows.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(**(trigger or AVAILABLE_NOW)).start()
+
+
+def latest_table(rows: DataFrame, table: KeyedTable, order: Sequence[str], checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Keeps the latest row of every key in a table: a row replaces an older one, an older one changes nothing."""
+
+    def step(batch: DataFrame, number: int) -> None:
+        table.merge(batch, number, lambda both: latest_per_key(both, table.keys, order))
+
+    return _each_batch(rows, step, checkpoint, trigger)
+
+
+def summary_tables(
+    status: DataFrame, people: KeyedTable, counts: KeyedTable, order: Sequence[str], checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """Keeps the issue counts of every department in step with the latest status of every person.
+
+    Where a batch replaces a person's row, the old row is taken off its
+    department and the new one added to its own; other persons' rows count no more. A row
+    that is older than the known one changes nothing. Both tables start from
+    what was published before the batch, so a repeated batch counts once.
+    """
+    names = [c for c in counts.schema.names if c != "department"]
+
+    def step(batch: DataFrame, number: int) -> None:
+        newest = latest_per_key(batch.select(*people.schema.names), people.keys, order)
+        known = people.read_buckets_of(newest, number).join(newest.select(*people.keys), list(people.keys), "left_semi")
+        after = latest_per_key(newest.unionByName(known.select(*newest.columns)), people.keys, order)
+        signed = digest.department_summary(after).unionByName(
+            digest.department_summary(known).select("department", *[(-F.col(n)).alias(n) for n in names])
+        )
+        counts.merge(signed, number, lambda both: both.groupBy("department").agg(*[F.sum(n).alias(n) for n in names]))
+        people.merge(newest, number, lambda both: latest_per_key(both, people.keys, order))
+
+    return _each_batch(status, step, checkpoint, trigger)
+
+
 def latest_stream(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Running latest row per key, for update mode; partial results combine map-side."""
     row = F.struct(*rows.columns)
