@@ -83,7 +83,7 @@ def alert_html(
     for name, words in _BANNER.items():
         strip = _html('<div class="banner" style="background: ', text["background"], "; color: ", text["foreground"], f'">{words}</div>')
         banner = F.when(issue == name, strip).otherwise(banner)
-    return _html(
+    page = _html(
         '<!DOCTYPE html><html><head><meta charset="UTF-8"></head><body>',
         "<h1>WWCC Compliance Alert</h1><p>",
         escape(F.lit(organisation)),
@@ -105,6 +105,8 @@ def alert_html(
         escape(sent_at),
         "</footer></body></html>",
     )
+    # without a name or an issue there is no page: the caller falls back to plain text
+    return F.when(user_name.isNotNull() & issue.isNotNull(), page)
 
 
 def _plural(count: Column) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from attestal.plans import testmap as M
 from attestal.session import work_dir
 from attestal.sources import decode, readers
 from attestal.sources.config import SAMPLE_RULES, issue_types_table, managers_table
-from attestal.sources.published import KeyedTable
+from attestal.sources.published import BatchLog, KeyedTable
 from attestal.streaming import keyed, streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -615,6 +616,16 @@ def digest_run_log(spark: SparkSession, sf: str) -> DataFrame:
     return flows.digest_runs(checks, M.settings(), before, F.col("ts"), _ORDER).select("localDate", "event_id")
 
 
+@query
+def digest_gate(spark: SparkSession, sf: str) -> DataFrame:
+    """Digests of the days that three batches of checks start; a day the first batch started is not started again."""
+    log = BatchLog(work_dir(spark, "digest_gate"), T.StructType.fromDDL("localDate string"))
+    latest, checks = _latest(spark, sf), M.events(spark, sf).select("event_id", "ts", "ts_us")
+    parts = [checks.filter(F.col("event_id") % 3 == i) for i in range(3)]
+    found = [flows.run_digests(part, latest, M.settings(), log, i, F.col("ts"), _ORDER) for i, part in enumerate(parts)]
+    return reduce(DataFrame.unionByName, found)
+
+
 @query
 def notification_flow(spark: SparkSession, sf: str) -> DataFrame:
     return _flat_commands(flows.notifications(M.person_events(spark, sf).drop("ts"), M.settings(), "ts_us", _TIE))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from attestal.functions.predicates import digest_due, local_time, should_notify
 from attestal.operators import classify, dedup, digest, notify
 from attestal.operators.throttle import HOT_ROWS
 from attestal.sources.config import Settings, managers_table
+from attestal.sources.published import BatchLog
 
 
 def compliance(credentials: DataFrame, required: DataFrame, as_of: Column, processed_at: Column) -> DataFrame:
@@ -74,6 +76,24 @@ def digest_runs(checks: DataFrame, settings: Settings, run_log: DataFrame, utc:
     return dedup.first_per_key(fresh, ["localDate"], order)
 
 
+def run_digests(
+    checks: DataFrame, latest: DataFrame, settings: Settings, log: BatchLog, number: int, utc: Column, order: Sequence[str]
+) -> DataFrame:
+    """Digests of the days that the checks of a batch start, and of no others; none where no check is due.
+
+    The days are in the run log before anything goes out, also days on which no
+    manager has anything to read, so none is started twice. The same batch,
+    repeated, starts the same days. One date for each started day comes to the driver.
+    """
+    spark = checks.sparkSession
+    runs = digest_runs(checks, settings, log.read(spark, number), utc, order)
+    log.append(runs, number)
+    started = log.read(spark, number + 1).join(log.read(spark, number), "localDate", "left_anti")
+    days = sorted(r["localDate"] for r in started.select("localDate").distinct().collect())
+    none = digests(latest, settings, "").limit(0)
+    return reduce(DataFrame.unionByName, [digests(latest, settings, day) for day in days], none)
+
+
 def deliveries(commands: DataFrame, failures: DataFrame, time_us: str, tie: Sequence[str], sent_at: Column) -> DataFrame:
     """Delivery events of commands, each id processed once."""
     return notify.delivery_events(dedup.once_per_id(commands, "notificationId", time_us, tie), failures, sent_at)

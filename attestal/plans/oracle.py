@@ -629,3 +629,7 @@ ORACLE["status_as_of"] = (
     + "SELECT * FROM found"
 )
 ORACLE["digest_incremental"] = ORACLE["manager_digest"]
+ORACLE["digest_gate"] = (
+    _with(EV, LATEST, _DUE, f"digests AS ({_digest('latest')})", "days AS (SELECT DISTINCT strftime(local_ts, '%Y-%m-%d') AS day FROM due)")
+    + 'SELECT digests.* REPLACE (day AS "summaryDate") FROM digests, days'
+)

@@ -72,8 +72,9 @@ class BatchLog:
         rows.select(*self.schema.names).write.mode("overwrite").parquet(f"{self.path}/data/batch={number}")
         manifests.publish(number, {**manifests.read(number), str(number): f"data/batch={number}"})
 
-    def read(self, spark: SparkSession) -> DataFrame:
-        folders = [f"{self.path}/{f}" for f in self._manifests(spark).read().values()]
+    def read(self, spark: SparkSession, before: int | None = None) -> DataFrame:
+        """The published rows, or those of batches before a number."""
+        folders = [f"{self.path}/{f}" for f in self._manifests(spark).read(before).values()]
         return spark.read.schema(self.schema).parquet(*folders) if folders else spark.createDataFrame([], self.schema)
 
 
