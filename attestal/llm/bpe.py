@@ -19,7 +19,9 @@ import sys
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -27,8 +29,8 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType
 
 from attestal.llm.common import bound_batches
 
-#: Bytes that are encoded directly; tokens on each side of the first window; words that are remembered.
-LEAF, WINDOW, REMEMBERED = 48, 4, 1_000_000
+#: Bytes that are encoded directly; tokens on each side of the first window; words that a task remembers (some 200 bytes each).
+LEAF, WINDOW, REMEMBERED = 48, 4, 200_000
 #: Units of a text that are put together at a time.
 _LONG = 1 << 18
 #: White space next to white space or at an end; where it is absent, every blank and newline is a cut.
@@ -46,6 +48,11 @@ class Tokenizer:
         self.pattern = regex.compile(pattern)
         self.first, self.inner = _Remembered(self, ""), _Remembered(self, " ")
 
+    def forget(self) -> None:
+        """Lets go of what is remembered: workers live on between tasks."""
+        self.first.clear()
+        self.inner.clear()
+
     def leaf(self, data: bytes) -> list[int]:
         """Merges neighbours of the lowest rank, the first of equals, until none can be merged."""
         rank_of = self.ranks.get
@@ -169,28 +176,33 @@ def load(ranks_path: str, pattern: str) -> Tokenizer:
 def _digester(ranks_path: str, pattern: str, names: list[str], keep_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = load(ranks_path, pattern)
-        for batch in batches:
-            for start in range(0, batch.num_rows, 500):
-                part = batch.slice(start, 500)
-                counts, id_digests, text_digests, ids = [], [], [], []
-                for value in part.column("text"):
-                    count, id_digest, text_digest = 0, hashlib.sha256(), hashlib.sha256()
-                    kept = []
-                    for packed in tokenizer.packed_ids(value.as_py() or ""):
-                        count += len(packed) // 4
-                        id_digest.update(packed)
-                        text_digest.update(tokenizer.decode(unpacked(packed)))
-                        if keep_ids:
-                            kept.extend(unpacked(packed))
-                    counts.append(count)
-                    id_digests.append(id_digest.hexdigest())
-                    text_digests.append(text_digest.hexdigest())
-                    ids.append(kept)
-                columns = [part.column(n) for n in names]
-                columns += [pa.array(counts, pa.int64()), pa.array(id_digests, pa.string()), pa.array(text_digests, pa.string())]
+        try:
+            for batch in batches:
+                for start in range(0, batch.num_rows, 500):
+                    yield digested(tokenizer, batch.slice(start, 500))
+        finally:
+            tokenizer.forget()
+
+    def digested(tokenizer: Tokenizer, part: pa.RecordBatch) -> pa.RecordBatch:
+        counts, id_digests, text_digests, ids = [], [], [], bytearray()
+        for value in part.column("text"):
+            count, id_digest, text_digest = 0, hashlib.sha256(), hashlib.sha256()
+            for packed in tokenizer.packed_ids(value.as_py() or ""):
+                count += len(packed) // 4
+                id_digest.update(packed)
+                text_digest.update(tokenizer.decode(unpacked(packed)))
                 if keep_ids:
-                    columns.append(pa.array(ids, pa.list_(pa.int32())))
-                yield pa.RecordBatch.from_arrays(columns, names=[*names, *_RESULT[: len(columns) - len(names)]])
+                    ids += packed
+            counts.append(count)
+            id_digests.append(id_digest.hexdigest())
+            text_digests.append(text_digest.hexdigest())
+        columns = [part.column(n) for n in names]
+        columns += [pa.array(counts, pa.int64()), pa.array(id_digests, pa.string()), pa.array(text_digests, pa.string())]
+        if keep_ids:
+            ends = pa.array([0, *accumulate(counts)], pa.int32())
+            flat = pa.array(np.frombuffer(ids, "<u4").astype(np.int32))
+            columns.append(pa.ListArray.from_arrays(ends, flat))
+        return pa.RecordBatch.from_arrays(columns, names=[*names, *_RESULT[: len(columns) - len(names)]])
 
     return run
 

@@ -52,7 +52,7 @@ def bound_batches(spark: SparkSession, size: int = BATCH_BYTES) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
 
 
-def text_chunks(texts: pa.Array, chars: int = 1 << 21) -> Iterator[tuple[int, list[str]]]:
+def text_chunks(texts: pa.Array, chars: int = 1 << 19) -> Iterator[tuple[int, list[str]]]:
     """First row and texts of consecutive slices of about ``chars`` characters; one text is never cut."""
     first, chunk, size = 0, [], 0
     for row, value in enumerate(texts):
