@@ -30,7 +30,7 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType
 from attestal.llm.common import bound_batches
 
 #: Bytes that are encoded directly; tokens on each side of the first window; words that a task remembers (some 200 bytes each).
-LEAF, WINDOW, REMEMBERED = 48, 4, 200_000
+LEAF, WINDOW, REMEMBERED = 48, 4, 500_000
 #: Units of a text that are put together at a time.
 _LONG = 1 << 18
 #: White space next to white space or at an end; where it is absent, every blank and newline is a cut.
