@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,6 +26,12 @@ def words_of(text: Column) -> Column:
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, WORD_BREAK))
 
 
+def kept_columns(df: DataFrame, replaced: Iterable[str]) -> list[str]:
+    """Columns of the input that a result does not replace; Spark tells no case of letters apart, so this does not either."""
+    gone = {name.lower() for name in replaced}
+    return [c for c in df.columns if c.lower() not in gone]
+
+
 def count_words(text: Column) -> Column:
     trimmed = F.btrim(text, F.lit(SPACES))
     return F.when(trimmed == "", F.lit(0)).otherwise(F.size(F.split(trimmed, WORD_BREAK))).cast("long")

@@ -1,15 +1,17 @@
 """Mixing sources to target weights by Sainte-Lague apportionment, in built-in functions only.
 
-Documents are dealt by a seeded digest into shards of about ``SHARD_DOCS``. In
-each shard, blocks of ``BLOCK_WORDS`` words are given to the sources one by
-one: the next block goes to the highest quotient target / (2 * blocks + 1),
-until the shard's share of the mix is spent. A source's documents of a shard
-stand in seeded order on a line, twice over, and the first blocks of the line
-up to its quota are taken; so whole documents are taken, but for the one at
-the cut, none more than twice.
-
-Every window runs within a shard, or over the table of sources; a source that
-holds a third of all rows is spread over all shards.
+Blocks of ``BLOCK_WORDS`` words are given to the sources one by one: the next
+block goes to the highest quotient target / (2 * blocks + 1), until the mix is
+spent. The quotient of the last block is searched for, so no row is made for
+each block. A source is dealt by a seeded digest into shards of about
+``SHARD_DOCS`` of its documents, a rare source into one; its blocks go on to
+its shards as differences of rounded running sums, so that no rounding adds
+up. The documents of a shard stand in seeded order on a line, twice over, and
+the first blocks of the line up to its quota are taken; so whole documents are
+taken, but for the one at the cut, none more than twice.
+
+Every window over documents runs within a shard, running sums over shards in
+runs of ``SHARD_RUN``; only the table of sources is ordered as a whole.
 """
 
 from __future__ import annotations
@@ -17,10 +19,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from attestal.llm.common import count_words, stored, text_of
+from attestal.llm.common import count_words, kept_columns, stored, text_of
 
 #: Words of a block; documents of a shard, about; share of all words that the mix has; copies of a document at most.
 BLOCK_WORDS, SHARD_DOCS, MIX_PERCENT, COPIES = 64, 1024, 150, 2
+#: Shards of a source that one running sum goes over; a second one goes over these runs.
+SHARD_RUN = 4096
+#: Quotients tried at once in the search for the last block's.
+TRIED = 64
 #: Weights of the sources in code point order, repeating.
 WEIGHTS = (5, 2, 1)
 SEED = "mix-1"
@@ -53,27 +59,65 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame
     return level.select("_src", "source_size", "rank", target.alias("target"))
 
 
-def quotas(cells: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
-    """(_shard, _src, source_size, target, _quota) of (_shard, _src, _words): blocks that each source gets of each shard."""
-    sources = cells.groupBy("_src").agg(F.sum("_words").alias("source_size"))
-    share = F.when(F.col("source_size") > 0, F.col("target") * F.col("_words") / F.col("source_size")).otherwise(F.lit(0.0))
-    cells = cells.join(targets(sources, weights), "_src").withColumn("_share", share)
-    blocks = F.expr(f"(sum(cast(floor(_share) as bigint)) over (partition by _shard) + {BLOCK_WORDS // 2}) div {BLOCK_WORDS}")
-    cells = cells.withColumn("_blocks", blocks)
-    room = f"(_words * {COPIES} + {BLOCK_WORDS - 1}) div {BLOCK_WORDS}"
-    seats = cells.where("_words > 0").withColumn("_k", F.explode(F.expr(f"sequence(0L, {room} - 1)")))
-    best = Window.partitionBy("_shard").orderBy((F.col("_share") / (F.col("_k") * 2 + 1)).desc(), "rank", "_k")
-    won = seats.withColumn("_place", F.row_number().over(best)).where("_place <= _blocks")
-    won = won.groupBy("_shard", "_src").agg(F.count("*").alias("_quota"))
-    return cells.join(won, ["_shard", "_src"], "left").select(
-        "_shard", "_src", "source_size", "target", F.coalesce("_quota", F.lit(0).cast("long")).alias("_quota")
-    )
+def apportion(sources: DataFrame) -> DataFrame:
+    """The rows of (_src, source_size, rank, target) with ``_blocks``: blocks of the mix that each source gets by highest quotients.
+
+    A source's blocks at a quotient are known without counting them one by
+    one. The quotient of the last block is closed in on by one-row aggregates
+    until no more than about a block a source is left in between; only these
+    are ranked, ties by the source's rank.
+    """
+    room = F.expr(f"(source_size * {COPIES} + {BLOCK_WORDS - 1}) div {BLOCK_WORDS}")
+    sources = sources.withColumn("_room", room).where("target > 0")
+
+    def won(quotient: float) -> Column:
+        return F.least(F.floor((F.col("target") / F.lit(quotient) + 1) / 2).cast("long"), F.col("_room"))
+
+    total, count, high, low = sources.agg(
+        F.expr(f"(sum(cast(floor(target) as bigint)) + {BLOCK_WORDS // 2}) div {BLOCK_WORDS}"),
+        F.count("*"),
+        F.max("target") * 2,
+        F.min(F.col("target") / (F.col("_room") * 4 + 2)),
+    ).first()
+    between = None
+    while count and (between is None or between > count) and high / low > 1 + 1e-14:
+        step = (high / low) ** (1 / TRIED)
+        tried = [low] + [low * step**i for i in range(1, TRIED)] + [high]
+        blocks = list(sources.agg(*[F.sum(won(q)).alias(f"n{i}") for i, q in enumerate(tried)]).first())
+        place = max(i for i, n in enumerate(blocks) if n >= total or i == 0)
+        if place == TRIED or (low, high) == (tried[place], tried[place + 1]):
+            break
+        low, high, between = tried[place], tried[place + 1], blocks[place] - blocks[place + 1]
+    # one block more on both sides, for the rounding of the quotients
+    sure = F.greatest(won(high or 1.0) - 1, F.lit(0).cast("long"))
+    seats = sources.withColumn("_sure", sure).withColumn("_last", F.least(won(low or 1.0) + 1, F.col("_room")))
+    best = Window.orderBy((F.col("target") / (F.col("_k") * 2 + 1)).desc(), "rank", "_k")
+    left = F.lit(total or 0).cast("long") - F.coalesce(F.sum("_sure").over(Window.partitionBy()), F.lit(0))
+    open_ = seats.withColumn("_left", left).where("_last > _sure").withColumn("_k", F.explode(F.expr("sequence(_sure, _last - 1)")))
+    taken = open_.withColumn("_place", F.row_number().over(best)).where("_place <= _left").groupBy("_src").agg(F.count("*").alias("_more"))
+    return seats.join(taken, "_src", "left").select("_src", (F.col("_sure") + F.coalesce("_more", F.lit(0))).alias("_blocks"))
+
+
+def quotas(cells: DataFrame) -> DataFrame:
+    """(_src, _shard, _quota) of (_src, _shard, _words, source_size, _blocks): blocks that each shard gives."""
+    run = F.expr(f"_shard div {SHARD_RUN}")
+    runs = cells.groupBy("_src", run.alias("_run")).agg(F.sum("_words").alias("_run_words"))
+    earlier = Window.partitionBy("_src").orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.withColumn("_before", F.coalesce(F.sum("_run_words").over(earlier), F.lit(0)))
+    within = Window.partitionBy("_src", "_run").orderBy("_shard").rowsBetween(Window.unboundedPreceding, 0)
+    ends = cells.withColumn("_run", run).join(runs, ["_src", "_run"]).withColumn("_end", F.col("_before") + F.sum("_words").over(within))
+
+    def given(end: str) -> Column:
+        product = f"2 * cast(_blocks as decimal(18, 0)) * cast({end} as decimal(19, 0)) + source_size"
+        return F.expr(f"case when source_size > 0 then ({product}) div (2 * source_size) else 0L end")
+
+    return ends.select("_src", "_shard", (given("_end") - given("_end - _words")).alias("_quota"))
 
 
 def mix(docs: DataFrame, seed: str = SEED, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
     """All rows with ``size``, ``source_size``, ``target`` of their source and ``taken``: words the mix takes, repeats counted.
 
-    Input columns of these names are replaced. A null or wordless text has
+    Input columns of these names, in any case of letters, are replaced. A null or wordless text has
     size 0 and nothing is taken; a null source is a source of its own, the
     last one. Rows with equal ids and texts stand next to each other and are
     taken one by one. The same rows and seed give the same result. An empty
@@ -82,17 +126,30 @@ def mix(docs: DataFrame, seed: str = SEED, weights: tuple[int, ...] = WEIGHTS) -
     shards = docs.count() // SHARD_DOCS + 1
     digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     source = F.when(F.col("source").isNull(), F.lit("t")).otherwise(F.concat(F.lit("s"), F.col("source").cast("string")))
-    rows = docs.drop(*RESULT).select(
-        "*",
+    rows = docs.select(
+        F.struct(*[docs[c] for c in kept_columns(docs, RESULT)]).alias("_row"),
+        F.col("doc_id").alias("_id"),
         count_words(text_of()).alias("size"),
         source.alias("_src"),
-        (F.conv(F.substring(digest, 1, 7), 16, 10).cast("long") % shards).alias("_shard"),
+        (F.conv(F.substring(digest, 1, 7), 16, 10).cast("long") % shards).alias("_deal"),
         F.substring(digest, 8, 25).alias("_place"),
     )
-    cells = stored(rows.groupBy("_shard", "_src").agg(F.sum("size").alias("_words")), "mix-cells")
-    rows = rows.join(quotas(cells, weights), ["_shard", "_src"])
-    line = Window.partitionBy("_shard", "_src").orderBy("_place", "doc_id")
-    cell = Window.partitionBy("_shard", "_src")
+    deals = stored(rows.groupBy("_src", "_deal").agg(F.sum("size").alias("_words"), F.count("*").alias("_n")), "mix-deals")
+    sources = deals.groupBy("_src").agg(F.sum("_words").alias("source_size"), F.expr(f"sum(_n) div {SHARD_DOCS} + 1").alias("_shards"))
+    sources = stored(sources, "mix-sources")
+    given = stored(targets(sources.select("_src", "source_size"), weights), "mix-targets")
+    sources = sources.join(given.select("_src", "target"), "_src").join(apportion(given), "_src", "left")
+    sources = stored(sources.withColumn("_blocks", F.coalesce("_blocks", F.lit(0).cast("long"))), "mix-blocks")
+
+    def sharded(dealt: DataFrame) -> DataFrame:
+        return dealt.join(sources, "_src").withColumn("_shard", F.expr(f"(_deal * _shards) div {shards}"))
+
+    cells = sharded(deals).groupBy("_src", "_shard").agg(
+        F.sum("_words").alias("_words"), F.first("source_size").alias("source_size"), F.first("_blocks").alias("_blocks")
+    )
+    rows = sharded(rows).join(stored(quotas(cells), "mix-quotas"), ["_src", "_shard"])
+    line = Window.partitionBy("_src", "_shard").orderBy("_place", "_id")
+    cell = Window.partitionBy("_src", "_shard")
     rows = rows.withColumn("_start", F.sum("size").over(line.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
     rows = rows.withColumn("_cell", F.sum("size").over(cell))
 
@@ -100,7 +157,7 @@ def mix(docs: DataFrame, seed: str = SEED, weights: tuple[int, ...] = WEIGHTS) -
         return F.least(F.greatest(F.col("_quota") * BLOCK_WORDS - start, F.lit(0).cast("long")), F.col("size"))
 
     taken = covered(F.col("_start")) + covered(F.col("_start") + F.col("_cell"))
-    return rows.withColumn("taken", taken).drop("_src", "_shard", "_place", "_quota", "_start", "_cell")
+    return rows.select("_row.*", "size", "source_size", "target", taken.alias("taken"))
 
 
 def mixed_documents(docs: DataFrame, seed: str = SEED, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
@@ -109,6 +166,6 @@ def mixed_documents(docs: DataFrame, seed: str = SEED, weights: tuple[int, ...]
     A document without words is never taken.
     """
     times = F.when(F.col("size") > 0, F.expr("cast(floor(2 * taken / size + 1) / 2 as int)")).otherwise(F.lit(0))
-    copies = mix(docs.select(F.struct("*").alias("_row"), "doc_id", "source", "text"), seed, weights)
-    copies = copies.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), times)))
-    return copies.select("_row.*")
+    copies = mix(docs.select(F.struct("*").alias("document"), "doc_id", "source", "text"), seed, weights)
+    copies = copies.withColumn("copy", F.explode(F.array_repeat(F.lit(1), times)))
+    return copies.select("document.*")

@@ -12,10 +12,12 @@ WITH counted AS (
   SELECT doc_id, source, len({_WORDS})::BIGINT AS size, md5('mix-1:' || coalesce(doc_id::VARCHAR, '')) AS h,
     (SELECT count(*) FROM documents) // 1024 + 1 AS shards
   FROM documents
-), docs AS (
-  SELECT doc_id, size, CASE WHEN source IS NULL THEN 't' ELSE 's' || source END AS src,
-    ('0x' || substr(h, 1, 7))::BIGINT % shards AS shard, substr(h, 8, 25) AS place
+), dealt AS (
+  SELECT doc_id, size, shards, CASE WHEN source IS NULL THEN 't' ELSE 's' || source END AS src,
+    ('0x' || substr(h, 1, 7))::BIGINT % shards AS deal, substr(h, 8, 25) AS place
   FROM counted
+), docs AS (
+  SELECT *, deal * (count(*) OVER (PARTITION BY src) // 1024 + 1) // shards AS shard FROM dealt
 ), cells AS (
   SELECT shard, src, sum(size)::BIGINT AS words FROM docs GROUP BY ALL
 ), ranked AS (
@@ -34,21 +36,23 @@ WITH counted AS (
     w * (SELECT words_left FROM opened WHERE NOT is_full ORDER BY a, rank LIMIT 1)
       / (SELECT weight_left FROM opened WHERE NOT is_full ORDER BY a, rank LIMIT 1) END AS target
   FROM opened
-), shares AS (
-  SELECT *, CASE WHEN source_size > 0 THEN target * words / source_size ELSE 0 END AS share FROM cells JOIN target USING (src)
-), blocks AS (
-  SELECT *, (sum(floor(share)::BIGINT) OVER (PARTITION BY shard) + 32) // 64 AS blocks FROM shares
 ), seats AS (
-  SELECT *, unnest(range((words * 2 + 63) // 64)) AS k FROM blocks WHERE words > 0
-), placed AS (
-  SELECT *, row_number() OVER (PARTITION BY shard ORDER BY share / (k * 2 + 1) DESC, rank, k) AS seat FROM seats
+  SELECT src, rank, target, unnest(range((source_size * 2 + 63) // 64)) AS k FROM target WHERE target > 0
+), won AS (
+  SELECT src, count(*) AS blocks FROM (SELECT src, row_number() OVER (ORDER BY target / (k * 2 + 1) DESC, rank, k) AS seat FROM seats)
+  WHERE seat <= (SELECT (sum(floor(target)::BIGINT) + 32) // 64 FROM target) GROUP BY src
+), ends AS (
+  SELECT src, shard, words, source_size, target, coalesce(blocks, 0)::HUGEINT AS blocks,
+    sum(words) OVER (PARTITION BY src ORDER BY shard ROWS UNBOUNDED PRECEDING) AS done
+  FROM cells JOIN target USING (src) LEFT JOIN won USING (src)
 ), quota AS (
-  SELECT shard, src, count(*) AS quota FROM placed WHERE seat <= blocks GROUP BY ALL
+  SELECT *, CASE WHEN source_size > 0 THEN (2 * blocks * done + source_size) // (2 * source_size)
+    - (2 * blocks * (done - words) + source_size) // (2 * source_size) ELSE 0 END AS quota
+  FROM ends
 ), line AS (
-  SELECT docs.*, target.source_size, target.target, coalesce(quota, 0) * 64 AS cut,
-    sum(size) OVER (PARTITION BY docs.shard, docs.src ORDER BY place, doc_id ROWS UNBOUNDED PRECEDING) - size AS start,
-    sum(size) OVER (PARTITION BY docs.shard, docs.src) AS cell
-  FROM docs JOIN target USING (src) LEFT JOIN quota ON quota.shard = docs.shard AND quota.src = docs.src
+  SELECT doc_id, size, source_size, target, quota * 64 AS cut,
+    sum(size) OVER (PARTITION BY src, shard ORDER BY place, doc_id ROWS UNBOUNDED PRECEDING) - size AS start, words AS cell
+  FROM docs JOIN quota USING (src, shard)
 )
 SELECT doc_id, size, source_size, target,
   (least(greatest(cut - start, 0), size) + least(greatest(cut - start - cell, 0), size))::BIGINT AS taken

@@ -2,6 +2,7 @@
 
 import glob
 import os
+from collections import Counter
 
 import duckdb
 import pytest
@@ -12,14 +13,39 @@ from attestal.llm.queries import QUERIES
 SF = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", sorted(ORACLE))
-def test_query(spark, name):
+def against_sql(spark, name, folder):
     con = duckdb.connect()
-    for path in glob.glob(f"{SF}/*.parquet"):
-        con.execute(f"CREATE VIEW {os.path.basename(path)[:-8]} AS SELECT * FROM '{path}'")
-    df = QUERIES[name](spark, SF)
+    for path in glob.glob(f"{folder}/*.parquet"):
+        con.execute(f"CREATE VIEW {os.path.basename(path)[:-8]} AS SELECT * FROM '{path}{'/*.parquet' if os.path.isdir(path) else ''}'")
+    df = QUERIES[name](spark, folder)
     cursor = con.execute(ORACLE[name])
     names = sorted(df.columns)
     places = [[c[0] for c in cursor.description].index(n) for n in names]
     want = sorted(repr(tuple(row[i] for i in places)) for row in cursor.fetchall())
-    assert sorted(repr(tuple(row[n] for n in names)) for row in df.collect()) == want
+    rows = df.collect()
+    assert sorted(repr(tuple(row[n] for n in names)) for row in rows) == want
+    return rows
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_query(spark, name):
+    against_sql(spark, name, SF)
+
+
+def test_mixing_over_many_shards(spark, tmp_path):
+    """Forty shards; rare sources of short texts, one of a single word, one without words and equal ones come near their targets too."""
+    n = "doc_id % 1000"
+    source = f"CASE {n} WHEN 7 THEN 'c' WHEN 8 THEN 'd' WHEN 9 THEN 'e' WHEN 10 THEN NULL ELSE concat('a', doc_id % 3) END"
+    words = f"CASE {n} WHEN 7 THEN 12 WHEN 8 THEN 12 WHEN 9 THEN 0 WHEN 10 THEN if(doc_id = 10, 1, 0) ELSE doc_id * 37 % 61 END"
+    docs = spark.range(40_960).withColumnRenamed("id", "doc_id")
+    docs = docs.selectExpr("doc_id", f"{source} AS source", f"repeat('w ', CAST({words} AS INT)) AS text")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    taken, target = Counter(), {}
+    for row in against_sql(spark, "op5_mixing", str(tmp_path)):
+        taken[row.source_size] += row.taken
+        target[row.source_size] = row.target
+        assert 0 <= row.taken <= 2 * row.size
+    assert min(target) == 0 and 1 in target and 492 in target
+    for size, words in target.items():
+        # two sources have 492 words, each with a target of 984
+        assert abs(taken[size] - words * (2 if size == 492 else 1)) <= (128 if size == 492 else max(64, 0.01 * words)), (size, words, taken[size])
