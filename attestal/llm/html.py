@@ -6,10 +6,14 @@ are capacities to the two terminals. Blocks that follow each other, and blocks
 of one parent, are tied by edges that weaken with their distance in the tree.
 The minimum cut separates content from boilerplate.
 
-The classifier is naive Bayes over binned traits of blocks (tags and class
-words above it, link share, length, punctuation, place), learned from pages
-that mark their parts by semantic tags; its sample is bounded by
-``SAMPLE_PAGES``. Tags that never hold readable text decide by themselves.
+The classifier is naive Bayes over binned traits of blocks (tag, doubtful
+class words above it, link share, length, punctuation, place), learned from
+pages that mark their parts; its sample is bounded by ``SAMPLE_PAGES``. Tags
+and class names that name a part outright (``nav``, ``post-comments``) weigh
+more than the traits can, unless they stand on the main part or around it.
+Tags that never hold readable text decide by themselves.
+
+Reading a page takes time linear in its length, whatever it holds.
 """
 
 from __future__ import annotations
@@ -17,7 +21,7 @@ from __future__ import annotations
 import html as entities
 import math
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -25,16 +29,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attestal.llm.common import bound_batches
+from attestal.llm.common import bound_batches, kept_columns
 
 #: Pages that the classifier learns from at most: those whose ids have the smallest hashes.
 SAMPLE_PAGES = 2000
 #: Weight of the tie of neighbours, and what each step between them in the tree leaves of it.
 TIE, FADE = 1.2, 0.6
 #: Strongest log-odds that one trait, and all together, may give.
-TRAIT_LIMIT, LIMIT = 3.0, 9.0
-#: Log-odds of content for blocks of a page that does not mark its main part; most of its text is content.
-UNMARKED = 4.0
+TRAIT_LIMIT, LIMIT = 3.0, 4.5
+#: Log-odds of content for blocks of a page that does not mark its main part (most of its text is content), and of one that does, outside it less.
+UNMARKED, MARKED = 4.0, 5.0
+#: Log-odds of blocks below a tag or name of a boilerplate part, and what a doubtful class word has before anything is learned.
+NAMED, DOUBT = -12.0, -2.0
 
 # fixed values: what HTML says of its tags
 SILENT = "script style noscript template textarea select option button svg math iframe object canvas audio video head title".split()
@@ -52,17 +58,20 @@ ASIDE_WORDS = frozenset(
     "social sponsor sponsored subscribe tags toolbar widget".split()
 )
 MAIN_WORDS = frozenset("article body content entry main page post story text".split())
+#: Last words of a name that say nothing of what it names, and words that make it tell of something else.
+SHAPE_WORDS = frozenset("area bar block box button buttons container icons inner item items links list panel section wrap wrapper".split())
+RELATION_WORDS = frozenset("has no with without".split())
+#: Boilerplate tags that never stand around a page's main part.
+APART_TAGS = frozenset("nav header footer aside menu dialog".split())
 #: A start of one of these ends an open paragraph; a start of the same kind ends an open item.
 ENDS_PARAGRAPH = frozenset(
     "address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split()
 )
 ENDS_SAME = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style|textarea|title|noscript|template|iframe|svg|math)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?:/>|>.*?(?:</(?P=raw)\s*>|\Z))"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>",
-    re.S | re.I,
-)
+_RAW = {t: re.compile(rf"</{t}(?=[\s/>])", re.I) for t in "script style textarea title noscript template iframe svg math".split()}
+_NAME = re.compile(r"/?[a-zA-Z][^\s/>]*")
+_SPECIAL = re.compile(r"[>\"']")
 _MARK = re.compile(r"""\b(class|id|role|hidden|style)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _WORD = re.compile(r"[a-z]+")
 _PUNCTUATION = re.compile(r"[.!?;:,…]")
@@ -73,10 +82,16 @@ class Node:
     tag: str
     parent: Node | None
     depth: int
-    aside: bool
-    main: bool
     hidden: bool
-    marks: tuple[str, ...] = ()
+    #: Does a name here say outright that this is boilerplate, or the main part; which words leave a doubt?
+    named: bool = False
+    titled: bool = False
+    doubts: tuple[str, ...] = ()
+    #: Outermost node around this one that marks a main part, by its tag or else by its name; None below a boilerplate tag.
+    part: Node | None = None
+    apart: bool = False
+    aside: bool = False
+    main: bool = False
 
 
 @dataclass
@@ -87,6 +102,23 @@ class Block:
     traits: tuple[str, ...] = field(default=())
 
 
+def _named(names: list[list[str]], tag: str) -> tuple[bool, bool, tuple[str, ...]]:
+    """Whether names, as lists of words, name a boilerplate part, whether a main part, and the words that only leave a doubt.
+
+    A name means what its last word means, leaving out words of shape:
+    ``post-comments`` are comments, ``text-share-price`` is a price.
+    """
+    aside, main, doubts = False, False, set()
+    for words in names:
+        if RELATION_WORDS.intersection(words):
+            continue
+        heads = [w for w in words if w not in SHAPE_WORDS]
+        aside |= bool(heads) and heads[-1] in ASIDE_WORDS and not (heads[-1] == "header" and MAIN_WORDS.intersection(words))
+        main |= bool(heads) and heads[-1] in MAIN_WORDS
+        doubts.update(w for w in heads[:-1] if w in ASIDE_WORDS and not MAIN_WORDS.intersection(words))
+    return aside, main and not aside and tag in ("div", "section"), tuple(sorted(doubts))
+
+
 def _node(tag: str, attributes: str, parent: Node) -> Node:
     names, hidden = [], parent.hidden or tag in SILENT
     for kind, *values in _MARK.findall(attributes) if attributes.strip() else ():
@@ -94,18 +126,90 @@ def _node(tag: str, attributes: str, parent: Node) -> Node:
         if kind == "hidden" or kind == "style" and "display:none" in value.replace(" ", ""):
             hidden = True
         elif kind != "style":
-            names += _WORD.findall(value)
-    marks = tuple(sorted(ASIDE_WORDS.intersection(names)))
-    # a page's own header is boilerplate, the header of an article is part of it
-    aside = parent.aside or bool(marks) or tag in ASIDE_TAGS and not (tag == "header" and parent.main)
-    main = parent.main or tag in MAIN_TAGS or tag == "div" and not marks and bool(MAIN_WORDS.intersection(names)) and parent.depth < 4
-    return Node(tag, parent, parent.depth + 1, aside, main, hidden, marks)
+            names += [_WORD.findall(name) for name in value.split()]
+    named, titled, doubts = _named(names, tag) if names and tag not in ("html", "body") else (False, False, ())
+    node = Node(tag, parent, parent.depth + 1, hidden, named, titled and parent.depth < 4, doubts)
+    node.apart = parent.apart or tag in APART_TAGS and not (tag == "header" and parent.part)
+    if not node.apart:
+        # an outermost article or main replaces a part that only a name marks
+        strong = tag in MAIN_TAGS and (parent.part is None or parent.part.tag not in MAIN_TAGS)
+        node.part = node if strong or parent.part is None and node.titled else parent.part
+    return node
+
+
+def _tokens(page: str) -> Iterator[tuple[str, str, str]]:
+    """(kind, name or text, attributes) in page order; kinds are text, start, end and raw.
+
+    A tag ends at the first ``>`` outside quotes; a ``<`` that no such end
+    follows is text. Quotes from which a search has failed once are not tried
+    again, so all searches together are linear.
+    """
+    failed: set[int] = set()
+    next_from, next_at = -1, -1
+    last = {c: page.rfind(c) for c in ">\"'"}
+
+    def tag_end(start: int) -> int:
+        nonlocal next_from, next_at
+        if start > last[">"]:
+            return -1
+        if not next_from <= start <= next_at:
+            found = _SPECIAL.search(page, start)
+            next_from, next_at = start, found.start()
+        at, tried = next_at, []
+        while at >= 0 and page[at] != ">":
+            if at in failed:
+                at = -1
+                break
+            tried.append(at)
+            close = page.find(page[at], at + 1) if at < last[page[at]] else at
+            found = _SPECIAL.search(page, close + 1)
+            at = found.start() if found else -1
+        if at < 0:
+            failed.update(tried)
+        return at
+
+    at = text = 0
+    while (at := page.find("<", at)) >= 0:
+        after = at + 1
+        if page.startswith("!--", after):
+            close = page.find("-->", at + 4)
+            # the shortest comments share their hyphens
+            end = at + 5 if page.startswith(">", at + 4) else close + 3 if close >= 0 else len(page)
+            token = None
+        elif page[after : after + 1] in ("!", "?") or page.startswith("/", after) and not _NAME.match(page, after):
+            end = page.find(">", after) + 1 if after <= last[">"] else 0
+            token = None
+        elif name := _NAME.match(page, after):
+            end = tag_end(name.end()) + 1
+            tag = name[0].lower()
+            token = ("end", tag[1:], "") if tag[0] == "/" else ("start", tag, page[name.end() : end - 1] if end else "")
+            if end and tag in _RAW and not token[2].endswith("/"):
+                closed = _RAW[tag].search(page, end)
+                end = (page.find(">", closed.end()) + 1 or len(page)) if closed else len(page)
+                token = ("raw", tag, "")
+            elif end and tag in _RAW:
+                token = ("raw", tag, "")
+        else:
+            end = 0
+        if not end:
+            at += 1
+            continue
+        if text < at:
+            yield "text", page[text:at], ""
+        if token:
+            yield token
+        at = text = end
+    if text < len(page):
+        yield "text", page[text:], ""
 
 
 def blocks(page: str) -> list[Block]:
     """Blocks of readable text in page order; unclosed and stray tags are taken as browsers take them."""
-    root = Node("", None, 0, False, False, False)
-    stack, found = [root], []
+    root = Node("", None, 0, False)
+    # an open block-level node, and the inline tags open within it
+    stack: list[tuple[Node, list[str]]] = [(root, [])]
+    opened: Counter[str] = Counter()
+    nodes, found = [root], []
     pieces: list[str] = []
     linked = 0
     home = root
@@ -118,56 +222,98 @@ def blocks(page: str) -> list[Block]:
         pieces.clear()
         linked = 0
 
-    def container() -> Node:
-        return next(n for n in reversed(stack) if n.tag not in INLINE)
-
-    def add(text: str) -> None:
-        nonlocal linked, home
-        if not text:
-            return
-        if not pieces:
-            home = container()
-        pieces.append(text)
-        if any(n.tag == "a" for n in stack[-4:]):
-            linked += len(text.strip())
-
-    at = 0
-    for token in _TOKEN.finditer(page):
-        add(page[at : token.start()])
-        at = token.end()
-        tag = (token["tag"] or "").lower()
-        if not tag:
-            if (token["raw"] or "").lower() in ("textarea", "iframe", "noscript", "template"):
+    def pop() -> str:
+        node, inline = stack.pop()
+        opened.subtract([node.tag, *((node.depth, t) for t in inline)])
+        return node.tag
+
+    for kind, tag, attributes in _tokens(page):
+        node, inline = stack[-1]
+        if kind == "text":
+            if not pieces:
+                home = node
+            pieces.append(tag)
+            if opened[node.depth, "a"] or node.depth and opened[node.depth - 1, "a"]:
+                linked += len(tag.strip())
+        elif kind == "raw":
+            if tag in ("textarea", "iframe", "noscript", "template"):
                 close()
-            continue
-        if tag == "br":
+        elif tag == "br":
             pieces.append(" ") if pieces else None
-            continue
-        if tag not in INLINE:
+        elif tag in INLINE:
+            if kind == "start" and tag not in VOID:
+                hidden = bool(attributes) and _node(tag, attributes, node).hidden
+                if hidden and not node.hidden:
+                    # a hidden run of text is a block that is not shown
+                    close()
+                    nodes.append(_node(tag, attributes, node))
+                    stack.append((nodes[-1], []))
+                    opened[tag] += 1
+                else:
+                    inline.append(tag)
+                    opened[node.depth, tag] += 1
+            elif kind == "end" and node.tag == tag:
+                close()
+                pop()
+            elif kind == "end" and opened[node.depth, tag]:
+                while (last := inline.pop()) != tag:
+                    opened[node.depth, last] -= 1
+                opened[node.depth, tag] -= 1
+        elif kind == "end":
+            close()
+            if opened[tag] > 0:
+                while pop() != tag:
+                    pass
+        else:
             close()
-        if token["end"]:
-            place = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
-            # an inline end tag never closes the block it stands in
-            if place and not (tag in INLINE and any(n.tag not in INLINE for n in stack[place:])):
-                del stack[place:]
-        elif tag not in VOID:
+            if tag in VOID:
+                continue
             ends = ("p",) if tag in ENDS_PARAGRAPH else ENDS_SAME.get(tag, ())
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag in ends:
-                    # inline tags left open go on in the next block, without effect on its place
-                    del stack[i:]
-                    break
-                if stack[i].tag not in INLINE and not (tag in ENDS_SAME and stack[i].tag == "p"):
-                    break
-            if not token["attributes"].endswith("/") or tag not in VOID:
-                stack.append(_node(tag, token["attributes"], stack[-1]))
-    add(page[at:])
+            # an open paragraph within the item goes with it
+            depth = 2 if tag in ENDS_SAME and node.tag == "p" and len(stack) > 2 else 1
+            if stack[-depth][0].tag in ends:
+                for _ in range(depth):
+                    pop()
+            nodes.append(_node(tag, attributes, stack[-1][0]))
+            stack.append((nodes[-1], []))
+            opened[tag] += 1
     close()
+    _place(nodes, found)
     for place, block in enumerate(found):
         block.traits = _traits(block, place, len(found))
     return found
 
 
+def _place(nodes: list[Node], found: list[Block]) -> None:
+    """Says of each node whether it lies in a main part or in boilerplate. Names on the largest main part and around it do not count."""
+    sizes: dict[int, int] = {}
+    parts: dict[int, Node] = {}
+    for block in found:
+        part = block.node.part
+        if part is not None:
+            parts[id(part)] = part
+            sizes[id(part)] = sizes.get(id(part), 0) + len(block.text)
+    strong = any(p.tag in MAIN_TAGS for p in parts.values())
+    candidates = [p for p in parts.values() if p.tag in MAIN_TAGS or not strong]
+    largest = max(candidates, key=lambda p: sizes[id(p)], default=None)
+    clear, at = set(), largest
+    while at is not None:
+        clear.add(id(at))
+        at = at.parent
+    kept = {id(p) for p in candidates}
+    for node in nodes[1:]:
+        up = node.parent
+        node.main = up.main or id(node) in kept
+        by_tag = node.tag in ASIDE_TAGS and not (node.tag == "header" and up.main)
+        if id(node) in clear:
+            node.doubts = ()
+            continue
+        # the header of an article is part of it, whatever its class is
+        named = node.named and not (node.tag == "header" and up.main)
+        node.aside = up.aside or by_tag or named
+        node.doubts = tuple(sorted({*up.doubts, *node.doubts})) if node.doubts else up.doubts
+
+
 def _traits(block: Block, place: int, total: int) -> tuple[str, ...]:
     words = len(block.text.split())
     share = min(1.0, block.linked / max(1, len(block.text)))
@@ -177,6 +323,7 @@ def _traits(block: Block, place: int, total: int) -> tuple[str, ...]:
         f"links:{math.ceil(share * 4)}",
         f"points:{min(4, len(_PUNCTUATION.findall(block.text)))}",
         f"depth:{min(8, block.node.depth)}",
+        *(f"word:{w}" for w in block.node.doubts),
         f"place:{'first' if place == 0 else 'last' if place == total - 1 else min(9, 10 * place // total)}",
     )
 
@@ -200,17 +347,22 @@ class Classifier:
             table.setdefault(trait, [1.0, 1.0])[int(content)] += n
             totals[content] += n
         self.odds = {
-            t: max(-TRAIT_LIMIT, min(TRAIT_LIMIT, math.log(c / totals[True]) - math.log(a / totals[False]))) for t, (a, c) in table.items()
+            t: max(-TRAIT_LIMIT, min(TRAIT_LIMIT, math.log(c / totals[True]) - math.log(a / totals[False]) + self.before(t)))
+            for t, (a, c) in table.items()
         }
 
+    @staticmethod
+    def before(trait: str) -> float:
+        """Log-odds of a trait before anything is learned of it."""
+        return DOUBT if trait.startswith("word:") else 0.0
+
     def score(self, block: Block, marked: bool) -> float:
-        """Log-odds that a block is content. What its tags and class words say weighs as much as all traits."""
-        node = block.node
-        if node.aside:
-            return -2 * LIMIT
-        score = max(-LIMIT, min(LIMIT, sum(self.odds.get(t, 0.0) for t in block.traits)))
+        """Log-odds that a block is content. A part that is named outright is not left to the traits."""
+        score = max(-LIMIT, min(LIMIT, sum(self.odds.get(t, self.before(t)) for t in block.traits)))
+        if block.node.aside:
+            return NAMED + score
         if marked:
-            return score + (LIMIT if node.main else -LIMIT)
+            return score + (MARKED if block.node.main else -MARKED)
         return score + UNMARKED
 
 
@@ -344,12 +496,12 @@ def _extractor(shared, html: str):
 def extract(pages: DataFrame, html: str = "html") -> DataFrame:
     """The rows with the page replaced by ``text`` (the article's blocks joined by blanks, empty if none) and ``n_chars``.
 
-    Input columns of these names are replaced. A null page counts as empty.
+    Input columns of these names, in any case of letters, are replaced. A null page counts as empty.
     Where no page marks its parts, blocks are content unless their tags say
     otherwise. Repeated rows are extracted alike. An empty table gives an
     empty result.
     """
-    rows = pages.drop("text", "n_chars")
+    rows = pages.select(*kept_columns(pages, ("text", "n_chars")))
     bound_batches(rows.sparkSession)
     shared = rows.sparkSession.sparkContext.broadcast(learn(rows, html=html))
     schema = rows.drop(html).schema.add("text", "string").add("n_chars", "long")

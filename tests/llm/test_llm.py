@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -185,6 +186,53 @@ def test_html(spark, documents):
         assert row.text == " ".join(html.entities.unescape(plain).split()) and row.n_chars == len(row.text)
 
 
+ARTICLE = "<article><h1>Title</h1><p>Some real text, with words enough to be read.</p></article>"
+READ = "Title Some real text, with words enough to be read."
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f"<body class='has-sidebar'>{ARTICLE}</body>", READ),
+        (f"<div class='page-with-comments'>{ARTICLE}</div>", READ),
+        (f"<div class='page-comments'><form>{ARTICLE}</form></div>", READ),
+        ("<body class='single-post-form'><main><p>Hello there, this is a text.</p></main></body>", "Hello there, this is a text."),
+        ("<article><header class='entry-header'><h1>Head line</h1></header><p>A body, long enough.</p></article>", "Head line A body, long enough."),
+        ("<article><p>One text.</p><div class='text-share-price'>The price rose by 5, they said.</div><p>More.</p></article>",
+         "One text. The price rose by 5, they said. More."),
+        (f"<nav>Menu</nav>{ARTICLE}<section class='post-comments'><article><p>I read it, and I say so.</p></article></section>", READ),
+        ("<article><p>One text.<div class='ad'>Buy this, it is good, we say.</div><section class='comments'>I say so.</section></article>", "One text."),
+        ("<main><p>1 < 2 and <b>so</b> on, a <a title='x>y'>link</a>.<p>The <unclosed end", "1 < 2 and so on, a link. The <unclosed end"),
+    ],
+)
+def test_html_names_around_the_main_part(page, text):
+    assert html.main_text(page, html.Classifier([])) == text
+
+
+def test_html_doubtful_words_are_learned():
+    page = "<article><p>One text.</p><div class='share-price'>The price.</div></article>"
+    block = next(b for b in html.blocks(page) if b.text == "The price.")
+    assert "word:share" in block.traits
+    for content in (True, False):
+        learned = html.Classifier([("word:share", content, 50), ("words:2", True, 60), ("words:2", False, 60)])
+        assert (learned.score(block, True) > html.MARKED) == content
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<a " * 350_000, "<a '" * 250_000 + ">", '<a "' * 250_000 + "'>", "<div>" * 100_000 + "</x>" * 100_000, "<b><div>" + "<i>" * 150_000 + "</b>" * 150_000,
+     "</script " * 100_000 + "<script>" + "</script " * 10, "<p>x y." * 140_000, "<li><p>x" * 100_000, "<!--" * 250_000, "<![" * 300_000],
+)
+def test_html_hostile_pages_take_linear_time(page):
+    def seconds(part):
+        start = time.process_time()
+        html.main_text(part, html.Classifier([]))
+        return time.process_time() - start
+
+    # a tenth of the page would take a hundredth of the time if it were quadratic
+    assert seconds(page) < 40 * seconds(page[: len(page) // 10]) + 1
+
+
 def test_minimum_cut_is_minimal():
     rng = np.random.default_rng(5)
     for _ in range(60):
