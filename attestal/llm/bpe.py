@@ -25,9 +25,10 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType
+from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructType
 
-from attestal.llm.common import bound_batches
+from attestal.llm.common import bound_batches, kept_columns, quoted
 
 #: Bytes that are encoded directly; tokens on each side of the first window; words that a task remembers (some 200 bytes each).
 LEAF, WINDOW, REMEMBERED = 48, 4, 500_000
@@ -215,13 +216,15 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, keep_ids: bool
     """All columns but the text, with ``n_tokens``, ``ids_sha256``, ``decoded_sha256`` and, if asked for, ``ids``.
 
     ``decoded_sha256`` is of the bytes that the ids decode to. A null text
-    counts as empty: no ids. Input columns of these names are replaced. The
-    file of ranks is read on each executor, where the path must exist.
+    counts as empty: no ids. Input columns of these names, in any case of
+    letters, are replaced. The file of ranks is read on each executor, where the path must exist.
     """
-    rows = docs.drop(*_RESULT)
+    kept = kept_columns(docs, ("text", *_RESULT))
+    names = [f"c{i}" for i in range(len(kept))]
+    rows = docs.select("text", *[F.col(quoted(c)).alias(n) for n, c in zip(names, kept, strict=True)])
     bound_batches(rows.sparkSession)
-    names = [c for c in rows.columns if c != "text"]
-    schema = rows.drop("text").schema
+    schema = StructType(rows.schema.fields[1:])
     for name, kind in list(zip(_RESULT, _TYPES, strict=True))[: 4 if keep_ids else 3]:
         schema = schema.add(name, kind)
-    return rows.mapInArrow(_digester(ranks_path, pattern, names, keep_ids), schema)
+    found = rows.mapInArrow(_digester(ranks_path, pattern, names, keep_ids), schema)
+    return found.select(*[F.col(n).alias(c) for n, c in zip(names, kept, strict=True)], *schema.names[len(names) :])

@@ -32,6 +32,20 @@ def kept_columns(df: DataFrame, replaced: Iterable[str]) -> list[str]:
     return [c for c in df.columns if c.lower() not in gone]
 
 
+def carried(names: Iterable[str]) -> Column:
+    """These columns in one struct, told by place, so that no name of the input can meet one of an operator's own."""
+    return F.struct(F.lit(True).alias("row"), *[F.col(quoted(c)).alias(f"c{i}") for i, c in enumerate(names)])
+
+
+def restored(names: Iterable[str], row: str = "_row") -> list[Column]:
+    """The columns that ``carried`` put into column ``row``."""
+    return [F.col(row)[f"c{i}"].alias(c) for i, c in enumerate(names)]
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def count_words(text: Column) -> Column:
     trimmed = F.btrim(text, F.lit(SPACES))
     return F.when(trimmed == "", F.lit(0)).otherwise(F.size(F.split(trimmed, WORD_BREAK))).cast("long")

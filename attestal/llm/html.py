@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attestal.llm.common import bound_batches, kept_columns
+from attestal.llm.common import bound_batches, kept_columns, quoted
 
 #: Pages that the classifier learns from at most: those whose ids have the smallest hashes.
 SAMPLE_PAGES = 2000
@@ -472,9 +472,10 @@ def _example_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 def learn(pages: DataFrame, key: str = "page_id", html: str = "html") -> Classifier:
     """From at most ``SAMPLE_PAGES`` pages; what comes to the driver is one count for each bin of a trait."""
-    order = F.xxhash64(key)
-    sample = pages.select(F.col(key).alias("_key")).where("_key is not null").orderBy(F.xxhash64("_key"), "_key").limit(SAMPLE_PAGES).distinct()
-    some = pages.join(F.broadcast(sample), F.col(key) == F.col("_key"), "left_semi").where(order.isNotNull()).select(html)
+    pages = pages.select(F.col(key).alias("page_key"), F.col(html).alias("page"))
+    order = F.xxhash64("page_key")
+    sample = pages.select(F.col("page_key").alias("_key")).where("_key is not null").orderBy(F.xxhash64("_key"), "_key").limit(SAMPLE_PAGES).distinct()
+    some = pages.join(F.broadcast(sample), F.col("page_key") == F.col("_key"), "left_semi").where(order.isNotNull()).select("page")
     counts = some.mapInArrow(_example_counts, "trait string, content boolean, n long").groupBy("trait", "content").agg(F.sum("n").alias("n"))
     return Classifier(sorted(tuple(r) for r in counts.collect()))
 
@@ -501,8 +502,11 @@ def extract(pages: DataFrame, html: str = "html") -> DataFrame:
     otherwise. Repeated rows are extracted alike. An empty table gives an
     empty result.
     """
-    rows = pages.select(*kept_columns(pages, ("text", "n_chars")))
-    bound_batches(rows.sparkSession)
-    shared = rows.sparkSession.sparkContext.broadcast(learn(rows, html=html))
-    schema = rows.drop(html).schema.add("text", "string").add("n_chars", "long")
-    return rows.mapInArrow(_extractor(shared, html), schema)
+    kept = kept_columns(pages, (html, "text", "n_chars"))
+    names = [f"c{i}" for i in range(len(kept))]
+    bound_batches(pages.sparkSession)
+    shared = pages.sparkSession.sparkContext.broadcast(learn(pages, html=html))
+    rows = pages.select(F.col(html).alias("page"), *[F.col(quoted(c)).alias(n) for n, c in zip(names, kept, strict=True)])
+    schema = rows.drop("page").schema.add("text", "string").add("n_chars", "long")
+    found = rows.mapInArrow(_extractor(shared, "page"), schema)
+    return found.select(*[F.col(n).alias(c) for n, c in zip(names, kept, strict=True)], "text", "n_chars")

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from attestal.llm.common import count_words, kept_columns, stored, text_of
+from attestal.llm.common import carried, count_words, kept_columns, restored, stored, text_of
 
 #: Words of a block; documents of a shard, about; share of all words that the mix has; copies of a document at most.
 BLOCK_WORDS, SHARD_DOCS, MIX_PERCENT, COPIES = 64, 1024, 150, 2
@@ -126,8 +126,9 @@ def mix(docs: DataFrame, seed: str = SEED, weights: tuple[int, ...] = WEIGHTS) -
     shards = docs.count() // SHARD_DOCS + 1
     digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     source = F.when(F.col("source").isNull(), F.lit("t")).otherwise(F.concat(F.lit("s"), F.col("source").cast("string")))
+    names = kept_columns(docs, RESULT)
     rows = docs.select(
-        F.struct(*[docs[c] for c in kept_columns(docs, RESULT)]).alias("_row"),
+        carried(names).alias("_row"),
         F.col("doc_id").alias("_id"),
         count_words(text_of()).alias("size"),
         source.alias("_src"),
@@ -157,7 +158,7 @@ def mix(docs: DataFrame, seed: str = SEED, weights: tuple[int, ...] = WEIGHTS) -
         return F.least(F.greatest(F.col("_quota") * BLOCK_WORDS - start, F.lit(0).cast("long")), F.col("size"))
 
     taken = covered(F.col("_start")) + covered(F.col("_start") + F.col("_cell"))
-    return rows.select("_row.*", "size", "source_size", "target", taken.alias("taken"))
+    return rows.select(*restored(names), "size", "source_size", "target", taken.alias("taken"))
 
 
 def mixed_documents(docs: DataFrame, seed: str = SEED, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from attestal.llm.common import bound_batches, stored
+from attestal.llm.common import bound_batches, carried, restored, stored
 
 SKETCH = 64
 #: Standard deviations that a sketch's overlap may fall below its mean before a link is missed (about one in a million of those right at the similarity, none in practice above).
@@ -369,5 +369,6 @@ def near_duplicates(docs: DataFrame, n: int = 5, similarity: float = 0.8) -> Dat
 
 def drop_near_duplicates(docs: DataFrame, n: int = 5, similarity: float = 0.8) -> DataFrame:
     """The input without the rows whose component has a smaller id; null ids stay."""
-    gone = near_duplicates(docs, n, similarity).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    gone = near_duplicates(docs, n, similarity).where("not kept").select(F.col("doc_id").alias("gone")).distinct()
+    rows = docs.select(carried(docs.columns).alias("_row"), F.col("doc_id").cast("long").alias("_key"))
+    return rows.join(gone, F.col("_key") == F.col("gone"), "left_anti").select(*restored(docs.columns))

@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from attestal.llm.common import text_of
+from attestal.llm.common import carried, kept_columns, restored, text_of
 
 KINDS = ("email", "ip", "card", "phone", "iban")
 
@@ -171,12 +171,13 @@ def find_pii(docs: DataFrame, text: str = "text") -> DataFrame:
     ``spans`` lists base and scored spans as kind:start:end by kind, then
     start; starts and ends are code points, ends exclusive. A scored span that
     overlaps a base one is left out. ``base_sha256`` is of the base spans alone.
-    Input columns of these names are replaced. A null text counts as empty and
+    Input columns of these names, in any case of letters, are replaced. A null text counts as empty and
     has no spans. Repeated rows are judged one by one; an empty table gives an
     empty result.
     """
     body = F.col("_text")
-    rows = docs.drop(*RESULT).withColumn("_text", text_of(text))
+    names = kept_columns(docs, RESULT)
+    rows = docs.select(carried(names).alias("_row"), text_of(text).alias("_text"))
     number = F.col("_number")
     rows = rows.withColumn("_number", body.rlike("[0-9][^A-Za-z]*[0-9]"))
     digits = lambda least, most: lambda s: _length(s, least, most) & luhn(digits_of(s["match"]))
@@ -207,7 +208,7 @@ def find_pii(docs: DataFrame, text: str = "text") -> DataFrame:
     ))
     count = lambda kind: F.size(f"_{kind}").cast("long")
     return rows.select(
-        *[F.col(c) for c in docs.columns if c not in RESULT],
+        *restored(names),
         *[count(k).alias(f"n_{k}") for k in KINDS[:4]],
         F.sha2(_text(F.col("_base")), 256).alias("base_sha256"),
         _text(F.sort_array(F.concat("_base", "_scored"))).alias("spans"),

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from attestal.llm.common import SPACES, stored, text_of, words_of
+from attestal.llm.common import SPACES, carried, kept_columns, restored, stored, text_of, words_of
 
 #: Fewest words; most words in repeated windows, in percent.
 LEAST_WORDS, MOST_REPEATED = 50, 50
@@ -63,10 +63,16 @@ def repeated_words(words: Column) -> list[tuple[str, Column]]:
     ]
 
 
+def others(docs: DataFrame, text: str) -> list[str]:
+    """Columns of the input that the result keeps."""
+    return kept_columns(docs, (text, *RESULT))
+
+
 def counted(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The rows without the text, with the counts of ``COUNTS``, ``_lines`` and ``base_failed``."""
-    kept = [c for c in docs.columns if c != text and c not in RESULT]
-    rows = docs.select(*kept, text_of(text).alias("_text"))
+    """``_row`` (the columns ``others`` keeps), ``_language``, ``_source``, the counts of ``COUNTS``, ``_lines`` and ``base_failed``."""
+    rows = docs.select(
+        carried(others(docs, text)).alias("_row"), F.col("lang").alias("_language"), F.col("source").alias("_source"), text_of(text).alias("_text")
+    )
     rows = rows.withColumns({
         "_words": words_of(F.col("_text")),
         "_lines": F.filter(F.split("_text", "\n", -1), lambda x: F.btrim(x, F.lit(SPACES)) != ""),
@@ -75,7 +81,9 @@ def counted(docs: DataFrame, text: str = "text") -> DataFrame:
     for name, step in repeated_words(F.col("_words")):
         rows = rows.withColumn(name, step)
     rows = rows.select(
-        *kept,
+        "_row",
+        "_language",
+        "_source",
         F.size("_words").cast("long").alias("n_words"),
         F.char_length(F.array_join("_words", "")).cast("long").alias("word_chars"),
         F.col("_symbols").cast("long").alias("n_symbols"),
@@ -106,7 +114,7 @@ def _statistics() -> dict[str, Column]:
 
 def _with_groups(rows: DataFrame) -> DataFrame:
     """Adds ``_group``: language and source, only the language, or nothing, by how many rows there are to learn from."""
-    pair, lang = F.to_json(F.struct("lang", "source")), F.to_json(F.struct("lang"))
+    pair, lang = F.to_json(F.struct(F.col("_language").alias("lang"), F.col("_source").alias("source"))), F.to_json(F.struct(F.col("_language").alias("lang")))
     rows = rows.withColumn("_pair", pair).withColumn("_lang", lang)
     pairs = rows.where("not base_failed").groupBy("_pair", "_lang").agg(F.count("*").alias("_n"))
     pairs = stored(pairs, "quality-groups")
@@ -164,7 +172,7 @@ def quality(docs: DataFrame, text: str = "text") -> DataFrame:
     ``kept`` is false for a row that fails the base rules, else whether its
     squared distance, scaled so that its group's median is that of a normal
     sample, is within ``CUTOFF``. ``distance`` is null where no estimate
-    exists; such rows are kept. Input columns of these names are replaced; a
+    exists; such rows are kept. Input columns of these names, in any case of letters, are replaced; a
     null text has no words; null languages and sources are values of their
     own. Repeated rows are judged alike. An empty table gives an empty result.
     """
@@ -183,5 +191,4 @@ def quality(docs: DataFrame, text: str = "text") -> DataFrame:
     judged = _distances(rows, estimates).join(stored(middle.select("_group", scale.alias("_scale")), "quality-scales"), "_group", "left")
     judged = judged.withColumn("distance", F.col("_d") / F.col("_scale"))
     kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= CUTOFF, F.lit(True))
-    others = [c for c in docs.columns if c != text and c not in RESULT]
-    return judged.select(*others, *COUNTS, "base_failed", kept.alias("kept"), "distance")
+    return judged.select(*restored(others(docs, text)), *COUNTS, "base_failed", kept.alias("kept"), "distance")

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from attestal.llm.common import stored
+from attestal.llm.common import carried, kept_columns, restored, stored
 
 #: (verdict, host, path prefix), for the host and its subdomains; the longest that fits decides.
 RULES = (
@@ -93,9 +93,10 @@ def scores(rows: DataFrame, key: str, accepted: Column, rejected: Column) -> Dat
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     distinct = with_slots(rows.select(key).distinct().repartition(tasks, key), key)
     last = range(1, ORDER + 1)
-    here = [F.get(f"_s{n}", F.col("i")).alias(f"s{n}") for n in last]
-    before = [F.get(f"_s{n}", F.col("i") - 1).alias(f"b{n}") for n in last[:-1]]
-    places = distinct.select("*", F.explode(F.sequence(F.lit(0), F.size("_codes") - 1)).alias("i")).select(key, *here, *before)
+    # the arrays end where they are exploded: no row of a place carries those of its whole URL
+    here = [F.col(f"_s{n}").alias(f"s{n}") for n in last]
+    before = [F.concat(F.array(F.lit(None).cast("int")), F.slice(f"_s{n}", F.lit(1), F.size("_codes") - 1)).alias(f"b{n}") for n in last[:-1]]
+    places = distinct.select(key, *here, *before).select(key, F.inline(F.arrays_zip(*[f"s{n}" for n in last], *[f"b{n}" for n in last[:-1]])))
 
     def probability(table: Column) -> Column:
         p, context = F.lit(1 / 256), F.get(table, F.lit(SLOTS))
@@ -115,13 +116,14 @@ def filter_urls(pages: DataFrame, rules=RULES, url: str = "url") -> DataFrame:
 
     A null URL, or one without ``://``, has an empty host and path and is
     judged by the models. Where no example of one side exists, URLs without a
-    rule are allowed, with a null score. Input columns of these names are
-    replaced. Repeated rows count as often as they occur. An empty table gives
+    rule are allowed, with a null score. Input columns of these names, in any
+    case of letters, are replaced. Repeated rows count as often as they occur. An empty table gives
     an empty result.
     """
     host, path = host_and_path(F.col(url))
-    rows = pages.drop(*RESULT).withColumn("host", host).withColumn("path", path)
-    rows = rows.withColumn("_rule", matched_rule(F.col("host"), F.col("path"), rules)).withColumn("_key", F.coalesce(F.col(url), F.lit("")))
+    names = kept_columns(pages, RESULT)
+    rows = pages.select(carried(names).alias("_row"), F.col(url).alias("_url"), host.alias("host"), path.alias("path"))
+    rows = rows.withColumn("_rule", matched_rule(F.col("host"), F.col("path"), rules)).withColumn("_key", F.coalesce(F.col("_url"), F.lit("")))
     examples = rows.where("_rule is not null").select("_key", F.col("_rule.verdict").alias("verdict"))
     examples = examples.withColumn("_fold", F.pmod(F.xxhash64("_key"), F.lit(FOLDS)))
     table = stored(counts(with_slots(examples.where("_fold <> 0"), "_key")), "url-models")
@@ -141,5 +143,4 @@ def filter_urls(pages: DataFrame, rules=RULES, url: str = "url") -> DataFrame:
     judged = rows.join(scored, "_key", "left").withColumn("_limit", limit)
     judged = judged.withColumn("score", F.when(F.col("_rule").isNull() & F.col("_limit").isNotNull(), F.col("score")))
     verdict = F.coalesce(F.col("_rule.verdict"), F.when(F.col("score") < F.col("_limit"), "block").otherwise("allow"))
-    others = [c for c in pages.columns if c not in RESULT]
-    return judged.select(*others, "host", "path", F.col("_rule.rule").alias("rule"), verdict.alias("verdict"), "score")
+    return judged.select(*restored(names), "host", "path", F.col("_rule.rule").alias("rule"), verdict.alias("verdict"), "score")

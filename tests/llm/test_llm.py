@@ -11,6 +11,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -347,13 +348,56 @@ def test_exact_dedup(spark, docs, none):
     assert exact.exact_dedup(none).count() == 0
 
 
-def test_exact_dedup_beyond_the_broadcast(spark, docs, monkeypatch):
+def test_exact_dedup_with_a_full_filter(spark, docs, monkeypatch):
+    """More rows than the filter has room for: other suspects, the same result."""
     want = sorted(map(repr, exact.exact_dedup(docs).collect()))
-    monkeypatch.setattr(exact, "BROADCAST_BITS", 0)
-    assert sorted(map(repr, exact.exact_dedup(docs).collect())) == want
-    monkeypatch.setattr(exact, "LEAST_BITS", 2)
-    monkeypatch.setattr(exact, "BITS_PER_ROW", 0)
-    assert sorted(map(repr, exact.exact_dedup(docs).collect())) == want
+    for least, most, per_row in ((1 << 20, 64, 16), (2, 2, 0)):
+        monkeypatch.setattr(exact, "LEAST_BITS", least)
+        monkeypatch.setattr(exact, "MOST_BITS", most)
+        monkeypatch.setattr(exact, "BITS_PER_ROW", per_row)
+        assert sorted(map(repr, exact.exact_dedup(docs).collect())) == want
+
+
+@pytest.mark.parametrize("most", [1 << 10, 1 << 30])
+def test_exact_dedup_marks_rows_in_place(spark, monkeypatch, most):
+    monkeypatch.setattr(exact, "MOST_BITS", most)
+    rows = spark.range(3000).selectExpr("id", "sha2(cast(if(id % 10 = 0, id div 20, id + 5000) as string), 256) AS sha")
+    marked = exact.suspected(rows, "sha", 3000)
+    plan = marked._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == exact.HASHES
+    suspects = {r.id for r in marked.where("_suspect").collect()}
+    assert suspects.issuperset(range(0, 3000, 10))
+    assert most < 1 << 20 or len(suspects) < 400
+
+
+CLASHING = ("Spans", "Verdict", "KEPT", "_row", "_src", "_text", "_key", "Taken", "TEXT_SHA256", "N_Chars", "IDS_SHA256", "a.b", "_shard", "Lang_Pred")
+
+
+@pytest.mark.parametrize("name", ["pii", "quality", "urls", "html", "mix", "mixed", "exact", "bpe", "near", "language"])
+def test_clashing_names(spark, docs, name):
+    """Columns named like results, in any case, are replaced; those named like columns inside an operator are kept with their values."""
+    rows = docs.drop("kept").select("*", *[F.concat(F.lit(f"{c} "), "doc_id").alias(c) for c in CLASHING])
+    operator, replaced = {
+        "pii": (pii.find_pii, pii.RESULT),
+        "quality": (quality.quality, (*quality.RESULT, "text")),
+        "urls": (lambda x: urls.filter_urls(x.withColumn("text", F.left("text", F.lit(5000))).withColumnRenamed("text", "url")), (*urls.RESULT, "text")),
+        "html": (lambda x: html.extract(x.withColumnRenamed("doc_id", "page_id"), html="lang"), ("lang", "text", "n_chars", "doc_id")),
+        "mix": (mixing.mix, mixing.RESULT),
+        "mixed": (mixing.mixed_documents, ()),
+        "exact": (exact.exact_dedup, exact.RESULT),
+        "bpe": (lambda x: bpe.encode_decode(x, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN), ("text", *bpe._RESULT)),
+        "near": (near.drop_near_duplicates, ()),
+        "language": (langid.with_main_language, ()),
+    }[name]
+    found = operator(rows)
+    lower = [c.lower() for c in found.columns]
+    assert len(set(lower)) == len(lower) and set(lower) >= {c.lower() for c in (*replaced,)} - {"text", "lang", "doc_id"} - {"ids"}
+    kept = [c for c in rows.columns if c.lower() not in replaced]
+    assert [c for c in found.columns if c in kept] == kept
+    key = "page_id" if name == "html" else "doc_id"
+    for row in found.collect():
+        for c in set(CLASHING) & set(kept):
+            assert row[c] == (None if row[key] is None else f"{c} {row[key]}")
 
 
 @pytest.fixture(scope="module")
