@@ -21,6 +21,7 @@ from attestal.session import work_dir
 from attestal.sources import decode, readers
 from attestal.sources.config import SAMPLE_RULES, issue_types_table, managers_table
 from attestal.sources.published import BatchLog, KeyedTable
+from attestal.sources.topiclog import TopicLog
 from attestal.streaming import keyed, streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +66,28 @@ def topic_scan(spark: SparkSession, sf: str) -> DataFrame:
     return M.topic_log(spark, sf).select("topic", "partition", "offset", "key", "value")
 
 
+def _topic_log(spark: SparkSession, sf: str) -> tuple[TopicLog, DataFrame]:
+    """All records, appended in two batches to a log with offsets, and the records themselves."""
+    log, records = TopicLog(work_dir(spark, "topic-log")), M.topic_log(spark, sf)
+    second = F.col("ts") >= F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
+    log.append(records.filter(~second), 0, "ts_us", _TIE)
+    log.append(records.filter(second), 1, "ts_us", _TIE)
+    return log, records
+
+
+@query
+def topic_read_on(spark: SparkSession, sf: str) -> DataFrame:
+    """Records past the offsets that one consumer group has committed."""
+    log, records = _topic_log(spark, sf)
+    committed = M.committed_offsets(records).filter("consumer_group = 'reader-slow'")
+    return log.scan(spark, committed).select("topic", "partition", "offset", "key", "value")
+
+
+@query
+def topic_end_offsets(spark: SparkSession, sf: str) -> DataFrame:
+    return _topic_log(spark, sf)[0].end_offsets(spark)
+
+
 @query
 def decode_valid(spark: SparkSession, sf: str) -> DataFrame:
     return decode.decode_valid(M.raw_messages(spark, sf), "value", _EVENT_SCHEMA)

@@ -329,6 +329,8 @@ SELECT "userId", "documentId", "documentId"||'-'||v AS "versionId", "firstName",
 FROM cred CROSS JOIN (VALUES (1), (2)) t(v) WHERE lower("typeName") LIKE '%children%'"""
 
 ORACLE["topic_scan"] = _with(LOG) + 'SELECT topic, partition, "offset", key, value FROM log'
+ORACLE["topic_read_on"] = _with(LOG) + """SELECT topic, partition, "offset", key, value FROM log WHERE ts >= TIMESTAMP '2024-01-20 00:00:00'"""
+ORACLE["topic_end_offsets"] = "SELECT event_type AS topic, (user_id % 3)::INT AS partition, count(*) AS end_offset FROM events GROUP BY 1, 2"
 ORACLE["decode_valid"] = "SELECT event_id, user_id, event_type, props FROM events WHERE value >= 4"
 ORACLE["decode_quarantine"] = f"""
 SELECT CASE WHEN value < 2 THEN substr({_EVENT_JSON}, 1, length({_EVENT_JSON}) - 3)
