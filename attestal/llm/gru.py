@@ -1,7 +1,11 @@
 """A gated recurrent language model in numpy, without Spark.
 
-The output is factored: a softmax over classes of words, then one over the
-words of the class. Texts of a batch are packed into lanes that are worked off
+The output is factored: a softmax over classes of the most frequent words, then
+one over the words of the class. The last of these words stands for all others,
+which are the leaves of binary trees (``Tail``): each has its own vector when
+it is read, and its own probability given the state when it is predicted (a
+softmax over the trees, then the turns), at a cost that grows with the
+logarithm of their number. Texts of a batch are packed into lanes that are worked off
 side by side; a lane's state is carried from window to window and set back
 where a new text starts. Training truncates backpropagation at the window.
 """
@@ -10,10 +14,11 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 
-#: Words of the model, the last one for all others; classes; units of the state; lanes; steps of a window.
+#: Words of the softmax, the last one for those of the tail (ids from it on are leaves); classes; units of the state; lanes; steps of a window.
 WORDS, CLASSES, UNITS, LANES, WINDOW = 1024, 32, 12, 256, 32
 IN_CLASS = WORDS // CLASSES
 #: Step size and decay of the running squares (Adam without momentum), largest norm of a gradient.
@@ -21,6 +26,11 @@ RATE, DECAY, CLIP = 0.02, 0.99, 5.0
 #: Bound of an output's logit; its exponential and their sums stay finite.
 FAR = 60.0
 
+#: Columns of a row of the tail: a node's weights and bias, or a leaf's vector. Step size and first sum of squares there (Adagrad).
+TAIL_WIDTH, TAIL_RATE, TAIL_START = UNITS + 1, 0.1, 1.0
+#: Trees of the tail.
+BINS = 64
+
 Parameters = dict[str, np.ndarray]
 SHAPES = {
     "inputs": (WORDS, 3 * UNITS),
@@ -30,20 +40,157 @@ SHAPES = {
     "class_bias": (CLASSES,),
     "word_out": (WORDS, UNITS),
     "word_bias": (WORDS,),
+    "tail_in": (TAIL_WIDTH, 3 * UNITS),
+    "bin_out": (UNITS, BINS),
+    "bin_bias": (BINS,),
 }
 
 
-def first_parameters(counts: np.ndarray, seed: int = 1) -> Parameters:
-    """Small random numbers; the biases start at the words' frequencies."""
+def first_parameters(counts: np.ndarray, seed: int = 1, tree: Tree | None = None) -> Parameters:
+    """Small random numbers; the biases start at the frequencies of the words and bins."""
     random = np.random.default_rng(seed)
     made = {k: random.normal(0, 0.1, shape).astype(np.float32) for k, shape in SHAPES.items()}
     share = (counts + 0.5) / (counts + 0.5).sum()
     by_class = share.reshape(CLASSES, IN_CLASS)
     made["class_bias"] = np.log(by_class.sum(axis=1)).astype(np.float32)
     made["word_bias"] = np.log(by_class / by_class.sum(axis=1, keepdims=True)).reshape(-1).astype(np.float32)
+    if tree is not None:
+        made["bin_bias"] = tree.bin_bias.copy()
     return made
 
 
+@dataclass(frozen=True)
+class Tree:
+    """Leaves in a given order, cut into bins of about one weight, each a binary search tree balanced by weight; a node is the first leaf to its right."""
+
+    starts: np.ndarray
+    roots: np.ndarray
+    children: np.ndarray
+    bias: np.ndarray
+    bin_bias: np.ndarray
+
+    @property
+    def leaves(self) -> int:
+        return len(self.bias)
+
+
+def tree_of(weights: np.ndarray) -> Tree:
+    """The tree of at least one leaf with positive weights; by the biases alone, leaves are as likely as their weights."""
+    size = len(weights)
+    sums = np.concatenate([[0.0], np.cumsum(weights, dtype=np.float64)])
+    edges = np.unique(np.append(np.searchsorted(sums, sums[-1] * np.arange(BINS) / BINS), size))
+    low, high = edges[:-1], edges[1:]
+    bin_bias = np.full(BINS, -FAR, np.float32)
+    bin_bias[: len(low)] = np.log((sums[high] - sums[low]) / sums[-1])
+    roots, children, bias = np.zeros(len(low), np.int32), np.zeros(2 * size, np.int32), np.zeros(size, np.float32)
+    starts, parent, side = low, None, None
+    inner = np.flatnonzero(high - low > 1)
+    while len(inner):
+        low, high = low[inner], high[inner]
+        half = (sums[low] + sums[high]) / 2
+        middle = np.searchsorted(sums, half)
+        # the nearer of the leaves' edges around half the weight
+        middle -= half - sums[middle - 1] < sums[middle] - half
+        node = np.clip(middle, low + 1, high - 1)
+        bias[node] = np.log((sums[high] - sums[node]) / (sums[node] - sums[low]))
+        if parent is None:
+            roots[inner] = node
+        else:
+            children[2 * parent[inner] + side[inner]] = node
+        low, high = np.concatenate([low, node]), np.concatenate([node, high])
+        parent, side = np.concatenate([node, node]), np.repeat([0, 1], len(node))
+        inner = np.flatnonzero(high - low > 1)
+    return Tree(starts, roots, children, bias, bin_bias)
+
+
+def first_tail(tree: Tree, seed: int = 2) -> np.ndarray:
+    """Rows of nodes, then of leaves."""
+    table = np.zeros((2 * tree.leaves, TAIL_WIDTH), np.float32)
+    table[: tree.leaves, -1] = tree.bias
+    table[tree.leaves :] = np.random.default_rng(seed).normal(0, 0.1, (tree.leaves, TAIL_WIDTH))
+    return table
+
+
+class Tail:
+    """Words outside the softmax: the tree, its rows, and while training their sums of squares and times moved."""
+
+    def __init__(self, tree: Tree, table: np.ndarray):
+        self.tree, self.table = tree, table
+        self.squares = self.moves = None
+
+    def vectors(self, leaves: np.ndarray) -> np.ndarray:
+        return self.table.take(self.tree.leaves + leaves, 0)
+
+    def paths(self, leaves: np.ndarray, nodes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """By level from the roots ``nodes`` on: places that are still on their way, their nodes, and whether they go right."""
+        places = np.flatnonzero(nodes)
+        nodes, leaves = nodes[places], leaves[places]
+        while len(places):
+            right = leaves >= nodes
+            yield places, nodes, right
+            nodes = self.tree.children.take(2 * nodes + right)
+            inside = np.flatnonzero(nodes)
+            places, nodes, leaves = places.take(inside), nodes.take(inside), leaves.take(inside)
+
+    def output(self, p: Parameters, hidden: np.ndarray, leaves: np.ndarray, gradients: Parameters | None, moved: list | None):
+        """Natural log-probabilities of the leaves; with ``moved``, the states' gradient, and the rows' are added there."""
+        bins = np.searchsorted(self.tree.starts, leaves, "right") - 1
+        here = np.arange(len(leaves))
+        logits = hidden @ p["bin_out"] + p["bin_bias"]
+        np.clip(logits, -FAR, FAR, out=logits)
+        result = logits[here, bins]
+        odds = np.exp(logits, out=logits)
+        sums = odds @ np.ones(BINS, odds.dtype)
+        result -= np.log(sums)
+        back = None
+        if moved is not None:
+            odds /= sums[:, None]
+            odds[here, bins] -= 1
+            gradients["bin_out"] = hidden.T @ odds
+            gradients["bin_bias"] = odds.sum(axis=0)
+            back = odds @ p["bin_out"].T
+        levels = list(self.paths(leaves, self.tree.roots[bins]))
+        if not levels:
+            return result, back
+        places, nodes, right = (np.concatenate(x) for x in zip(*levels, strict=True))
+        rows, states = self.table.take(nodes, 0), hidden.take(places, 0)
+        logits = np.einsum("ij,ij->i", states, rows[:, :-1]) + rows[:, -1]
+        odds = np.exp(np.where(right, -logits, logits).clip(-FAR, FAR))
+        result -= np.bincount(places, np.log1p(odds), len(leaves)).astype(result.dtype)
+        if moved is not None:
+            wrong = odds / (1 + odds)
+            wrong = np.where(right, -wrong, wrong)[:, None]
+            rows[:, :-1] *= wrong
+            at = 0
+            for some, _, _ in levels:
+                back[some] += rows[at : at + len(some), :-1]
+                at += len(some)
+            np.multiply(states, wrong, out=rows[:, :-1])
+            rows[:, -1] = wrong[:, 0]
+            moved.append((nodes, rows))
+        return result, back
+
+    def update(self, moved: list[tuple[np.ndarray, np.ndarray]]) -> None:
+        """A step along gradients of rows, summed by row; only rows that occur are touched."""
+        if self.squares is None:
+            self.squares, self.moves = np.full_like(self.table, TAIL_START), np.zeros(len(self.table), np.float32)
+        for rows, gradients in moved:
+            if not len(rows):
+                continue
+            order = np.argsort(rows)
+            rows = rows.take(order)
+            first = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
+            gradients, rows = np.add.reduceat(gradients.take(order, 0), first, axis=0), rows[first]
+            squares = self.squares.take(rows, 0)
+            squares += gradients * gradients
+            self.squares[rows] = squares
+            self.moves[rows] += np.diff(np.append(first, len(order)))
+            np.sqrt(squares, out=squares)
+            gradients *= TAIL_RATE
+            gradients /= squares
+            self.table[rows] = self.table.take(rows, 0) - gradients
+
+
 def flat(parameters: Parameters) -> np.ndarray:
     return np.concatenate([parameters[k].reshape(-1) for k in SHAPES])
 
@@ -86,12 +233,14 @@ def _windows(texts: list[np.ndarray], lanes: int) -> Iterator[tuple[np.ndarray,
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+    x = np.exp(-x)
+    x += 1
+    return np.reciprocal(x, out=x)
 
 
 class Model:
-    def __init__(self, parameters: Parameters):
-        self.p = parameters
+    def __init__(self, parameters: Parameters, tail: Tail | None = None):
+        self.p, self.tail = parameters, tail
 
     def _forward(self, ids: np.ndarray, starts: np.ndarray, state: np.ndarray):
         """States before each step, and what going back needs."""
@@ -99,9 +248,14 @@ class Model:
         steps, lanes = ids.shape
         before = np.empty((steps, lanes, units), np.float32)
         z, r, g = (np.empty_like(before) for _ in range(3))
-        inputs = p["inputs"][np.maximum(ids, 0)]
+        inputs = p["inputs"][np.clip(ids, 0, WORDS - 1)]
+        if self.tail is not None:
+            outside = ids >= WORDS - 1
+            inputs[outside] += self.tail.vectors(ids[outside] - (WORDS - 1)) @ p["tail_in"]
+        opens = starts.any(axis=1)
         for t in range(steps):
-            state = state * ~starts[t][:, None]
+            if opens[t]:
+                state = state * ~starts[t][:, None]
             before[t] = state
             gates = _sigmoid(inputs[t, :, : 2 * units] + state @ p["gates"])
             z[t], r[t] = gates[:, :units], gates[:, units:]
@@ -109,16 +263,19 @@ class Model:
             state = state + z[t] * (g[t] - state)
         return before, z, r, g, state
 
-    def _output(self, hidden: np.ndarray, words: np.ndarray, gradients: Parameters | None):
-        """Natural log-probabilities of the words, and the gradient of the states if ``gradients`` are to be filled."""
+    def _output(self, hidden: np.ndarray, ids: np.ndarray, gradients: Parameters | None, moved: list | None = None):
+        """Natural log-probabilities of the words, and the gradient of the states if ``gradients`` (and the tail's, ``moved``) are to be filled."""
         p = self.p
-        rows = np.arange(len(words))
-        classes = words // IN_CLASS
-        logits = hidden @ p["class_out"] + p["class_bias"]
+        rows = np.arange(len(ids))
+        words = np.minimum(ids, WORDS - 1)
+        classes = (words // IN_CLASS).astype(np.uint8)
+        logits = hidden @ p["class_out"]
+        logits += p["class_bias"]
         np.clip(logits, -FAR, FAR, out=logits)
-        odds = np.exp(logits)
-        sums = odds @ np.ones(CLASSES, np.float32)
-        result = logits[rows, classes] - np.log(sums)
+        result = logits[rows, classes]
+        odds = np.exp(logits, out=logits)
+        sums = odds @ np.ones(CLASSES, odds.dtype)
+        result -= np.log(sums)
         back = None
         if gradients is not None:
             odds /= sums[:, None]
@@ -130,24 +287,36 @@ class Model:
             gradients["word_bias"] = np.zeros_like(p["word_bias"])
         order = np.argsort(classes, kind="stable")
         bounds = np.searchsorted(classes[order], np.arange(CLASSES + 1))
+        states, inside = hidden[order], (words % IN_CLASS)[order]
+        found, backs = np.empty(len(ids), hidden.dtype), None if gradients is None else np.empty_like(states)
         for c in range(CLASSES):
-            mine = order[bounds[c] : bounds[c + 1]]
-            if not len(mine):
+            mine = slice(bounds[c], bounds[c + 1])
+            if mine.start == mine.stop:
                 continue
             span = slice(c * IN_CLASS, (c + 1) * IN_CLASS)
-            states, inside = hidden[mine], words[mine] - c * IN_CLASS
-            logits = states @ p["word_out"][span].T + p["word_bias"][span]
+            logits = states[mine] @ p["word_out"][span].T
+            logits += p["word_bias"][span]
             np.clip(logits, -FAR, FAR, out=logits)
-            odds = np.exp(logits)
-            sums = odds @ np.ones(IN_CLASS, np.float32)
-            here = np.arange(len(mine))
-            result[mine] += logits[here, inside] - np.log(sums)
+            here = rows[: len(logits)]
+            found[mine] = logits[here, inside[mine]]
+            odds = np.exp(logits, out=logits)
+            sums = odds @ np.ones(IN_CLASS, odds.dtype)
+            found[mine] -= np.log(sums)
             if gradients is not None:
                 odds /= sums[:, None]
-                odds[here, inside] -= 1
-                gradients["word_out"][span] = odds.T @ states
+                odds[here, inside[mine]] -= 1
+                gradients["word_out"][span] = odds.T @ states[mine]
                 gradients["word_bias"][span] = odds.sum(axis=0)
-                back[mine] += odds @ p["word_out"][span]
+                np.matmul(odds, p["word_out"][span], out=backs[mine])
+        result[order] += found
+        if gradients is not None:
+            back[order] += backs
+        if self.tail is not None:
+            outside = np.flatnonzero(ids >= WORDS - 1)
+            more, more_back = self.tail.output(p, hidden[outside], ids[outside] - (WORDS - 1), gradients, moved)
+            result[outside] += more
+            if moved is not None:
+                back[outside] += more_back
         return result, back
 
     def log_probabilities(self, texts: list[np.ndarray]) -> np.ndarray:
@@ -175,15 +344,18 @@ class Model:
         for ids, starts, _ in _windows(texts, LANES):
             before, z, r, g, after = self._forward(ids, starts, state[: ids.shape[1]])
             gradients: Parameters = {}
+            moved = None if self.tail is None else []
             real = ids >= 0
-            _, back = self._output(before[real], ids[real], gradients)
+            _, back = self._output(before[real], ids[real], gradients, moved)
             outer = np.zeros_like(before)
             outer[real] = back
-            self._backward(ids, starts, before, z, r, g, outer, gradients)
+            self._backward(ids, starts, before, z, r, g, outer, gradients, moved)
             self._update(gradients, squares, int(real.sum()))
+            if moved is not None:
+                self.tail.update(moved)
             state = after
 
-    def _backward(self, ids, starts, before, z, r, g, outer, gradients: Parameters) -> None:
+    def _backward(self, ids, starts, before, z, r, g, outer, gradients: Parameters, moved_tail: list | None = None) -> None:
         p, units = self.p, UNITS
         steps, lanes = ids.shape
         moved = np.empty((steps, lanes, 3 * units), np.float32)
@@ -201,7 +373,12 @@ class Model:
         flat_before = before.reshape(-1, units)
         gradients["gates"] = flat_before.T @ flat_moved[:, : 2 * units]
         gradients["fresh"] = (r * before).reshape(-1, units).T @ flat_moved[:, 2 * units :]
-        words = ids.reshape(-1)
+        if moved_tail is not None:
+            outside = np.flatnonzero(ids.reshape(-1) >= WORDS - 1)
+            leaves = ids.reshape(-1)[outside] - (WORDS - 1)
+            gradients["tail_in"] = self.tail.vectors(leaves).T @ flat_moved[outside]
+            moved_tail.append((leaves + self.tail.tree.leaves, flat_moved[outside] @ p["tail_in"].T))
+        words = np.minimum(ids.reshape(-1), WORDS - 1).astype(np.int16)
         order = np.argsort(words, kind="stable")
         order = order[np.searchsorted(words[order], 0) :]
         gradients["inputs"] = np.zeros_like(p["inputs"])

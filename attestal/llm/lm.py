@@ -1,11 +1,12 @@
 """Language-model scores of whole documents: word frequencies and a gated recurrent network.
 
 Word counts of all training documents are combined map-side. The network
-(``gru``) knows the most frequent words; any other is predicted as "another"
-and shares that probability by its count, so both scores are over the same
-words. Weights are fitted in rounds: every task trains on its own documents
-from the common weights, and the averages by tokens are the next common ones.
-Scoring carries the state through the whole text.
+(``gru``) knows every word of the dictionary; any other is predicted as
+"outside" and shares that probability by its count, so both scores are over the
+same words. Weights are fitted in rounds: every task trains on its own documents
+from the common weights, and the averages are the next common ones: by tokens,
+and for the rows of single words by the times each was moved. Scoring carries
+the state through the whole text.
 
 The counts of up to ``DICTIONARY`` words are broadcast; the words beyond are
 looked up by a join, after being counted per document.
@@ -17,6 +18,8 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +35,9 @@ MODULUS, HELD_OUT = 5, 1
 #: Words whose counts are broadcast (the size bound), the most frequent ones.
 DICTIONARY = 1 << 18
 #: Rounds of fitting; documents fall into as many parts, and each round takes the next one, so that every document is trained on.
-ROUNDS = 9
+ROUNDS = 3
+#: Rows of the weights that travel as one block.
+BLOCK = 2048
 #: Words that a counting task holds before it hands them on; tokens that are trained on or scored side by side.
 HELD_WORDS, BATCH_TOKENS = 300_000, 1_500_000
 #: Bytes of a batch of texts that a task gets at a time.
@@ -77,37 +82,55 @@ class Lexicon:
 
     @property
     def known(self) -> int:
-        """Words that the network knows by themselves."""
+        """Words of the network's softmax; the others are leaves of its tail."""
         return min(gru.WORDS - 1, len(self.places))
 
+    @cached_property
+    def order(self) -> np.ndarray:
+        """Places of the words of the tail in the order of its leaves: by their ends, so that words of one ending are near each other."""
+        words = list(self.places)
+        return np.array(sorted(range(self.known, len(words)), key=lambda i: words[i][::-1]), np.int64)
+
     @property
-    def other_tokens(self) -> float:
-        return float(self.tokens - self.counts[: self.known].sum())
+    def outside_tokens(self) -> float:
+        return float(self.tokens - self.counts.sum())
+
+    @cached_property
+    def codes(self) -> np.ndarray:
+        """The network's words by place; the last one, which place -1 finds, is the leaf of all words outside the dictionary."""
+        codes = np.arange(len(self.places) + 1, dtype=np.int32)
+        codes[self.order] = gru.WORDS - 1 + np.arange(len(self.order))
+        codes[-1] = gru.WORDS - 1 + len(self.order)
+        return codes
 
     def network_counts(self) -> np.ndarray:
         counts = np.zeros(gru.WORDS)
         counts[: self.known] = self.counts[: self.known]
-        counts[-1] = self.other_tokens
+        counts[-1] = self.tokens - counts.sum()
         return counts
 
+    @cached_property
+    def tree(self) -> gru.Tree:
+        return gru.tree_of(np.append(self.counts[self.order], self.outside_tokens) + 0.5)
+
     def base_log(self, counts: np.ndarray) -> np.ndarray:
         return np.log10((counts + 0.5) / (self.tokens + 0.5 * (self.distinct + 1)))
 
-    def other_scale(self) -> float:
-        """What a word outside the network's has its count and a half divided by."""
-        return self.other_tokens + 0.5 * (self.distinct - self.known + 1)
+    def outside_scale(self) -> float:
+        """What a word outside the dictionary has its count and a half divided by."""
+        return self.outside_tokens + 0.5 * (self.distinct - len(self.places) + 1)
 
 
 def _texts(batches: Iterator[pa.RecordBatch], lexicon: Lexicon) -> Iterator[tuple[list[np.ndarray], list[np.ndarray], list[list[bytes]], pa.RecordBatch]]:
     """Batches of about ``BATCH_TOKENS``: places in the lexicon (-1 outside), network words, words outside, other columns."""
-    get, last = lexicon.places.get, gru.WORDS - 1
+    get, codes = lexicon.places.get, lexicon.codes
     for batch in batches:
         first, places, words, rare, size = 0, [], [], [], 0
         for row, value in enumerate(batch.column("text")):
             tokens = tokens_of(value.as_py())
-            found = np.array([get(t, -1) for t in tokens], np.int32)
+            found = np.fromiter(map(get, tokens, repeat(-1)), np.int32, len(tokens))
             places.append(found)
-            words.append(np.where((found >= 0) & (found < lexicon.known), found, last).astype(np.int16))
+            words.append(codes.take(found, mode="wrap"))
             rare.append([tokens[i] for i in np.flatnonzero(found < 0)])
             size += len(tokens)
             if size >= BATCH_TOKENS or row == batch.num_rows - 1:
@@ -115,28 +138,78 @@ def _texts(batches: Iterator[pa.RecordBatch], lexicon: Lexicon) -> Iterator[tupl
                 first, places, words, rare, size = row + 1, [], [], [], 0
 
 
+@dataclass(frozen=True)
+class Weights:
+    """The network's dense weights and the rows of its tail."""
+
+    dense: np.ndarray
+    tail: np.ndarray
+
+    def model(self, tree: gru.Tree) -> gru.Model:
+        return gru.Model(gru.shaped(self.dense), gru.Tail(tree, self.tail.copy()))
+
+    def rows(self) -> np.ndarray:
+        """All in one table: the dense ones first, filled up with zeros."""
+        dense = np.concatenate([self.dense, np.zeros(-len(self.dense) % gru.TAIL_WIDTH, self.dense.dtype)])
+        return np.concatenate([dense.reshape(-1, gru.TAIL_WIDTH), self.tail])
+
+    def moved(self, rows: np.ndarray, steps: np.ndarray) -> Weights:
+        table = self.rows()
+        table[rows] += steps
+        first = len(table) - len(self.tail)
+        return Weights(table[:first].reshape(-1)[: len(self.dense)], table[first:])
+
+
+def _blocks(rows: np.ndarray, weights: np.ndarray, steps: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Rising rows of the table by block: their numbers, weights and steps."""
+    edges = np.flatnonzero(np.diff(rows // BLOCK, prepend=-1))
+    for start, end in zip(edges, [*edges[1:], len(rows)], strict=True):
+        columns = [[int(rows[start] // BLOCK)]] + [[x[start:end].tobytes()] for x in (rows.astype(np.int32), weights.astype(np.float32), steps.astype(np.float32))]
+        yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], names=_NAMES)
+
+
+_NAMES = ["block", "rows", "weights", "steps"]
+_BLOCKS = "block int, rows binary, weights binary, steps binary"
+
+
 def _trainer(shared, weights):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = gru.Model(gru.shaped(weights.value))
+        common: Weights = weights.value
+        model = common.model(shared.value.tree)
         squares = {k: np.zeros(s, np.float32) for k, s in gru.SHAPES.items()}
         tokens = 0
         for _, words, _, _ in _texts(batches, shared.value):
             model.train([w.astype(np.int64) for w in words], squares)
             tokens += sum(map(len, words))
         if tokens:
-            values = gru.flat(model.p).astype(np.float64) * tokens
-            places = np.arange(len(values), dtype=np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(places), pa.array(values), pa.array(np.full(len(values), float(tokens)))], names=["i", "w", "tokens"])
+            table = common.rows()
+            moves = np.full(len(table), float(tokens))
+            moves[len(table) - len(common.tail) :] = model.tail.moves
+            rows = np.flatnonzero(moves)
+            yield from _blocks(rows, moves[rows], Weights(gru.flat(model.p), model.tail.table).rows()[rows] - table[rows])
 
     return run
 
 
+def _averages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The mean steps of the rows of each block that this task has, by their weights."""
+    sums: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    for batch in batches:
+        for block, *values in zip(*(batch.column(name).to_pylist() for name in _NAMES), strict=True):
+            rows, weights, steps = np.frombuffer(values[0], np.int32) - block * BLOCK, *(np.frombuffer(v, np.float32) for v in values[1:])
+            total, weight = sums.setdefault(block, (np.zeros((BLOCK, gru.TAIL_WIDTH)), np.zeros(BLOCK)))
+            total[rows] += steps.reshape(-1, gru.TAIL_WIDTH) * weights[:, None].astype(np.float64)
+            weight[rows] += weights
+    for block, (total, weight) in sums.items():
+        rows = np.flatnonzero(weight)
+        yield from _blocks(rows + block * BLOCK, weight[rows], total[rows] / weight[rows, None])
+
+
 def _scorer(shared, weights):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon: Lexicon = shared.value
-        model = gru.Model(gru.shaped(weights.value))
+        model = weights.value.model(lexicon.tree)
         base = lexicon.base_log(lexicon.counts)
-        other = np.log10((lexicon.counts + 0.5) / lexicon.other_scale())
         number = TaskContext.get().partitionId() << 40
         for places, words, rare, rest in _texts(batches, shared.value):
             score = model.log_probabilities([w.astype(np.int64) for w in words]) / math.log(10)
@@ -145,7 +218,6 @@ def _scorer(shared, weights):
                 known = found[found >= 0]
                 n_known[i] = len(known)
                 base_score[i] = base[known].sum()
-                score[i] += other[known[known >= lexicon.known]].sum()
             rows = np.arange(number, number + len(words))
             number += len(words)
             columns = [
@@ -166,7 +238,10 @@ def count_words(docs: DataFrame) -> DataFrame:
 def lexicon_of(words: DataFrame) -> Lexicon:
     total = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     top = words.orderBy(F.desc("n"), "word").limit(DICTIONARY).toArrow()
-    return Lexicon({w: i for i, w in enumerate(top.column("word").to_pylist())}, np.array(top.column("n").to_pylist(), np.float64), total["n"], total["v"])
+    places = {w: i for i, w in enumerate(top.column("word").to_pylist())}
+    lexicon = Lexicon(places, np.array(top.column("n").to_pylist(), np.float64), total["n"], total["v"])
+    _ = lexicon.codes, lexicon.tree  # worked out here, they travel with it
+    return lexicon
 
 
 def rounds(docs: DataFrame) -> list[DataFrame]:
@@ -175,17 +250,20 @@ def rounds(docs: DataFrame) -> list[DataFrame]:
     return [docs.where(part == i) for i in range(ROUNDS)]
 
 
-def fit(docs: DataFrame, shared, lexicon: Lexicon) -> np.ndarray:
+def fit(docs: DataFrame, shared, lexicon: Lexicon) -> Weights:
     """The network's weights after all ``rounds``."""
     context = docs.sparkSession.sparkContext
-    values = gru.flat(gru.first_parameters(lexicon.network_counts()))
+    values = Weights(gru.flat(gru.first_parameters(lexicon.network_counts(), tree=lexicon.tree)), gru.first_tail(lexicon.tree))
+    # a task trains on a batch at least: small ones would move apart and leave most lanes empty
+    tasks = math.ceil(lexicon.tokens / (ROUNDS * BATCH_TOKENS)) or 1
     for part in rounds(docs):
         weights = context.broadcast(values)
-        trained = part.select("text").mapInArrow(_trainer(shared, weights), "i int, w double, tokens double")
-        average = trained.groupBy("i").agg((F.sum("w") / F.sum("tokens")).alias("w")).toArrow()
-        if average.num_rows:
-            values = values.copy()
-            values[average.column("i").to_numpy()] = average.column("w").to_numpy()
+        trained = part.select("text").coalesce(tasks).mapInArrow(_trainer(shared, weights), _BLOCKS)
+        means = trained.repartition("block").mapInArrow(_averages, _BLOCKS).toArrow()
+        if means.num_rows:
+            rows, steps = (np.concatenate([np.frombuffer(v, t) for v in means.column(c).to_pylist()]) for c, t in (("rows", np.int32), ("steps", np.float32)))
+            values = values.moved(rows, steps.reshape(-1, gru.TAIL_WIDTH))
+        weights.unpersist()
     return values
 
 
@@ -213,7 +291,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     rare = rare.join(words, "word", "left").groupBy("row").agg(
         F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("known"),
         F.sum(F.col("times") * F.log10((n + 0.5) / (lexicon.tokens + 0.5 * (lexicon.distinct + 1)))).alias("base"),
-        F.sum(F.col("times") * F.log10((n + 0.5) / lexicon.other_scale())).alias("other"),
+        F.sum(F.col("times") * F.log10((n + 0.5) / lexicon.outside_scale())).alias("other"),
     )
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
     return scored.join(rare, "row", "left").select(

@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -301,6 +302,86 @@ def test_lm_probabilities_add_up_and_learn():
     assert model.log_probabilities(mixed) == pytest.approx([model.log_probabilities([t])[0] for t in mixed], rel=1e-4)
 
 
+def _tailed(leaves, seed=3):
+    """A float64 model with a tail of random rows."""
+    tree = gru.tree_of(np.random.default_rng(seed).zipf(1.5, leaves).clip(1, 500).astype(float))
+    model = gru.Model({k: v.astype(np.float64) for k, v in gru.first_parameters(np.ones(gru.WORDS), tree=tree).items()}, gru.Tail(tree, gru.first_tail(tree).astype(np.float64)))
+    return model
+
+
+def test_lm_network_tells_all_dictionary_words_apart():
+    """Past the softmax's words, every word of the dictionary is read and predicted as itself, only those outside share a symbol."""
+    words = [b"w%d" % i for i in range(1500)]
+    lexicon = lm.Lexicon({w: i for i, w in enumerate(words)}, np.arange(3000, 1500, -1.0), 4_000_000, 2000)
+    text = b" ".join([*words, b"never", b"seen"]).decode()
+    batch = pa.RecordBatch.from_arrays([pa.array([text])], names=["text"])
+    ((places, codes, rare, _),) = lm._texts(iter([batch]), lexicon)
+    assert len(set(codes[0][:1500].tolist())) == 1500 and rare == [[b"never", b"seen", lm.END]]
+    assert set(codes[0][1500:].tolist()) == {gru.WORDS - 1 + len(words) - lexicon.known} and places[0][-1] == -1
+    model = lm.Weights(gru.flat(gru.first_parameters(lexicon.network_counts(), tree=lexicon.tree)), gru.first_tail(lexicon.tree)).model(lexicon.tree)
+    a, b, c, d = (int(codes[0][i]) for i in (1100, 1200, 1300, 1400))
+    texts = [np.array([a, b] * 40), np.array([c, d] * 40)] * 100
+    for _ in range(10):
+        model.train(texts, {k: np.zeros(s, np.float32) for k, s in gru.SHAPES.items()})
+    right, wrong = model.log_probabilities([np.array([a, b]), np.array([a, d])])
+    assert right > wrong + math.log(3)
+
+
+@pytest.mark.parametrize("leaves", [1, 2, 700])
+def test_lm_tail_probabilities_add_up(leaves):
+    model = _tailed(leaves)
+    model.tail.table += np.random.default_rng(1).normal(0, 0.5, model.tail.table.shape)
+    last = gru.WORDS - 1
+    start = [5, last + leaves - 1]
+    every = [np.array([*start, w]) for w in range(last + leaves)]
+    assert np.exp(model.log_probabilities(every) - model.log_probabilities([np.array(start)])[0]).sum() == pytest.approx(1, abs=1e-3)
+
+
+def test_lm_tree_starts_at_the_counts():
+    weights = np.random.default_rng(4).zipf(1.4, 900).clip(1, 3000).astype(float)
+    tree = gru.tree_of(weights)
+    model = gru.Model(gru.first_parameters(np.ones(gru.WORDS), tree=tree), gru.Tail(tree, gru.first_tail(tree)))
+    found = model.tail.output(model.p, np.zeros((900, gru.UNITS), np.float32), np.arange(900), None, None)[0]
+    assert np.exp(found) == pytest.approx(weights / weights.sum(), rel=1e-3)
+
+
+def test_lm_tail_gradient(monkeypatch):
+    model, last = _tailed(700), gru.WORDS - 1
+    texts = [np.array([3, last + 600, 3, last + 41, last + 600, 9]), np.array([last, 2])]
+    taken, rows = {}, {}
+    monkeypatch.setattr(model, "_update", lambda gradients, squares, tokens: taken.update(gradients))
+
+    def update(moved):
+        for numbers, gradients in moved:
+            for number, gradient in zip(numbers, gradients, strict=True):
+                rows[number] = rows.get(number, 0) + gradient
+
+    monkeypatch.setattr(model.tail, "update", update)
+    model.train(texts, {})
+    node = int(model.tail.tree.roots[np.searchsorted(model.tail.tree.starts, 600, "right") - 1])
+    bins = int(np.searchsorted(model.tail.tree.starts, 41, "right") - 1)
+    assert node > 0
+    checks = [(model.tail.table, (node, 3), rows), (model.tail.table, (node, gru.UNITS), rows), (model.tail.table, (700 + 600, 2), rows)]
+    checks += [(model.p[name], place, taken[name]) for name, place in (("tail_in", (2, 5)), ("bin_out", (1, bins)), ("bin_bias", (bins,)), ("gates", (2, 5)))]
+    for values, place, got in checks:
+        step, sums = 1e-3, []
+        for sign in (1, -1):
+            values[place] += sign * step
+            sums.append(-model.log_probabilities(texts).sum())
+            values[place] -= sign * step
+        assert (got[place[0]][place[1]] if got is rows else got[place]) == pytest.approx((sums[0] - sums[1]) / (2 * step), rel=0.05, abs=2e-3)
+
+
+def test_lm_averages_rows_by_their_moves():
+    """A row that one task moved goes all its way; one that two moved, by their times."""
+    ones = np.ones((2, gru.TAIL_WIDTH))
+    sent = [*lm._blocks(np.array([3, lm.BLOCK + 1]), np.array([1, 2]), ones), *lm._blocks(np.array([3, 5 * lm.BLOCK]), np.array([3, 1]), 5 * ones)]
+    found = {}
+    for batch in lm._averages(iter(sent)):
+        found |= dict(zip(np.frombuffer(batch["rows"][0].as_py(), np.int32).tolist(), np.frombuffer(batch["steps"][0].as_py(), np.float32)[:: gru.TAIL_WIDTH].tolist(), strict=True))
+    assert found == {3: 4.0, lm.BLOCK + 1: 1.0, 5 * lm.BLOCK: 5.0}
+
+
 def test_lm_gradient(monkeypatch):
     model = gru.Model({k: v.astype(np.float64) for k, v in gru.first_parameters(np.ones(gru.WORDS)).items()})
     texts = [np.array([3, 700, 3, 41, 9]), np.array([1, 2])]
