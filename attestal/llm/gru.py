@@ -241,6 +241,8 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 class Model:
     def __init__(self, parameters: Parameters, tail: Tail | None = None):
         self.p, self.tail = parameters, tail
+        #: Share of the fullest window's tokens that this window has; a step goes by it, so that the end of a long text alone does not take the weights along.
+        self.share = 1.0
 
     def _forward(self, ids: np.ndarray, starts: np.ndarray, state: np.ndarray):
         """States before each step, and what going back needs."""
@@ -340,7 +342,7 @@ class Model:
         texts = [t for t in texts if len(t)]
         if not texts:
             return
-        state = np.zeros((LANES, UNITS), np.float32)
+        state, fullest = np.zeros((LANES, UNITS), np.float32), 0
         for ids, starts, _ in _windows(texts, LANES):
             before, z, r, g, after = self._forward(ids, starts, state[: ids.shape[1]])
             gradients: Parameters = {}
@@ -350,7 +352,10 @@ class Model:
             outer = np.zeros_like(before)
             outer[real] = back
             self._backward(ids, starts, before, z, r, g, outer, gradients, moved)
-            self._update(gradients, squares, int(real.sum()))
+            tokens = int(real.sum())
+            fullest = max(fullest, tokens)
+            self.share = tokens / fullest
+            self._update(gradients, squares, tokens)
             if moved is not None:
                 self.tail.update(moved)
             state = after
@@ -393,4 +398,4 @@ class Model:
             if norm > CLIP:
                 gradient *= CLIP / norm
             squares[name] = DECAY * squares[name] + (1 - DECAY) * gradient * gradient
-            self.p[name] -= RATE * gradient / (np.sqrt(squares[name]) + 1e-4)
+            self.p[name] -= RATE * self.share * gradient / (np.sqrt(squares[name]) + 1e-4)

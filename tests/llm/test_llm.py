@@ -372,6 +372,16 @@ def test_lm_tail_gradient(monkeypatch):
         assert (got[place[0]][place[1]] if got is rows else got[place]) == pytest.approx((sums[0] - sums[1]) / (2 * step), rel=0.05, abs=2e-3)
 
 
+def test_lm_end_of_a_long_text_does_not_take_the_weights_along():
+    """Windows in which one long text is left move the weights by their tokens, not as much as full ones."""
+    random = np.random.default_rng(6)
+    texts = [random.integers(0, 40, 64) for _ in range(400)] + [np.full(20_000, 900)]
+    model = gru.Model(gru.first_parameters(np.ones(gru.WORDS)))
+    first = model.log_probabilities(texts[:100]).sum()
+    model.train(texts, {k: np.zeros(s, np.float32) for k, s in gru.SHAPES.items()})
+    assert model.log_probabilities(texts[:100]).sum() > first
+
+
 def test_lm_averages_rows_by_their_moves():
     """A row that one task moved goes all its way; one that two moved, by their times."""
     ones = np.ones((2, gru.TAIL_WIDTH))
