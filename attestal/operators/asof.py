@@ -8,7 +8,10 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from attestal.operators.cells import CELL, MAX_ROWS, with_cells
+from attestal.operators.cells import CELL, with_cells
+
+#: Rows of a line that one task sorts whole. A line may have no keys, so it is all rows, which are wide.
+LINE_ROWS = 1 << 17
 
 _ROW, _HELD, _TIME, _SIDE = "__row", "__held", "__time", "__side"
 
@@ -20,7 +23,7 @@ def as_of_join(
     time_us: str,
     since_us: str,
     take: Sequence[str],
-    max_rows: int = MAX_ROWS,
+    max_rows: int = LINE_ROWS,
 ) -> DataFrame:
     """Every row with ``take`` of the last version of its key at or before its time, null where there is none.
 

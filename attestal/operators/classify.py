@@ -11,12 +11,13 @@ from attestal import constants as K
 from attestal import schemas
 from attestal.functions import scalar as S
 from attestal.functions.predicates import is_children_check
-from attestal.operators.asof import as_of_join
-from attestal.operators.cells import MAX_ROWS
+from attestal.operators.asof import LINE_ROWS, as_of_join
 
 NAME_KEYS = ["first_key", "last_key"]
 _PERSON = [f.name for f in schemas.REQUIRED_PERSON.fields]
 _EVER = -(2**63)
+#: Tasks that the people of one name are spread over.
+_SPREAD = 64
 _STATUS = [f.name for f in schemas.STATUS.fields]
 
 
@@ -49,11 +50,13 @@ def with_name_keys(people: DataFrame) -> DataFrame:
 def unique_people(required: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """One person per normalised name (and ``by``): the one with the smallest address.
 
-    A plain aggregate, so many people of one name are combined map-side.
+    The aggregate sorts its rows, so they are spread first, those of one name
+    over up to ``_SPREAD`` tasks, which combine them before they meet.
     """
     rest = [c for c in _PERSON if c != "email"]
     return (
         with_name_keys(required)
+        .repartition(*by, *NAME_KEYS, F.pmod(F.hash("email"), F.lit(_SPREAD)))
         .groupBy(*by, *NAME_KEYS)
         .agg(F.min(F.struct("email", *rest)).alias("p"))
         .select(*by, *NAME_KEYS, "p.*")
@@ -96,7 +99,7 @@ def classify(credentials: DataFrame, required: DataFrame, as_of: Column, process
 
 
 def classify_as_of(
-    credentials: DataFrame, lists: DataFrame, time_us: str, since_us: str, as_of: Column, processed_at: Column, max_rows: int = MAX_ROWS
+    credentials: DataFrame, lists: DataFrame, time_us: str, since_us: str, as_of: Column, processed_at: Column, max_rows: int = LINE_ROWS
 ) -> DataFrame:
     """Status row of every credential by the list that held at its time, with ``list_version``.
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from attestal.operators import classify
-from attestal.operators.asof import as_of_join
+from attestal.operators.asof import LINE_ROWS, as_of_join
 
 
 @pytest.mark.parametrize("max_rows", [10**9, 40])
@@ -55,3 +55,23 @@ def test_a_replay_meets_the_same_lists(spark):
     }
     assert late == early | {"u5": (3, "UNEXPECTED", None)}
     assert verdicts(lists.limit(0)) == {}
+
+
+def test_a_line_without_keys_is_cut_long_before_it_fills_a_task(spark):
+    rows = spark.range(LINE_ROWS + 9).selectExpr("id AS t", "id", "repeat('x', 20) AS note")
+    versions = spark.createDataFrame([(0, 1), (70_000, 2), (LINE_ROWS, 3)], "since long, v long")
+    got = as_of_join(rows, versions, [], "t", "since", ["v"])
+    assert "__entry" in got._jdf.queryExecution().analyzed().toString()
+    assert {r["v"]: r["count"] for r in got.groupBy("v").count().collect()} == {1: 70_000, 2: LINE_ROWS - 70_000, 3: 9}
+
+
+def test_people_are_spread_before_they_are_sorted(spark):
+    """A list in one file does not put all its people, or all of one name, into one task's sort."""
+    people = spark.range(4000).selectExpr(
+        "concat('u', id, '@x') AS email", "if(id % 2 = 0, 'Ada', concat('N', id)) AS firstName", "'L' AS lastName", "'D' AS department",
+        "'P' AS position", "true AS requiresWwcc", "cast(null AS string) AS startDate",
+    ).coalesce(1)
+    found = classify.unique_people(people)
+    assert {r["firstName"]: r["email"] for r in found.collect()} == {"Ada": "u0@x"} | {f"N{i}": f"u{i}@x" for i in range(1, 4000, 2)}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" in plan
