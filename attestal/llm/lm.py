@@ -15,14 +15,14 @@ looked up by a join, after being counted per document.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
-from itertools import repeat
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,8 +38,8 @@ DICTIONARY = 1 << 18
 ROUNDS = 3
 #: Rows of the weights that travel as one block.
 BLOCK = 2048
-#: Words that a counting task holds before it hands them on; tokens that are trained on or scored side by side.
-HELD_WORDS, BATCH_TOKENS = 300_000, 1_500_000
+#: Tokens that are trained on or scored side by side.
+BATCH_TOKENS = 1_500_000
 #: Bytes of a batch of texts that a task gets at a time.
 TEXT_BYTES = 9 << 20
 #: End of a text, as a token.
@@ -51,24 +51,25 @@ def tokens_of(text: str | None) -> list[bytes]:
     return [*(text or "").encode("utf-8", "surrogatepass").lower().split(), END]
 
 
+def _token_array(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """``tokens_of`` all texts, one after the other, and where those of each text end."""
+    # with a space behind it, every text's last piece is empty: its end
+    texts = pc.binary_join_element_wise(pc.fill_null(texts, ""), "", " ")
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    pieces, ends = lists.flatten().cast(pa.binary()), np.cumsum(pc.list_value_length(lists).to_numpy(), dtype=np.int64)
+    kept = pc.binary_length(pieces).to_numpy() > 0
+    kept[ends - 1] = True
+    return pieces.filter(pa.array(kept)), np.cumsum(kept)[ends - 1]
+
+
 def held_out() -> Column:
     return remainder("doc_id", MODULUS) == HELD_OUT
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: Counter[bytes] = Counter()
-
-    def rows() -> pa.RecordBatch:
-        batch = pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
-        counts.clear()
-        return batch
-
     for batch in batches:
-        for value in batch.column(0):
-            counts.update(tokens_of(value.as_py()))
-            if len(counts) > HELD_WORDS:
-                yield rows()
-    yield rows()
+        found = pc.value_counts(_token_array(batch.column(0))[0])
+        yield pa.RecordBatch.from_arrays(found.flatten(), names=["word", "n"])
 
 
 @dataclass(frozen=True)
@@ -123,19 +124,21 @@ class Lexicon:
 
 def _texts(batches: Iterator[pa.RecordBatch], lexicon: Lexicon) -> Iterator[tuple[list[np.ndarray], list[np.ndarray], list[list[bytes]], pa.RecordBatch]]:
     """Batches of about ``BATCH_TOKENS``: places in the lexicon (-1 outside), network words, words outside, other columns."""
-    get, codes = lexicon.places.get, lexicon.codes
+    known, codes = pa.array(list(lexicon.places), pa.binary()), lexicon.codes
     for batch in batches:
-        first, places, words, rare, size = 0, [], [], [], 0
-        for row, value in enumerate(batch.column("text")):
-            tokens = tokens_of(value.as_py())
-            found = np.fromiter(map(get, tokens, repeat(-1)), np.int32, len(tokens))
-            places.append(found)
-            words.append(codes.take(found, mode="wrap"))
-            rare.append([tokens[i] for i in np.flatnonzero(found < 0)])
-            size += len(tokens)
-            if size >= BATCH_TOKENS or row == batch.num_rows - 1:
-                yield places, words, rare, batch.slice(first, row + 1 - first)
-                first, places, words, rare, size = row + 1, [], [], [], 0
+        tokens, ends = _token_array(batch.column("text"))
+        every = pc.fill_null(pc.index_in(tokens, known), -1).to_numpy()
+        first = 0
+        while first < batch.num_rows:
+            start = ends[first - 1] if first else 0
+            last = min(int(np.searchsorted(ends, start + BATCH_TOKENS)) + 1, batch.num_rows)
+            found, cuts = every[start : ends[last - 1]], ends[first : last - 1] - start
+            outside = np.flatnonzero(found < 0)
+            words = tokens.take(pa.array(outside + start)).to_pylist()
+            edges = np.searchsorted(outside, [0, *cuts, len(found)]).tolist()
+            rare = [words[i:j] for i, j in pairwise(edges)]
+            yield np.split(found, cuts), np.split(codes.take(found, mode="wrap"), cuts), rare, batch.slice(first, last - first)
+            first = last
 
 
 @dataclass(frozen=True)

@@ -382,6 +382,40 @@ def test_lm_end_of_a_long_text_does_not_take_the_weights_along():
     assert model.log_probabilities(texts[:100]).sum() > first
 
 
+def test_lm_long_text_takes_few_windows():
+    """Windows have about the same number of tokens also while a single text is left; every token is in one of them, in order."""
+    random = np.random.default_rng(8)
+    texts = [random.integers(0, 3000, size) for size in [20_000, *[90] * 400, 7]]
+    windows = list(gru._windows(texts, gru.LANES))
+    full = gru.WINDOW * gru.LANES
+    assert len(windows) <= 3 + sum(map(len, texts)) // (full // 2)
+    assert all(ids.size <= full for ids, *_ in windows)
+    for i, text in enumerate(texts):
+        lane = [(ids[owner == i], starts[owner == i]) for ids, starts, owner in windows if (owner == i).any()]
+        assert np.concatenate([x for x, _ in lane]).tolist() == text.tolist()
+        assert np.concatenate([x for _, x in lane]).tolist() == [True] + [False] * (len(text) - 1)
+
+
+def test_lm_tail_rows_move_once_a_window():
+    """The rows a window moves are gathered and written once each, however many of its words pass them; their moves are counted."""
+    model, last = _tailed(700), gru.WORDS - 1
+    seen, update = [], model.tail.update
+    model.tail.update = lambda moved: (seen.extend(moved), update(moved))
+    model.train([np.random.default_rng(i).integers(last, last + 700, 500) for i in range(20)], {k: np.zeros(s) for k, s in gru.SHAPES.items()})
+    assert all(len(rows) == len(set(rows.tolist())) and 0 not in rows for rows, _ in seen)
+    assert model.tail.moves[700:].sum() == 20 * 500
+    assert model.tail.moves[:700].sum() == sum(np.count_nonzero(model.tail.tree.paths[np.random.default_rng(i).integers(last, last + 700, 500) - last]) for i in range(20))
+
+
+def test_lm_tokens_of_a_batch():
+    every = "".join(map(chr, range(1, 0x250))) + "\u3000\u2028x"
+    texts = ["a B  c\td", "", None, " x ", every, " ", "\n\x0b\x0c", "\x1cA\x85 b", every * 3]
+    for batch in (pa.array(texts), pa.array(["skipped", *texts, "too"]).slice(1, len(texts))):
+        tokens, ends = lm._token_array(batch)
+        tokens = tokens.to_pylist()
+        assert [tokens[i:j] for i, j in zip([0, *ends[:-1]], ends, strict=True)] == [lm.tokens_of(x) for x in texts]
+
+
 def test_lm_averages_rows_by_their_moves():
     """A row that one task moved goes all its way; one that two moved, by their times."""
     ones = np.ones((2, gru.TAIL_WIDTH))
